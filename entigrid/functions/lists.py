@@ -1,0 +1,25 @@
+"""Short ordered lists built from conditions."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import Column, functions as F
+
+
+def present(pairs: Iterable[tuple[str | Column, Column]]) -> Column:
+    """The values whose condition holds, in the given order.
+
+    One-element and empty arrays are concatenated; unlike a lambda filter over an array
+    this keeps the surrounding projection in generated code.
+    """
+    parts = []
+    for value, condition in pairs:
+        one = F.array(F.lit(value))
+        parts.append(F.when(condition, one).otherwise(F.slice(one, 1, 0)))
+    return F.concat(*parts)
+
+
+def joined(column: str | Column, empty: str) -> Column:
+    """The list as ``;``-separated text, or ``empty`` when nothing is in it."""
+    return F.when(F.size(column) > 0, F.array_join(column, ";")).otherwise(F.lit(empty))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from entigrid.fixed_values import CLEANSED_FIELDS, INGEST_OFFSHORE, RAW_FIELDS
 from entigrid.functions import keys, validate
+from entigrid.functions.lists import joined, present
 from entigrid.functions.text import is_blank, normalize_address, normalize_name, text
 from entigrid.schema import ORDER_FIELDS
 
@@ -27,16 +28,6 @@ def rejects(raw: DataFrame) -> DataFrame:
     )
 
 
-def present(conditions: dict[str, Column] | list[tuple[str | Column, Column]]) -> Column:
-    """Ordered list of the labels whose condition holds."""
-    pairs = conditions.items() if isinstance(conditions, dict) else conditions
-    labels = [
-        F.when(condition, F.lit(label) if isinstance(label, str) else label)
-        for label, condition in pairs
-    ]
-    return F.array_compact(F.array(*labels))
-
-
 def risk_flag_conditions() -> dict[str, Column]:
     """Ingest risk flags over the normalized columns."""
     return {
@@ -106,14 +97,10 @@ def notes() -> Column:
     ])
 
 
-def notes_text(column: Column | str = "notes") -> Column:
-    return F.when(F.size(column) > 0, F.array_join(column, ";")).otherwise(F.lit("clean"))
-
-
 def with_notes(flagged: DataFrame) -> DataFrame:
     """The cleansed table: 17 fields, the notes as a list, and the ingest order."""
     noted = flagged.withColumn("notes", notes())
     return noted.withColumns({
         "dedup_key": keys.shown_key(F.col("full_key")),
-        "cleansing_notes": notes_text(),
+        "cleansing_notes": joined("notes", "clean"),
     }).select(*CLEANSED_FIELDS, "notes", "duplicate_of", *ORDER_FIELDS)
