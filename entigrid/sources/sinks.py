@@ -4,12 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from entigrid.fixed_values import CLASSIFIED_HEADER, CLEANSED_FIELDS
+from entigrid.fixed_values import CLASSIFIED_HEADER, CLEANSED_FIELDS, RAW_FIELDS
 from entigrid.operators.quality import DISTRIBUTION_FIELDS, anomalies, distribution
 from entigrid.operators.reports import quality_report, quality_summary
 from entigrid.operators.wire import classified_fields, identity_lines
 from entigrid.schema import ORDER_FIELDS
 
+# Values are written as they are: not trimmed, and nothing for the empty string.
+_CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "emptyValue": "",
+    "nullValue": "",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
+def write_raw_csv(raw: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    raw.select(*RAW_FIELDS).write.mode(mode).options(**_CSV_OPTIONS).csv(path)
+
 
 def write_cleansed(cleansed: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """The cleansed table as parquet, with the notes list and the ingest order."""
@@ -18,8 +32,7 @@ def write_cleansed(cleansed: DataFrame, path: str, mode: str = "errorifexists")
 
 def write_cleansed_csv(cleansed: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """The 17 fields as CSV; a value is quoted where it needs to be."""
-    options = {"header": True, "escape": '"', "emptyValue": "", "nullValue": ""}
-    cleansed.select(*CLEANSED_FIELDS).write.mode(mode).options(**options).csv(path)
+    cleansed.select(*CLEANSED_FIELDS).write.mode(mode).options(**_CSV_OPTIONS).csv(path)
 
 
 def write_identity_lines(identities: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -31,7 +44,7 @@ def write_classified_lines(
 ) -> None:
     """Pipe-delimited lines with a header per part file, nothing quoted."""
     fields = classified_fields(classified).drop(*ORDER_FIELDS)
-    options = {"header": True, "sep": "|", "quote": "", "emptyValue": "", "nullValue": ""}
+    options = {**_CSV_OPTIONS, "sep": "|", "quote": ""}
     fields.toDF(*CLASSIFIED_HEADER).write.mode(mode).options(**options).csv(path)
 
 
