@@ -9,20 +9,28 @@ from entigrid.functions.text import normalize_name
 SHOWN_KEY_LENGTH = 16
 
 
-def dedup_key(clean_name: Column, country: Column, lei: Column) -> Column:
-    """SHA-256 of the squeezed lower-case name, country and LEI; all 64 hex digits.
+def key_text(clean_name: Column, country: Column, lei: Column) -> Column:
+    """Squeezed lower-case name, country and LEI. The name is normalized once more, on purpose."""
+    squeezed = F.regexp_replace(F.lower(normalize_name(clean_name)), r"(?U)\s+", "")
+    return F.concat_ws("|", squeezed, F.upper(country), F.upper(lei))
+
 
-    The name is normalized once more on purpose. Text is hashed as Latin-1 where it fits,
-    else as UTF-8. ``when`` is lazy, so the strict Latin-1 encoder never sees other text.
+def key_digest(key: Column) -> Column:
+    """SHA-256 of a key text as 64 hex digits, never null.
+
+    Text is hashed as Latin-1 where it fits, else as UTF-8. ``when`` is lazy, so the strict
+    Latin-1 encoder never sees other text. ``key`` should be a plain column: it is used
+    more than once.
     """
-    squeezed = F.regexp_replace(F.lower(normalize_name(clean_name)), r"(?U)\s+", "")
-    key = F.concat_ws("|", squeezed, F.upper(country), F.upper(lei))
     latin1 = key.rlike(r"\A[\x00-\xFF]*\z")
-    return (
+    digest = (
         F.when(F.octet_length(key) == F.length(key), F.sha2(key, 256))
         .when(latin1, F.sha2(F.encode(key, "ISO-8859-1"), 256))
         .otherwise(F.sha2(key, 256))
     )
+    # Known not to be null, so that no null check on it is added to joins and pushed down,
+    # where the whole expression would be computed a second time.
+    return F.coalesce(digest, F.lit(""))
 
 
 def shown_key(full_key: Column) -> Column:

@@ -88,6 +88,7 @@ def risk_points(lei_flag: str) -> list[tuple[str, Column]]:
 
 
 def risk_score(lei_flag: str) -> Column:
+    """Sum of the points. An unknown trust costs nothing."""
     points = [F.coalesce(p, F.lit(0)) for _, p in risk_points(lei_flag)]
     return reduce(lambda a, b: a + b, points)
 
@@ -145,7 +146,13 @@ def shown_fingerprint() -> Column:
 
 
 def high_risk(classified: DataFrame) -> DataFrame:
-    return classified.filter(F.col("risk_class").isin(HIGH_RISK_CLASSES))
+    """The HIGH and CRITICAL parties.
+
+    The filter is on the score from which these classes start: pushed below the rules it
+    repeats the sum of points only, not the class derived from it.
+    """
+    start = min(floor for floor, label in RISK_CLASSES if label in HIGH_RISK_CLASSES)
+    return classified.filter(F.col("risk_score") >= start)
 
 
 def classification_counts(classified: DataFrame) -> DataFrame:

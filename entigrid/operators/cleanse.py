@@ -47,13 +47,22 @@ def normalize(raw: DataFrame) -> DataFrame:
     accepted = raw.filter(~empty_record()).select(
         *(text(f).alias(f) for f in RAW_FIELDS), "source_file", *ORDER_FIELDS
     )
-    values = accepted.withColumns({
-        "clean_name": normalize_name(F.col("legal_name")),
-        "clean_address": normalize_address(F.col("address")),
-        "clean_country": F.upper("country"),
-        "clean_type": validate.entity_type(F.col("entity_type")),
-        "lei_status": validate.lei_status(F.col("lei")),
-    })
+    # Each step uses its input more than once, so it is a column of its own: the optimizer
+    # then computes it once instead of inlining it.
+    values = (
+        accepted.withColumns({
+            "clean_name": normalize_name(F.col("legal_name")),
+            "clean_address": normalize_address(F.col("address")),
+            "clean_country": F.upper("country"),
+            "clean_type": validate.entity_type(F.col("entity_type")),
+            "lei_status": validate.lei_status(F.col("lei")),
+        })
+        .withColumn(
+            "key_text",
+            keys.key_text(F.col("clean_name"), F.col("clean_country"), F.col("lei")),
+        )
+        .withColumn("full_key", keys.key_digest(F.col("key_text")))
+    )
 
     def changed(clean: str, original: str) -> Column:
         return (F.col(clean) != F.col(original)) & ~is_blank(F.col(original))
@@ -73,9 +82,7 @@ def normalize(raw: DataFrame) -> DataFrame:
         "lei_status",
         validate.flag(validate.email_valid(F.col("contact_email"))).alias("email_valid"),
         validate.flag(validate.country_known(F.col("clean_country"))).alias("country_valid"),
-        keys.dedup_key(F.col("clean_name"), F.col("clean_country"), F.col("lei")).alias(
-            "full_key"
-        ),
+        "full_key",
         "source_file",
         *ORDER_FIELDS,
         changed("clean_name", "legal_name").alias("name_changed"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from entigrid.fixed_values import PROFILED_FIELDS, SEVERITIES
-from entigrid.functions.keys import dedup_key
+from entigrid.functions.keys import key_digest, key_text
 from entigrid.functions.text import is_blank, normalize_name, text
 from entigrid.functions.validate import flag
 from entigrid.operators.cleanse import empty_record
@@ -30,16 +30,26 @@ def ingestion_stats(raw: DataFrame, files_processed: int) -> DataFrame:
     the shuffle. The file count comes from the listing, as an empty file has no record.
     """
     kept = ~empty_record()
-    name = text("legal_name")
-    checked = raw.select(
-        kept.alias("kept"),
-        (kept & ~is_blank(name) & (normalize_name(name) != name)).alias("renamed"),
-        F.when(
-            kept, dedup_key(normalize_name(name), F.upper(text("country")), text("lei"))
-        ).alias("full_key"),
+    checked = (
+        raw.select(
+            kept.alias("kept"),
+            text("legal_name").alias("legal_name"),
+            F.upper(text("country")).alias("country"),
+            text("lei").alias("lei"),
+        )
+        .withColumn("clean_name", normalize_name(F.col("legal_name")))
+        .withColumn("key_text", key_text(F.col("clean_name"), F.col("country"), F.col("lei")))
+        .select(
+            F.when(F.col("kept"), key_digest(F.col("key_text"))).alias("full_key"),
+            flag(
+                F.col("kept")
+                & (F.col("clean_name") != F.col("legal_name"))
+                & ~is_blank(F.col("legal_name"))
+            ).alias("renamed"),
+        )
     )
     per_key = checked.groupBy("full_key").agg(
-        F.count("*").alias("records"), F.sum(flag(F.col("renamed"))).alias("renamed")
+        F.count("*").alias("records"), F.sum("renamed").alias("renamed")
     )
     valid = F.col("full_key").isNotNull()
     counts = per_key.agg(

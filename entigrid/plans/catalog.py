@@ -329,7 +329,9 @@ def classified_lines_read(spark, sf_dir):
 
 @query
 def wire_reparse(spark, sf_dir):
-    fields = wire.classified_fields(wire.classify_lines(wire.identity_lines(identity(spark, sf_dir))))
+    path = scratch_path(spark, "wire-lines")
+    sinks.write_identity_lines(identity(spark, sf_dir), path)
+    fields = wire.classified_fields(wire.classify_lines(read_lines(spark, path)))
     return fields.select(*rules.CLASSIFIED_FIELDS).withColumn(
         "risk_score", F.col("risk_score").cast("long")
     )
