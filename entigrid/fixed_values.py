@@ -35,12 +35,14 @@ MISSING_MARKERS = ["", "NA", "N/A", "null"]
 
 # Cleansing -----------------------------------------------------
 
-# Ordered (pattern, replacement) pairs, case-insensitive.
-NAME_RULES = [
+# Ordered (pattern, replacement) pairs, case-insensitive; the dotted ones come first.
+DOTTED_NAME_RULES = [
     (r"\bS\.A\.\s*", "SA "),
     (r"\bS\.A\./N\.V\.", "SA/NV"),
     (r"\bN\.V\.\s*", "NV "),
     (r"\bA\.G\.\s*", "AG "),
+]
+NAME_RULES = [
     (r"\bGmbH\b", "GmbH"),
     (r"\bLtd\.?\b", "Ltd"),
     (r"\bLimited\b", "Ltd"),
@@ -49,6 +51,8 @@ NAME_RULES = [
     (r"\bCorp\.?\b", "Corp"),
     (r"\bAbp\.?\b", "Abp"),
 ]
+# Found in every name that one of the rules above can match.
+NAME_RULE_HINT = r"\b(?:S\.A|N\.V|A\.G|GmbH|Ltd|Limited|P\.?L\.?C|Inc|Corp|Abp)"
 
 ADDRESS_RULES = [
     (r"\bStr\.\s*", "Street "),

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from entigrid.functions.text import normalize_name
+from entigrid.functions.text import settled_name
 
 SHOWN_KEY_LENGTH = 16
 
 
 def key_text(clean_name: Column, country: Column, lei: Column) -> Column:
-    """Squeezed lower-case name, country and LEI. The name is normalized once more, on purpose."""
-    squeezed = F.regexp_replace(F.lower(normalize_name(clean_name)), r"(?U)\s+", "")
+    """Squeezed lower-case name, country and LEI. The name counts as normalized twice."""
+    squeezed = F.regexp_replace(F.lower(settled_name(clean_name)), r"(?U)\s+", "")
     return F.concat_ws("|", squeezed, F.upper(country), F.upper(lei))
 
 

@@ -1,6 +1,8 @@
 """Name and address normalization as column expressions.
 
 Patterns carry ``(?iU)``: case-insensitive, with Unicode word boundaries and white space.
+The expressions are kept short on purpose: a projection whose generated method outgrows
+8,000 bytes of bytecode is no longer compiled by the JVM and runs many times slower.
 """
 
 from __future__ import annotations
@@ -9,7 +11,12 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-from entigrid.fixed_values import ADDRESS_RULES, NAME_RULES
+from entigrid.fixed_values import (
+    ADDRESS_RULES,
+    DOTTED_NAME_RULES,
+    NAME_RULE_HINT,
+    NAME_RULES,
+)
 
 
 def text(column: Column | str) -> Column:
@@ -17,6 +24,10 @@ def text(column: Column | str) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def trimmed(column: Column) -> Column:
+    return F.regexp_replace(column, r"(?U)^\s+|\s+$", "")
+
+
 def is_blank(column: Column) -> Column:
     return ~column.rlike(r"(?U)\S")
 
@@ -27,10 +38,6 @@ def _replace_all(column: Column, rules) -> Column:
     )
 
 
-def _trim(column: Column) -> Column:
-    return F.regexp_replace(column, r"(?U)^\s+|\s+$", "")
-
-
 def _single_spaces(column: Column) -> Column:
     return F.regexp_replace(column, r"(?U)\s{2,}", " ")
 
@@ -39,13 +46,25 @@ def normalize_name(column: Column) -> Column:
     """Trim, collapse spaces, unify legal-form suffixes in their fixed order.
 
     The order is part of the result: ``S.A./N.V.`` becomes ``SA /NV`` because the plain
-    ``S.A.`` rule comes first. A blank name trims to the empty string on its own.
+    ``S.A.`` rule comes first. A blank name trims to the empty string on its own. Names in
+    which no rule can match skip the rules, and the dotted rules need a dot.
+    """
+    spaced = _single_spaces(trimmed(column))
+    dotted = F.when(spaced.contains("."), _replace_all(spaced, DOTTED_NAME_RULES)).otherwise(spaced)
+    ruled = _replace_all(dotted, NAME_RULES)
+    return trimmed(F.when(spaced.rlike("(?iU)" + NAME_RULE_HINT), ruled).otherwise(spaced))
+
+
+def settled_name(clean_name: Column) -> Column:
+    """A normalized name normalized once more, as far as other characters than spaces go.
+
+    A second pass finds only one thing the first left: ``Limited.`` before a word became
+    ``Ltd.`` after the rule for ``Ltd.`` had run.
     """
-    collapsed = _single_spaces(_trim(column))
-    return F.regexp_replace(_replace_all(collapsed, NAME_RULES), r"(?U)\s+$", "")
+    return F.regexp_replace(clean_name, r"(?iU)\bLtd\.\b", "Ltd")
 
 
 def normalize_address(column: Column) -> Column:
     """Trim, drop one quote at each end, collapse spaces, spell out street words."""
-    unquoted = F.regexp_replace(_trim(column), "^[\"']|[\"']$", "")
+    unquoted = F.regexp_replace(trimmed(column), "^[\"']|[\"']$", "")
     return _replace_all(_single_spaces(unquoted), ADDRESS_RULES)

@@ -20,30 +20,30 @@ def flag(condition: Column) -> Column:
     return condition.cast("long")
 
 
-def lei_remainder(lei: Column) -> Column:
-    """Remainder by 97 of a 20-character LEI read as a number (A=10 .. Z=35).
+def lei_digits(lei: Column) -> Column:
+    """The LEI with A=10 .. Z=35, padded to 40 digits; meaningless for a malformed LEI."""
+    digits = lei
+    for number, letter in enumerate("ABCDEFGHIJKLMNOPQRSTUVWXYZ", start=10):
+        digits = F.replace(digits, F.lit(letter), F.lit(str(number)))
+    return F.lpad(digits, 40, "0")
 
-    Unrolled over the 20 fixed positions so that it stays inside generated code. The
-    remainder is taken every 8 characters, which keeps the running value below 2**63.
+
+def lei_status(lei: Column, digits: Column) -> Column:
+    """MISSING, INVALID_FORMAT, CHECKSUM_FAIL or OK; no trimming, case matters.
+
+    ``digits`` is the column made by ``lei_digits``. Its remainder by 97 must be 1; it is
+    taken in three parts that fit into 64 bits each. The parts are only looked at when the
+    format is right, so the casts cannot fail.
     """
-    running = F.lit(0).cast("long")
-    for position in range(1, 21):
-        code = F.ascii(F.substring(lei, position, 1))
-        letter = code >= 65
-        running = running * F.when(letter, 100).otherwise(10) + (
-            code - F.when(letter, 55).otherwise(48)
-        )
-        if position % 8 == 0 or position == 20:
-            running = running % 97
-    return running
-
-
-def lei_status(lei: Column) -> Column:
-    """MISSING, INVALID_FORMAT, CHECKSUM_FAIL or OK; no trimming, case matters."""
+    high, middle, low = (
+        F.substring(digits, start, length).cast("long")
+        for start, length in ((1, 4), (5, 18), (23, 18))
+    )
+    total = high * pow(10, 36, 97) + middle % 97 * pow(10, 18, 97) + low
     return (
         F.when(is_blank(lei), "MISSING")
         .when(~lei.rlike(LEI_PATTERN), "INVALID_FORMAT")
-        .when(lei_remainder(lei) != 1, "CHECKSUM_FAIL")
+        .when(total % 97 != 1, "CHECKSUM_FAIL")
         .otherwise("OK")
     )
 

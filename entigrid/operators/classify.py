@@ -146,13 +146,8 @@ def shown_fingerprint() -> Column:
 
 
 def high_risk(classified: DataFrame) -> DataFrame:
-    """The HIGH and CRITICAL parties.
-
-    The filter is on the score from which these classes start: pushed below the rules it
-    repeats the sum of points only, not the class derived from it.
-    """
-    start = min(floor for floor, label in RISK_CLASSES if label in HIGH_RISK_CLASSES)
-    return classified.filter(F.col("risk_score") >= start)
+    """The HIGH and CRITICAL parties. On a stored table the filter reaches the scan."""
+    return classified.filter(F.col("risk_class").isin(HIGH_RISK_CLASSES))
 
 
 def classification_counts(classified: DataFrame) -> DataFrame:

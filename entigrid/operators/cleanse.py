@@ -55,12 +55,12 @@ def normalize(raw: DataFrame) -> DataFrame:
             "clean_address": normalize_address(F.col("address")),
             "clean_country": F.upper("country"),
             "clean_type": validate.entity_type(F.col("entity_type")),
-            "lei_status": validate.lei_status(F.col("lei")),
+            "lei_digits": validate.lei_digits(F.col("lei")),
+        })
+        .withColumns({
+            "lei_status": validate.lei_status(F.col("lei"), F.col("lei_digits")),
+            "key_text": keys.key_text(F.col("clean_name"), F.col("clean_country"), F.col("lei")),
         })
-        .withColumn(
-            "key_text",
-            keys.key_text(F.col("clean_name"), F.col("clean_country"), F.col("lei")),
-        )
         .withColumn("full_key", keys.key_digest(F.col("key_text")))
     )
 

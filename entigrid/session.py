@@ -8,24 +8,40 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Runtime settings the plans count on. A projection that normalizes every field makes a
+# method beyond the 8,000 bytes up to which the JVM compiles; past that limit Spark should
+# generate the operators one by one, in small methods, instead of one slow big one.
+_RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session made elsewhere."""
+    for key, value in _RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app_name: str = "entigrid", master: str | None = None, **conf) -> SparkSession:
-    """A session with adaptive execution, skew-join splitting and UTC.
+    """A session with the settings above, without a web page.
 
-    On a cluster the submit command sets master, memory and shuffle partitions; only
-    what the results or the skew handling depend on is set here.
+    On a cluster the submit command sets master, memory and shuffle partitions.
     """
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
+    builder = SparkSession.builder.appName(app_name)
+    settings = {
+        **_RUNTIME_SETTINGS,
+        "spark.ui.enabled": "false",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        **conf,
+    }
     if master:
         builder = builder.master(master)
-    for key, value in conf.items():
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
