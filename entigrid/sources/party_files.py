@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,14 +22,12 @@ _CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
-    """Paths of the matching files, empty files included; contents are not read."""
+    """Paths of the matching files, empty files included, from the listing alone."""
     try:
-        files = (
-            spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-        )
+        files = spark.read.option("pathGlobFilter", pattern).text(folder).inputFiles()
     except AnalysisException:
         return []
-    return sorted(row.path for row in files.select("path").toLocalIterator())
+    return sorted(unquote(path) for path in files)
 
 
 def _with_provenance(scan: DataFrame, source_rank: int) -> DataFrame:
