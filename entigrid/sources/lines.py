@@ -5,18 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from entigrid.operators.wire import parse_classified_lines, parse_identity_lines
+from entigrid.sources.provenance import order_columns
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files; ``value`` and the ingest order, taken on the scan itself."""
     return spark.read.text(path).select(
         F.regexp_replace("value", "\r$", "").alias("value"),
-        F.lit(0).alias("source_rank"),
-        F.concat_ws(
-            "|", F.lower("_metadata.file_name"), F.col("_metadata.file_path")
-        ).alias("source_key"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_pos"),
+        *order_columns(0),
     )
 
 

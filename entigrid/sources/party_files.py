@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from entigrid.fixed_values import RAW_FIELDS
 from entigrid.functions.text import text
 from entigrid.schema import ORDER_SCHEMA, RAW_SCHEMA
+from entigrid.sources.provenance import file_name, order_columns
 
 CSV_RANK, JSON_RANK = 0, 1
 HEADER_PROBE_THREADS = 16
@@ -31,23 +32,13 @@ def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
 
 
 def _with_provenance(scan: DataFrame, source_rank: int) -> DataFrame:
-    """The raw fields plus source file and order; must sit directly on the scan.
-
-    Files rank by name without regard to case, then by path. Ids rise within a split, and
-    splits of one file rank by where they start, so the four columns give file order no
-    matter how the scan was spread over tasks.
-    """
+    """The raw fields, source file and ingest order, selected directly on the scan."""
     known = set(scan.columns)
     fields = [text(f) if f in known else F.lit("") for f in RAW_FIELDS]
     return scan.select(
         *(column.alias(name) for column, name in zip(fields, RAW_FIELDS)),
-        F.col("_metadata.file_name").alias("source_file"),
-        F.lit(source_rank).alias("source_rank"),
-        F.concat_ws(
-            "|", F.lower("_metadata.file_name"), F.col("_metadata.file_path")
-        ).alias("source_key"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_pos"),
+        file_name().alias("source_file"),
+        *order_columns(source_rank),
     )
 
 

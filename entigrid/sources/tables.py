@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from entigrid.fixed_values import CLEANSED_FIELDS, SEVERITIES
 from entigrid.operators.quality import typed
 from entigrid.schema import ORDER_FIELDS
+from entigrid.sources.provenance import order_columns
 
 _CLEANSED_TEXT = T.StructType([T.StructField(f, T.StringType()) for f in CLEANSED_FIELDS])
 
@@ -19,12 +20,7 @@ def read_cleansed_csv(spark: SparkSession, path: str) -> DataFrame:
     )
     return scan.select(
         *(F.coalesce(F.col(f), F.lit("")).alias(f) for f in CLEANSED_FIELDS),
-        F.lit(0).alias("source_rank"),
-        F.concat_ws(
-            "|", F.lower("_metadata.file_name"), F.col("_metadata.file_path")
-        ).alias("source_key"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_pos"),
+        *order_columns(0),
     )
 
 
