@@ -1,14 +1,10 @@
-"""Name and address normalization as column expressions.
+"""Name and address normalization over named columns.
 
 Patterns carry ``(?iU)``: case-insensitive, with Unicode word boundaries and white space.
-The expressions are kept short on purpose: a projection whose generated method outgrows
-8,000 bytes of bytecode is no longer compiled by the JVM and runs many times slower.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 from entigrid.fixed_values import (
@@ -17,54 +13,51 @@ from entigrid.fixed_values import (
     NAME_RULE_HINT,
     NAME_RULES,
 )
+from entigrid.functions.sql import quoted, replaced
 
-
-def text(column: Column | str) -> Column:
-    """A text column with absent values as the empty string."""
-    return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
-
-
-def trimmed(column: Column) -> Column:
-    return F.regexp_replace(column, r"(?U)^\s+|\s+$", "")
+IGNORING_CASE = "(?iU)"
+_TRIM = (r"(?U)^\s+|\s+$", "")
+_SINGLE_SPACES = (r"(?U)\s{2,}", " ")
 
 
-def is_blank(column: Column) -> Column:
-    return ~column.rlike(r"(?U)\S")
-
-
-def _replace_all(column: Column, rules) -> Column:
-    return reduce(
-        lambda c, rule: F.regexp_replace(c, "(?iU)" + rule[0], rule[1]), rules, column
-    )
+def text(column: str) -> Column:
+    """A text column with absent values as the empty string."""
+    return F.expr(f"coalesce({column}, '')").alias(column)
 
 
-def _single_spaces(column: Column) -> Column:
-    return F.regexp_replace(column, r"(?U)\s{2,}", " ")
+def not_blank(column: str) -> str:
+    return rf"{column} RLIKE '(?U)\\S'"
 
 
-def normalize_name(column: Column) -> Column:
+def normalize_name(column: str) -> Column:
     """Trim, collapse spaces, unify legal-form suffixes in their fixed order.
 
     The order is part of the result: ``S.A./N.V.`` becomes ``SA /NV`` because the plain
     ``S.A.`` rule comes first. A blank name trims to the empty string on its own. Names in
     which no rule can match skip the rules, and the dotted rules need a dot.
     """
-    spaced = _single_spaces(trimmed(column))
-    dotted = F.when(spaced.contains("."), _replace_all(spaced, DOTTED_NAME_RULES)).otherwise(spaced)
-    ruled = _replace_all(dotted, NAME_RULES)
-    return trimmed(F.when(spaced.rlike("(?iU)" + NAME_RULE_HINT), ruled).otherwise(spaced))
+    spaced = replaced(column, [_TRIM, _SINGLE_SPACES])
+    dotted = replaced(spaced, DOTTED_NAME_RULES, IGNORING_CASE)
+    ruled = replaced(
+        f"CASE WHEN contains({spaced}, '.') THEN {dotted} ELSE {spaced} END",
+        NAME_RULES,
+        IGNORING_CASE,
+    )
+    hint = quoted(IGNORING_CASE + NAME_RULE_HINT)
+    chosen = f"CASE WHEN {spaced} RLIKE {hint} THEN {ruled} ELSE {spaced} END"
+    return F.expr(replaced(chosen, [(r"(?U)\s+$", "")]))
 
 
-def settled_name(clean_name: Column) -> Column:
+def settled_name(clean_name: str) -> str:
     """A normalized name normalized once more, as far as other characters than spaces go.
 
     A second pass finds only one thing the first left: ``Limited.`` before a word became
     ``Ltd.`` after the rule for ``Ltd.`` had run.
     """
-    return F.regexp_replace(clean_name, r"(?iU)\bLtd\.\b", "Ltd")
+    return replaced(clean_name, [(r"\bLtd\.\b", "Ltd")], IGNORING_CASE)
 
 
-def normalize_address(column: Column) -> Column:
+def normalize_address(column: str) -> Column:
     """Trim, drop one quote at each end, collapse spaces, spell out street words."""
-    unquoted = F.regexp_replace(trimmed(column), "^[\"']|[\"']$", "")
-    return _replace_all(_single_spaces(unquoted), ADDRESS_RULES)
+    plain = replaced(column, [_TRIM, ("^[\"']|[\"']$", ""), _SINGLE_SPACES])
+    return F.expr(replaced(plain, ADDRESS_RULES, IGNORING_CASE))

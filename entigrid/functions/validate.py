@@ -12,23 +12,24 @@ from entigrid.fixed_values import (
     LEI_FORMAT_PATTERN,
     LEI_PATTERN,
 )
-from entigrid.functions.text import is_blank
+from entigrid.functions.sql import looked_up, one_of, quoted
+from entigrid.functions.text import not_blank
 
 
-def flag(condition: Column) -> Column:
-    """A boolean as 0/1."""
-    return condition.cast("long")
+def flag(condition: str) -> Column:
+    """A condition as 0/1."""
+    return F.expr(f"CAST({condition} AS BIGINT)")
 
 
-def lei_digits(lei: Column) -> Column:
+def lei_digits(lei: str) -> Column:
     """The LEI with A=10 .. Z=35, padded to 40 digits; meaningless for a malformed LEI."""
     digits = lei
     for number, letter in enumerate("ABCDEFGHIJKLMNOPQRSTUVWXYZ", start=10):
-        digits = F.replace(digits, F.lit(letter), F.lit(str(number)))
-    return F.lpad(digits, 40, "0")
+        digits = f"replace({digits}, '{letter}', '{number}')"
+    return F.expr(f"lpad({digits}, 40, '0')")
 
 
-def lei_status(lei: Column, digits: Column) -> Column:
+def lei_status(lei: str, digits: str) -> Column:
     """MISSING, INVALID_FORMAT, CHECKSUM_FAIL or OK; no trimming, case matters.
 
     ``digits`` is the column made by ``lei_digits``. Its remainder by 97 must be 1; it is
@@ -36,35 +37,34 @@ def lei_status(lei: Column, digits: Column) -> Column:
     format is right, so the casts cannot fail.
     """
     high, middle, low = (
-        F.substring(digits, start, length).cast("long")
+        f"CAST(substring({digits}, {start}, {length}) AS BIGINT)"
         for start, length in ((1, 4), (5, 18), (23, 18))
     )
-    total = high * pow(10, 36, 97) + middle % 97 * pow(10, 18, 97) + low
-    return (
-        F.when(is_blank(lei), "MISSING")
-        .when(~lei.rlike(LEI_PATTERN), "INVALID_FORMAT")
-        .when(total % 97 != 1, "CHECKSUM_FAIL")
-        .otherwise("OK")
-    )
+    total = f"{high} * {pow(10, 36, 97)} + {middle} % 97 * {pow(10, 18, 97)} + {low}"
+    return F.expr(f"""
+        CASE WHEN NOT {not_blank(lei)} THEN 'MISSING'
+             WHEN NOT {lei} RLIKE {quoted(LEI_PATTERN)} THEN 'INVALID_FORMAT'
+             WHEN ({total}) % 97 <> 1 THEN 'CHECKSUM_FAIL'
+             ELSE 'OK' END
+    """)
 
 
-def lei_format_valid(lei: Column) -> Column:
-    return lei.rlike(LEI_FORMAT_PATTERN)
+def lei_format_valid(lei: str) -> str:
+    return f"{lei} RLIKE {quoted(LEI_FORMAT_PATTERN)}"
 
 
-def country_known(country: Column) -> Column:
-    return country.isin(KNOWN_COUNTRIES)
+def country_known(country: str) -> str:
+    return one_of(country, KNOWN_COUNTRIES)
 
 
-def country_format_valid(country: Column) -> Column:
-    return country.rlike(COUNTRY_FORMAT_PATTERN)
+def country_format_valid(country: str) -> str:
+    return f"{country} RLIKE {quoted(COUNTRY_FORMAT_PATTERN)}"
 
 
-def email_valid(email: Column) -> Column:
-    return email.rlike(EMAIL_PATTERN)
+def email_valid(email: str) -> str:
+    return f"{email} RLIKE {quoted(EMAIL_PATTERN)}"
 
 
-def entity_type(column: Column) -> Column:
+def entity_type(column: str) -> Column:
     """The known type for an upper-cased alias, any other value as written."""
-    pairs = [F.lit(v) for pair in ENTITY_TYPES.items() for v in pair]
-    return F.coalesce(F.element_at(F.create_map(*pairs), F.upper(column)), column)
+    return F.expr(looked_up(f"upper({column})", ENTITY_TYPES, column))

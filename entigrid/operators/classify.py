@@ -7,8 +7,6 @@ that stays in generated code, so a table is classified in the pass that reads it
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from entigrid.fixed_values import (
@@ -29,7 +27,8 @@ from entigrid.fixed_values import (
     RISK_SUSPENDED,
     RISK_TRUST_FLOOR,
 )
-from entigrid.functions.lists import present
+from entigrid.functions.sql import looked_up, one_of, present, quoted
+from entigrid.operators.cleanse import labels
 
 CLASSIFIED_FIELDS = [
     "party_id", "legal_name", "country", "fingerprint", "kyc_level", "kyc_reason",
@@ -38,82 +37,78 @@ CLASSIFIED_FIELDS = [
 SHOWN_FINGERPRINT = 16
 
 
-def is_true(flag: str) -> Column:
-    """A flag given as boolean, 0/1 or text; absent means false."""
-    return F.coalesce(F.col(flag).cast("string").isin("1", "true"), F.lit(False))
+def is_true(flag: str) -> str:
+    """Condition on a flag given as boolean, 0/1 or text; absent means false."""
+    return f"coalesce(CAST({flag} AS STRING) IN ('1', 'true'), false)"
 
 
 def kyc(country_flag: str) -> Column:
     """Level and reason as one struct, so both come from the same branch."""
 
-    def outcome(pair: tuple[str, str]) -> Column:
-        return F.struct(F.lit(pair[0]).alias("level"), F.lit(pair[1]).alias("reason"))
+    def outcome(pair: tuple[str, str]) -> str:
+        return f"named_struct('level', {quoted(pair[0])}, 'reason', {quoted(pair[1])})"
 
     eu_bank = (
-        (F.col("entity_type") == "CREDIT_INSTITUTION")
-        & is_true(country_flag)
-        & F.col("country").isin(EU_MEMBERS)
-    )
-    return (
-        F.when(F.col("entity_type") == "CSD", outcome(KYC_CSD))
-        .when(eu_bank, outcome(KYC_EU_BANK))
-        .when(F.col("country").isin(KYC_OFFSHORE), outcome(KYC_OFFSHORE_PARTY))
-        .when(F.col("entity_type") == "SHELL_COMPANY", outcome(KYC_SHELL))
-        .otherwise(outcome(KYC_DEFAULT))
+        f"entity_type = 'CREDIT_INSTITUTION' AND {is_true(country_flag)}"
+        f" AND {one_of('country', EU_MEMBERS)}"
     )
+    return F.expr(f"""
+        CASE WHEN entity_type = 'CSD' THEN {outcome(KYC_CSD)}
+             WHEN {eu_bank} THEN {outcome(KYC_EU_BANK)}
+             WHEN {one_of('country', KYC_OFFSHORE)} THEN {outcome(KYC_OFFSHORE_PARTY)}
+             WHEN entity_type = 'SHELL_COMPANY' THEN {outcome(KYC_SHELL)}
+             ELSE {outcome(KYC_DEFAULT)} END
+    """)
 
 
 def obligations(lei_flag: str) -> Column:
-    kind = F.col("entity_type")
-    return present([
-        ("EMIR_TR_REPORTING", kind.isin("CREDIT_INSTITUTION", "INVESTMENT_FIRM")),
-        ("SFTR_REPORTING", kind == "CSD"),
-        ("CSDR_SETTLEMENT_DISCIPLINE", kind == "CSD"),
-        ("LEI_REQUIRED_MISSING", ~is_true(lei_flag)),
-        ("CRS_REPORTING", ~F.col("country").isin(CRS_EXEMPT)),
-    ])
+    return present(labels([
+        ("EMIR_TR_REPORTING", one_of("entity_type", ["CREDIT_INSTITUTION", "INVESTMENT_FIRM"])),
+        ("SFTR_REPORTING", "entity_type = 'CSD'"),
+        ("CSDR_SETTLEMENT_DISCIPLINE", "entity_type = 'CSD'"),
+        ("LEI_REQUIRED_MISSING", f"NOT {is_true(lei_flag)}"),
+        ("CRS_REPORTING", f"NOT {one_of('country', CRS_EXEMPT)}"),
+    ]))
 
 
-def risk_points(lei_flag: str) -> list[tuple[str, Column]]:
+def risk_points(lei_flag: str) -> list[tuple[str, str]]:
     """Factor names with their points, null where a factor does not apply."""
-    country_points = F.create_map(*(F.lit(v) for pair in RISK_COUNTRY.items() for v in pair))
-    penalty = F.floor((F.lit(RISK_TRUST_FLOOR) - F.col("trust")) / 2).cast("int")
+    floor = RISK_TRUST_FLOOR
     return [
-        ("NO_VALID_LEI", F.when(~is_true(lei_flag), RISK_NO_LEI)),
-        ("HIGH_RISK_COUNTRY", F.element_at(country_points, F.col("country"))),
-        ("SHELL_COMPANY", F.when(F.col("entity_type") == "SHELL_COMPANY", RISK_SHELL)),
-        ("SUSPENDED_ENTITY", F.when(F.col("status") == "SUSPENDED", RISK_SUSPENDED)),
-        ("LOW_TRUST_SCORE", F.when(F.col("trust") < RISK_TRUST_FLOOR, penalty)),
+        ("NO_VALID_LEI", f"if({is_true(lei_flag)}, NULL, {RISK_NO_LEI})"),
+        ("HIGH_RISK_COUNTRY", looked_up("country", RISK_COUNTRY, "NULL")),
+        ("SHELL_COMPANY", f"if(entity_type = 'SHELL_COMPANY', {RISK_SHELL}, NULL)"),
+        ("SUSPENDED_ENTITY", f"if(status = 'SUSPENDED', {RISK_SUSPENDED}, NULL)"),
+        (
+            "LOW_TRUST_SCORE",
+            f"if(trust < {floor}, CAST(floor(({floor} - trust) / 2) AS INT), NULL)",
+        ),
     ]
 
 
 def risk_score(lei_flag: str) -> Column:
     """Sum of the points. An unknown trust costs nothing."""
-    points = [F.coalesce(p, F.lit(0)) for _, p in risk_points(lei_flag)]
-    return reduce(lambda a, b: a + b, points)
+    return F.expr(" + ".join(f"coalesce({points}, 0)" for _, points in risk_points(lei_flag)))
 
 
 def risk_factors(lei_flag: str) -> Column:
-    return present([
-        (F.concat(F.lit(f"{name}(+"), points.cast("string"), F.lit(")")), points.isNotNull())
+    return present(
+        (f"concat('{name}(+', {points}, ')')", f"({points}) IS NOT NULL")
         for name, points in risk_points(lei_flag)
-    ])
+    )
 
 
-def risk_class(score: Column) -> Column:
-    branches = F
-    for floor, label in RISK_CLASSES:
-        branches = branches.when(score >= floor, label)
-    return branches.otherwise(RISK_CLASS_ELSE)
+def risk_class(score: str) -> Column:
+    cases = " ".join(f"WHEN {score} >= {floor} THEN '{label}'" for floor, label in RISK_CLASSES)
+    return F.expr(f"CASE {cases} ELSE '{RISK_CLASS_ELSE}' END")
 
 
 def sanctions_flags() -> Column:
-    suspended = F.col("status") == "SUSPENDED"
-    return present([
-        ("REVIEW:SUSPENDED_STATUS", suspended),
-        ("REVIEW:NAME_CONTAINS_OFFSHORE", F.col("legal_name").rlike("[Oo]ffshore")),
-        ("ALERT:SUSPENDED_EXCHANGE", suspended & (F.col("entity_type") == "EXCHANGE")),
-    ])
+    return present(labels([
+        ("REVIEW:SUSPENDED_STATUS", "status = 'SUSPENDED'"),
+        ("REVIEW:NAME_CONTAINS_OFFSHORE", "legal_name RLIKE '[Oo]ffshore'"),
+        ("ALERT:SUSPENDED_EXCHANGE", "status = 'SUSPENDED' AND entity_type = 'EXCHANGE'"),
+    ]))
 
 
 def classify(
@@ -127,7 +122,7 @@ def classify(
     the format check.
     """
     known = parties.withColumns({
-        "status": F.coalesce("status", F.lit("ACTIVE")),
+        "status": F.expr("coalesce(status, 'ACTIVE')"),
         "kyc": kyc(country_flag),
         "risk_score": risk_score(lei_flag),
         "risk_factors": risk_factors(lei_flag),
@@ -137,12 +132,12 @@ def classify(
     return known.withColumns({
         "kyc_level": F.col("kyc.level"),
         "kyc_reason": F.col("kyc.reason"),
-        "risk_class": risk_class(F.col("risk_score")),
+        "risk_class": risk_class("risk_score"),
     }).drop("kyc")
 
 
 def shown_fingerprint() -> Column:
-    return F.concat(F.substring("fingerprint", 1, SHOWN_FINGERPRINT), F.lit("..."))
+    return F.expr(f"concat(substring(fingerprint, 1, {SHOWN_FINGERPRINT}), '...')")
 
 
 def high_risk(classified: DataFrame) -> DataFrame:

@@ -6,36 +6,39 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from entigrid.fixed_values import CLEANSED_FIELDS, INGEST_OFFSHORE, RAW_FIELDS
 from entigrid.functions import keys, validate
-from entigrid.functions.lists import joined, present
-from entigrid.functions.text import is_blank, normalize_address, normalize_name, text
+from entigrid.functions.sql import joined, one_of, present, quoted
+from entigrid.functions.text import normalize_address, normalize_name, not_blank, text
 from entigrid.schema import ORDER_FIELDS
 
 
-def empty_record() -> Column:
-    """True where name, country and LEI are all blank."""
-    return (
-        is_blank(text("legal_name")) & is_blank(text("country")) & is_blank(text("lei"))
-    )
+def has_content() -> str:
+    """Condition: name, country or LEI is not blank."""
+    fields = (f"coalesce({f}, '')" for f in ("legal_name", "country", "lei"))
+    return f"({' OR '.join(map(not_blank, fields))})"
 
 
 def rejects(raw: DataFrame) -> DataFrame:
     """The rejected records with the issue to report."""
-    return raw.filter(empty_record()).select(
-        text("id").alias("id"),
+    return raw.filter(f"NOT {has_content()}").select(
+        text("id"),
         "source_file",
         *ORDER_FIELDS,
-        F.concat(text("id"), F.lit(": REJECTED — empty record")).alias("issue"),
+        F.expr("concat(coalesce(id, ''), ': REJECTED — empty record')").alias("issue"),
     )
 
 
-def risk_flag_conditions() -> dict[str, Column]:
-    """Ingest risk flags over the normalized columns."""
-    return {
-        "HIGH_RISK:shell_company": F.col("entity_type") == "SHELL_COMPANY",
-        "HIGH_RISK:suspended_entity": F.col("status") == "SUSPENDED",
-        "HIGH_RISK:offshore_no_lei": F.col("country").isin(INGEST_OFFSHORE)
-        & (F.col("lei_status") != "OK"),
-    }
+def risk_flag_conditions() -> list[tuple[str, str]]:
+    """Ingest risk flags over the normalized columns, as (label, condition)."""
+    offshore = one_of("country", INGEST_OFFSHORE)
+    return [
+        ("HIGH_RISK:shell_company", "entity_type = 'SHELL_COMPANY'"),
+        ("HIGH_RISK:suspended_entity", "status = 'SUSPENDED'"),
+        ("HIGH_RISK:offshore_no_lei", f"{offshore} AND lei_status <> 'OK'"),
+    ]
+
+
+def labels(pairs: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    return [(quoted(label), condition) for label, condition in pairs]
 
 
 def normalize(raw: DataFrame) -> DataFrame:
@@ -44,70 +47,73 @@ def normalize(raw: DataFrame) -> DataFrame:
     ``*_changed`` columns tell which values normalization altered. Unused columns of the
     result are pruned by the optimizer, down to the scan.
     """
-    accepted = raw.filter(~empty_record()).select(
-        *(text(f).alias(f) for f in RAW_FIELDS), "source_file", *ORDER_FIELDS
+    accepted = raw.filter(has_content()).select(
+        *(text(f) for f in RAW_FIELDS), "source_file", *ORDER_FIELDS
     )
     # Each step uses its input more than once, so it is a column of its own: the optimizer
     # then computes it once instead of inlining it.
     values = (
         accepted.withColumns({
-            "clean_name": normalize_name(F.col("legal_name")),
-            "clean_address": normalize_address(F.col("address")),
+            "clean_name": normalize_name("legal_name"),
+            "clean_address": normalize_address("address"),
             "clean_country": F.upper("country"),
-            "clean_type": validate.entity_type(F.col("entity_type")),
-            "lei_digits": validate.lei_digits(F.col("lei")),
+            "clean_type": validate.entity_type("entity_type"),
+            "lei_digits": validate.lei_digits("lei"),
         })
         .withColumns({
-            "lei_status": validate.lei_status(F.col("lei"), F.col("lei_digits")),
-            "key_text": keys.key_text(F.col("clean_name"), F.col("clean_country"), F.col("lei")),
+            "lei_status": validate.lei_status("lei", "lei_digits"),
+            "key_text": keys.key_text("clean_name", "clean_country", "lei"),
         })
-        .withColumn("full_key", keys.key_digest(F.col("key_text")))
+        .withColumn("full_key", keys.key_digest("key_text"))
     )
 
-    def changed(clean: str, original: str) -> Column:
-        return (F.col(clean) != F.col(original)) & ~is_blank(F.col(original))
+    def changed(clean: str, original: str) -> str:
+        return f"{clean} <> {original} AND {not_blank(original)}"
 
-    return values.select(
+    return values.selectExpr(
         "id",
-        F.col("clean_name").alias("legal_name"),
-        F.col("clean_country").alias("country"),
+        "clean_name AS legal_name",
+        "clean_country AS country",
         "lei",
-        F.col("clean_type").alias("entity_type"),
+        "clean_type AS entity_type",
         "incorporation_date",
         "status",
-        F.col("clean_address").alias("address"),
+        "clean_address AS address",
         "contact_email",
         "annual_revenue_eur",
-        validate.flag(F.col("lei_status") == "OK").alias("lei_valid"),
+        "CAST(lei_status = 'OK' AS BIGINT) AS lei_valid",
         "lei_status",
-        validate.flag(validate.email_valid(F.col("contact_email"))).alias("email_valid"),
-        validate.flag(validate.country_known(F.col("clean_country"))).alias("country_valid"),
+        f"CAST({validate.email_valid('contact_email')} AS BIGINT) AS email_valid",
+        f"CAST({validate.country_known('clean_country')} AS BIGINT) AS country_valid",
         "full_key",
         "source_file",
         *ORDER_FIELDS,
-        changed("clean_name", "legal_name").alias("name_changed"),
-        changed("clean_address", "address").alias("address_changed"),
-        changed("clean_type", "entity_type").alias("type_changed"),
+        f"{changed('clean_name', 'legal_name')} AS name_changed",
+        f"{changed('clean_address', 'address')} AS address_changed",
+        f"{changed('clean_type', 'entity_type')} AS type_changed",
     )
 
 
 def notes() -> Column:
     """Cleansing notes in their fixed order, over a normalized and duplicate-flagged table."""
     return present([
-        ("name_normalized", F.col("name_changed")),
-        ("address_normalized", F.col("address_changed")),
-        ("country_invalid_or_missing", F.col("country_valid") == 0),
-        ("entity_type_normalized", F.col("type_changed")),
-        (F.concat(F.lit("lei_"), "lei_status"), F.col("lei_valid") == 0),
-        *risk_flag_conditions().items(),
-        (F.concat(F.lit("DUPLICATE:matches_"), "duplicate_of"), F.col("duplicate_of").isNotNull()),
+        ("'name_normalized'", "name_changed"),
+        ("'address_normalized'", "address_changed"),
+        ("'country_invalid_or_missing'", "country_valid = 0"),
+        ("'entity_type_normalized'", "type_changed"),
+        ("concat('lei_', lei_status)", "lei_valid = 0"),
+        *labels(risk_flag_conditions()),
+        ("concat('DUPLICATE:matches_', duplicate_of)", "duplicate_of IS NOT NULL"),
     ])
 
 
 def with_notes(flagged: DataFrame) -> DataFrame:
     """The cleansed table: 17 fields, the notes as a list, and the ingest order."""
-    noted = flagged.withColumn("notes", notes())
-    return noted.withColumns({
-        "dedup_key": keys.shown_key(F.col("full_key")),
-        "cleansing_notes": joined("notes", "clean"),
-    }).select(*CLEANSED_FIELDS, "notes", "duplicate_of", *ORDER_FIELDS)
+    return (
+        flagged.withColumn("notes", notes())
+        .withColumns({
+            "dedup_key": keys.shown_key("full_key"),
+            "cleansing_notes": joined("notes", "clean"),
+        })
+        .select(*CLEANSED_FIELDS, "notes", "duplicate_of", *ORDER_FIELDS)
+    )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from entigrid.fixed_values import (
@@ -24,27 +22,26 @@ IDENTITY_FIELDS = ["id", "legal_name", "country", "lei", "entity_type", "status"
 
 def trust_score() -> Column:
     """0 to 100 over name, country, lei, entity_type and status; lengths in bytes."""
-    name_bytes = F.octet_length("legal_name")
     parts = [
-        (name_bytes > 2, TRUST_NAME_OVER_2_BYTES),
-        (name_bytes > 5, TRUST_NAME_OVER_5_BYTES),
-        (country_format_valid(F.col("country")), TRUST_COUNTRY_FORMAT),
-        (lei_format_valid(F.col("lei")), TRUST_LEI_FORMAT),
-        (F.col("entity_type") != "", TRUST_ENTITY_TYPE),
-        *((F.col("status") == status, points) for status, points in TRUST_STATUS.items()),
+        ("octet_length(legal_name) > 2", TRUST_NAME_OVER_2_BYTES),
+        ("octet_length(legal_name) > 5", TRUST_NAME_OVER_5_BYTES),
+        (country_format_valid("country"), TRUST_COUNTRY_FORMAT),
+        (lei_format_valid("lei"), TRUST_LEI_FORMAT),
+        ("entity_type <> ''", TRUST_ENTITY_TYPE),
+        *((f"status = '{status}'", points) for status, points in TRUST_STATUS.items()),
     ]
-    points = [F.when(condition, p).otherwise(0) for condition, p in parts]
-    return reduce(lambda a, b: a + b, points).cast("double")
+    total = " + ".join(f"if({condition}, {points}, 0)" for condition, points in parts)
+    return F.expr(f"CAST({total} AS DOUBLE)")
 
 
-def has_identity() -> Column:
-    """False for a party with neither name nor country, whatever its LEI."""
-    return (F.col("legal_name") != "") | (F.col("country") != "")
+def has_identity() -> str:
+    """Condition: false for a party with neither name nor country, whatever its LEI."""
+    return "(legal_name <> '' OR country <> '')"
 
 
 def identity_columns(parties: DataFrame, algorithm: str = "sha256") -> DataFrame:
     """Add fingerprint, format checks and trust score to every row."""
-    parts = [F.col(c) for c in ("legal_name", "country", "lei", "entity_type")]
+    parts = ("legal_name", "country", "lei", "entity_type")
     if algorithm == "sha256":
         fingerprint = fingerprint_sha256(*parts)
     elif algorithm == "blake3":
@@ -53,8 +50,8 @@ def identity_columns(parties: DataFrame, algorithm: str = "sha256") -> DataFrame
         raise ValueError(f"unknown fingerprint algorithm: {algorithm}")
     return parties.withColumns({
         "fingerprint": fingerprint,
-        "lei_format_valid": lei_format_valid(F.col("lei")),
-        "country_format_valid": country_format_valid(F.col("country")),
+        "lei_format_valid": F.expr(lei_format_valid("lei")),
+        "country_format_valid": F.expr(country_format_valid("country")),
         "trust": trust_score(),
     })
 

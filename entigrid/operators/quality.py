@@ -19,14 +19,15 @@ from entigrid.fixed_values import (
     TRUST_BAND_ELSE,
     TRUST_BANDS,
 )
-from entigrid.functions.text import is_blank
+from entigrid.functions.sql import one_of, present
+from entigrid.functions.text import not_blank
 from entigrid.schema import ORDER_FIELDS
 
 TYPED_FIELDS = {
-    "annual_revenue_eur": "double",
-    "lei_valid": "long",
-    "email_valid": "long",
-    "country_valid": "long",
+    "annual_revenue_eur": "DOUBLE",
+    "lei_valid": "BIGINT",
+    "email_valid": "BIGINT",
+    "country_valid": "BIGINT",
 }
 DISTRIBUTION_FIELDS = ["country", "entity_type", "status"]
 
@@ -35,12 +36,14 @@ def typed(cleansed: DataFrame) -> DataFrame:
     """The cleansed table with missing markers as null, revenue and flags as numbers."""
 
     def value(name: str) -> Column:
-        as_text = F.col(name).cast("string")
-        known = F.when(~as_text.isin(MISSING_MARKERS), as_text)
-        return known.try_cast(TYPED_FIELDS[name]) if name in TYPED_FIELDS else known
+        as_text = f"CAST({name} AS STRING)"
+        known = f"if({one_of(as_text, MISSING_MARKERS)}, NULL, {as_text})"
+        if name in TYPED_FIELDS:
+            known = f"TRY_CAST({known} AS {TYPED_FIELDS[name]})"
+        return F.expr(f"{known} AS {name}")
 
     order = [c for c in ORDER_FIELDS if c in cleansed.columns]
-    return cleansed.select(*(value(f).alias(f) for f in CLEANSED_FIELDS), *order)
+    return cleansed.select(*(value(f) for f in CLEANSED_FIELDS), *order)
 
 
 # Profiles and distributions ---------------------------------------------------
@@ -119,70 +122,51 @@ def distribution_sizes(table: DataFrame) -> DataFrame:
 # Anomalies --------------------------------------------------------------------
 
 
-def anomaly_kinds() -> list[tuple[str, str, Column, Column]]:
+def anomaly_kinds() -> list[tuple[str, str, str, str]]:
     """(type, severity, condition, description) in reporting order, over a typed table."""
+    invalid = "coalesce(lei_valid = 0, false)"
+    no_lei = "(lei IS NULL OR lei = 'MISSING')"
+    notes = "coalesce(cleansing_notes, '')"
 
-    def blank(name: str) -> Column:
-        return F.col(name).isNull() | is_blank(F.col(name))
+    def blank(name: str) -> str:
+        return f"({name} IS NULL OR NOT {not_blank(name)})"
 
-    invalid = F.coalesce(F.col("lei_valid") == 0, F.lit(False))
-    no_lei = F.col("lei").isNull() | (F.col("lei") == "MISSING")
-    revenue = F.col("annual_revenue_eur")
-    found = F.coalesce("cleansing_notes", F.lit(""))
     return [
-        ("MISSING_NAME", "HIGH", blank("legal_name"), F.lit("Party has no legal name")),
-        ("MISSING_COUNTRY", "HIGH", blank("country"), F.lit("Party has no country code")),
-        ("INVALID_LEI", "HIGH", invalid & ~no_lei,
-         F.concat(F.lit("LEI present but invalid: "), "lei")),
-        ("MISSING_LEI", "MEDIUM", invalid & no_lei, F.lit("No LEI provided")),
-        ("ZERO_REVENUE", "MEDIUM", revenue == 0, F.lit("Entity reports zero revenue")),
-        ("EXTREME_REVENUE", "LOW", revenue > EXTREME_REVENUE_EUR,
-         F.lit("Revenue exceeds €100B — verify")),
-        ("DUPLICATE_RECORD", "HIGH", found.contains("DUPLICATE"),
-         F.concat(F.lit("Potential duplicate: "), "cleansing_notes")),
-        ("HIGH_RISK_FLAG", "CRITICAL", found.contains("HIGH_RISK"),
-         F.concat(F.lit("High risk flag: "), "cleansing_notes")),
+        ("MISSING_NAME", "HIGH", blank("legal_name"), "'Party has no legal name'"),
+        ("MISSING_COUNTRY", "HIGH", blank("country"), "'Party has no country code'"),
+        ("INVALID_LEI", "HIGH", f"{invalid} AND NOT {no_lei}",
+         "concat('LEI present but invalid: ', lei)"),
+        ("MISSING_LEI", "MEDIUM", f"{invalid} AND {no_lei}", "'No LEI provided'"),
+        ("ZERO_REVENUE", "MEDIUM", "annual_revenue_eur = 0", "'Entity reports zero revenue'"),
+        ("EXTREME_REVENUE", "LOW", f"annual_revenue_eur > {EXTREME_REVENUE_EUR}",
+         "'Revenue exceeds €100B — verify'"),
+        ("DUPLICATE_RECORD", "HIGH", f"contains({notes}, 'DUPLICATE')",
+         "concat('Potential duplicate: ', cleansing_notes)"),
+        ("HIGH_RISK_FLAG", "CRITICAL", f"contains({notes}, 'HIGH_RISK')",
+         "concat('High risk flag: ', cleansing_notes)"),
     ]
 
 
 def anomalies(table: DataFrame) -> DataFrame:
     """One row per anomaly; ``position`` orders the anomalies of a party."""
-    none = F.array().cast(
-        "array<struct<position:int,type:string,severity:string,description:string>>"
-    )
-    found = [
-        F.when(
+    found = present(
+        (
+            f"named_struct('position', {position}, 'type', '{kind}', 'severity', '{severity}',"
+            f" 'description', {description})",
             condition,
-            F.array(
-                F.struct(
-                    F.lit(position).alias("position"),
-                    F.lit(kind).alias("type"),
-                    F.lit(severity).alias("severity"),
-                    description.alias("description"),
-                )
-            ),
-        ).otherwise(none)
+        )
         for position, (kind, severity, condition, description) in enumerate(anomaly_kinds())
-    ]
-    order = [c for c in ORDER_FIELDS if c in table.columns]
-    return table.select(
-        F.coalesce("id", F.lit("UNKNOWN")).alias("party_id"),
-        *order,
-        F.inline(F.concat(*found)),
     )
+    order = [c for c in ORDER_FIELDS if c in table.columns]
+    return table.select(F.expr("coalesce(id, 'UNKNOWN') AS party_id"), *order, F.inline(found))
 
 
 def severity_totals() -> dict[str, Column]:
     """Aggregates that count the anomalies of each severity without listing them."""
     totals = {}
     for severity in SEVERITIES:
-        hits = [
-            F.when(condition, 1).otherwise(0)
-            for _, kind_severity, condition, _ in anomaly_kinds()
-            if kind_severity == severity
-        ]
-        per_row = reduce(lambda a, b: a + b, hits)
-        totals[severity] = F.coalesce(F.sum(per_row), F.lit(0)).cast("long")
+        hits = [f"if({c}, 1, 0)" for _, kind_severity, c, _ in anomaly_kinds() if kind_severity == severity]
+        totals[severity] = F.expr(f"CAST(coalesce(sum({' + '.join(hits)}), 0) AS BIGINT)")
     return totals
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from entigrid.fixed_values import PROFILED_FIELDS, SEVERITIES
 from entigrid.functions.keys import key_digest, key_text
-from entigrid.functions.text import is_blank, normalize_name, text
+from entigrid.functions.text import normalize_name, not_blank, text
 from entigrid.functions.validate import flag
-from entigrid.operators.cleanse import empty_record
+from entigrid.operators.cleanse import has_content
 from entigrid.operators.quality import (
     DISTRIBUTION_FIELDS,
     field_band,
@@ -29,22 +29,19 @@ def ingestion_stats(raw: DataFrame, files_processed: int) -> DataFrame:
     keys is enough: no record is matched with another. Counts are combined per key before
     the shuffle. The file count comes from the listing, as an empty file has no record.
     """
-    kept = ~empty_record()
     checked = (
         raw.select(
-            kept.alias("kept"),
-            text("legal_name").alias("legal_name"),
-            F.upper(text("country")).alias("country"),
-            text("lei").alias("lei"),
+            F.expr(has_content()).alias("kept"),
+            text("legal_name"),
+            F.expr("upper(coalesce(country, ''))").alias("country"),
+            text("lei"),
         )
-        .withColumn("clean_name", normalize_name(F.col("legal_name")))
-        .withColumn("key_text", key_text(F.col("clean_name"), F.col("country"), F.col("lei")))
+        .withColumn("clean_name", normalize_name("legal_name"))
+        .withColumn("key_text", key_text("clean_name", "country", "lei"))
         .select(
-            F.when(F.col("kept"), key_digest(F.col("key_text"))).alias("full_key"),
+            F.when(F.col("kept"), key_digest("key_text")).alias("full_key"),
             flag(
-                F.col("kept")
-                & (F.col("clean_name") != F.col("legal_name"))
-                & ~is_blank(F.col("legal_name"))
+                f"kept AND clean_name <> legal_name AND {not_blank('legal_name')}"
             ).alias("renamed"),
         )
     )

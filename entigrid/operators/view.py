@@ -26,9 +26,9 @@ def latest_per_id(table: DataFrame, fields: list[str], key: str = "id") -> DataF
 
 
 def _defaults(name: str) -> Column:
-    kind = VIEW_SCHEMA[name].dataType
-    empty = "" if kind.simpleString() == "string" else 0
-    return F.coalesce(F.col(name), F.lit(empty)).cast(kind).alias(name)
+    kind = VIEW_SCHEMA[name].dataType.simpleString()
+    empty = "''" if kind == "string" else "0"
+    return F.expr(f"CAST(coalesce({name}, {empty}) AS {kind}) AS {name}")
 
 
 def merged_view(cleansed: DataFrame, identity: DataFrame, classified: DataFrame) -> DataFrame:
@@ -56,15 +56,15 @@ def party_view(
     order = ingest_order()
     latest = cleansed.groupBy("id").agg(
         F.max_by(row, order).alias("base"),
-        F.max_by(row, F.when(has_identity(), order)).alias("identified"),
+        F.max_by(row, F.when(F.expr(has_identity()), order)).alias("identified"),
     )
     known = latest.select("id", "base", "identified", "identified.*")
     derived = classify(identity_columns(known, algorithm), lei_flag)
     derived_fields = ["fingerprint", "kyc_level", "risk_score", "risk_class", "trust"]
     masked = derived.select(
         "id",
-        *(F.col(f"base.{f}").alias(f) for f in BASE_FIELDS[1:]),
-        *(F.when(F.col("identified").isNotNull(), F.col(f)).alias(f) for f in derived_fields),
+        *(f"base.{f}" for f in BASE_FIELDS[1:]),
+        *(F.expr(f"if(identified IS NOT NULL, {f}, NULL) AS {f}") for f in derived_fields),
     )
     return masked.select(*(_defaults(f) for f in VIEW_FIELDS))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from entigrid.fixed_values import CLASSIFIED_HEADER
-from entigrid.functions.lists import joined
+from entigrid.functions.sql import joined
 from entigrid.operators.classify import CLASSIFIED_FIELDS, classify, shown_fingerprint
 from entigrid.schema import ORDER_FIELDS
 

@@ -13,11 +13,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from entigrid.fixed_values import CLEANSED_FIELDS, RAW_FIELDS, SEVERITIES
 from entigrid.functions import keys, validate
-from entigrid.functions.lists import joined, present
+from entigrid.functions.sql import joined, present
 from entigrid.functions.text import normalize_address, normalize_name
 from entigrid.operators import classify as rules
 from entigrid.operators import quality, reports, rule_tables, view, wire
-from entigrid.operators.cleanse import empty_record, normalize, rejects, risk_flag_conditions
+from entigrid.operators.cleanse import (
+    has_content,
+    labels,
+    normalize,
+    rejects,
+    risk_flag_conditions,
+)
 from entigrid.operators.duplicates import flag_duplicates
 from entigrid.operators.identity import has_identity, identities
 from entigrid.plans.pipeline import classified_parties, cleanse
@@ -51,7 +57,7 @@ feed = read_derived_parties
 
 
 def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed(spark, sf_dir).filter(~empty_record())
+    return feed(spark, sf_dir).filter(has_content())
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,31 +103,30 @@ def reject_empty(spark, sf_dir):
 @query
 def normalize_names(spark, sf_dir):
     return accepted(spark, sf_dir).select(
-        "id", normalize_name(F.col("legal_name")).alias("clean_name")
+        "id", normalize_name("legal_name").alias("clean_name")
     )
 
 
 @query
 def normalize_addresses(spark, sf_dir):
     return accepted(spark, sf_dir).select(
-        "id", normalize_address(F.col("address")).alias("clean_address")
+        "id", normalize_address("address").alias("clean_address")
     )
 
 
 @query
 def country_valid(spark, sf_dir):
-    upper = F.upper("country")
     return accepted(spark, sf_dir).select(
         "id",
-        upper.alias("country"),
-        validate.flag(validate.country_known(upper)).alias("country_valid"),
+        F.upper("country").alias("country"),
+        validate.flag(validate.country_known("upper(country)")).alias("country_valid"),
     )
 
 
 @query
 def entity_type_norm(spark, sf_dir):
     return accepted(spark, sf_dir).select(
-        "id", validate.entity_type(F.col("entity_type")).alias("entity_type")
+        "id", validate.entity_type("entity_type").alias("entity_type")
     )
 
 
@@ -135,14 +140,14 @@ def email_valid(spark, sf_dir):
     return accepted(spark, sf_dir).select(
         "id",
         "contact_email",
-        validate.flag(validate.email_valid(F.col("contact_email"))).alias("email_valid"),
+        validate.flag(validate.email_valid("contact_email")).alias("email_valid"),
     )
 
 
 @query
 def dedup_key(spark, sf_dir):
     return normalized(spark, sf_dir).select(
-        "id", "full_key", keys.shown_key(F.col("full_key")).alias("dedup_key")
+        "id", "full_key", keys.shown_key("full_key").alias("dedup_key")
     )
 
 
@@ -153,7 +158,7 @@ def first_seen_duplicates(spark, sf_dir):
 
 @query
 def ingest_flags(spark, sf_dir):
-    flags = present(risk_flag_conditions().items())
+    flags = present(labels(risk_flag_conditions()))
     return normalized(spark, sf_dir).select("id", F.array_join(flags, ";").alias("flags"))
 
 

@@ -34,9 +34,8 @@ def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
 def _with_provenance(scan: DataFrame, source_rank: int) -> DataFrame:
     """The raw fields, source file and ingest order, selected directly on the scan."""
     known = set(scan.columns)
-    fields = [text(f) if f in known else F.lit("") for f in RAW_FIELDS]
     return scan.select(
-        *(column.alias(name) for column, name in zip(fields, RAW_FIELDS)),
+        *(text(f) if f in known else F.lit("").alias(f) for f in RAW_FIELDS),
         file_name().alias("source_file"),
         *order_columns(source_rank),
     )
