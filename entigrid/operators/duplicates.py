@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, functions as F
 
-from entigrid.schema import ORDER_FIELDS, ingest_order
+from entigrid.schema import ORDER_FIELDS
 
 # The groups joined by broadcast. Any key outside the HOT_GROUPS largest groups holds less
 # than one row in HOT_GROUPS of the whole table, so no shuffle partition can be swamped by
@@ -13,15 +16,14 @@ HOT_GROUPS = 1024
 
 
 def duplicate_groups(keyed: DataFrame, key: str = "full_key") -> DataFrame:
-    """One row per key that occurs more than once: its first id, first position and size.
+    """One row per key that occurs more than once: its first position with the id, its size.
 
     Keys are combined before the shuffle, so a hot key sends one row per task.
     """
     return (
         keyed.groupBy(key)
         .agg(
-            F.min_by("id", ingest_order()).alias("first_id"),
-            F.min(ingest_order()).alias("first_order"),
+            F.min(F.struct(*ORDER_FIELDS, "id")).alias("first"),
             F.count("*").alias("group_size"),
         )
         .filter("group_size > 1")
@@ -35,21 +37,17 @@ def flag_duplicates(
 
     Rows are kept, never dropped. The largest groups are matched by a broadcast of at most
     ``HOT_GROUPS`` rows; their rows then get a spread-out key of their own, so the join on
-    the remaining groups sees no hot key. Pass ``groups`` when they are already stored.
+    the remaining groups sees no hot key. Pass ``groups`` when they are already stored;
+    else they are aggregated from one shuffle that both joins read.
     """
     if groups is None:
         groups = duplicate_groups(keyed, key)
     hot = (
         groups.orderBy(F.desc("group_size"), key)
         .limit(HOT_GROUPS)
-        .select(
-            F.col(key).alias("hot_key"),
-            F.struct("first_id", "first_order").alias("hot_first"),
-        )
-    )
-    rest = groups.select(
-        F.col(key).alias("rest_key"), F.struct("first_id", "first_order").alias("rest_first")
+        .select(F.col(key).alias("hot_key"), F.col("first").alias("hot_first"))
     )
+    rest = groups.select(F.col(key).alias("rest_key"), F.col("first").alias("rest_first"))
     spread = F.concat(F.lit("hot:"), F.xxhash64(*ORDER_FIELDS).cast("string"))
     marked = keyed.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left").withColumn(
         "rest_lookup", F.when(F.col("hot_key").isNull(), F.col(key)).otherwise(spread)
@@ -57,9 +55,8 @@ def flag_duplicates(
     joined = marked.join(rest, F.col("rest_lookup") == F.col("rest_key"), "left").withColumn(
         "first", F.coalesce("hot_first", "rest_first")
     )
+    is_first = reduce(and_, (F.col(f) == F.col(f"first.{f}") for f in ORDER_FIELDS))
     return joined.select(
         *(F.col(c) for c in keyed.columns),
-        F.when(ingest_order() > F.col("first.first_order"), F.col("first.first_id")).alias(
-            "duplicate_of"
-        ),
+        F.when(~is_first, F.col("first.id")).alias("duplicate_of"),
     )
