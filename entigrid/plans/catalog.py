@@ -72,6 +72,19 @@ def table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.typed(cleansed(spark, sf_dir))
 
 
+def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stored cleansed table, for queries that pass over it repeatedly."""
+    path = scratch_path(spark, "cleansed")
+    sinks.write_cleansed(cleansed(spark, sf_dir), path)
+    return quality.typed(spark.read.parquet(path))
+
+
+def unflagged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed table without notes, for what only looks at the profiled fields."""
+    absent = {"dedup_key": F.lit(""), "cleansing_notes": F.lit("")}
+    return quality.typed(normalized(spark, sf_dir).withColumns(absent))
+
+
 def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Identities need no duplicate flags, so nothing is shuffled for them."""
     return identities(normalized(spark, sf_dir))
@@ -400,38 +413,30 @@ def _rounded(name: str) -> Column:
 
 @query
 def field_profile(spark, sf_dir):
-    # Duplicate flags do not matter to the profiled fields.
-    raw = normalized(spark, sf_dir).withColumns({"dedup_key": F.lit(""), "cleansing_notes": F.lit("")})
-    return quality.field_profile(quality.typed(raw)).select(
+    return quality.field_profile(unflagged_table(spark, sf_dir)).select(
         "field_name", "total", "present", "missing", "unique_values",
         _rounded("completeness_pct"), _rounded("uniqueness_pct"),
     )
 
 
-def _distribution(spark, sf_dir, field) -> DataFrame:
-    raw = normalized(spark, sf_dir).withColumns({"dedup_key": F.lit(""), "cleansing_notes": F.lit("")})
-    return quality.distribution(quality.typed(raw), field)
-
-
 @query
 def dist_country(spark, sf_dir):
-    return _distribution(spark, sf_dir, "country")
+    return quality.distribution(unflagged_table(spark, sf_dir), "country")
 
 
 @query
 def dist_entity_type(spark, sf_dir):
-    return _distribution(spark, sf_dir, "entity_type")
+    return quality.distribution(unflagged_table(spark, sf_dir), "entity_type")
 
 
 @query
 def dist_status(spark, sf_dir):
-    return _distribution(spark, sf_dir, "status")
+    return quality.distribution(unflagged_table(spark, sf_dir), "status")
 
 
 @query
 def dist_sizes(spark, sf_dir):
-    raw = normalized(spark, sf_dir).withColumns({"dedup_key": F.lit(""), "cleansing_notes": F.lit("")})
-    return quality.distribution_sizes(quality.typed(raw))
+    return quality.distribution_sizes(unflagged_table(spark, sf_dir))
 
 
 @query
@@ -454,13 +459,13 @@ def quality_score(spark, sf_dir):
 
 @query
 def quality_bands(spark, sf_dir):
-    profile = field_profile(spark, sf_dir)
-    fields = profile.select(
+    stored = stored_table(spark, sf_dir)
+    fields = quality.field_profile(stored).select(
         F.col("field_name").alias("name"),
-        F.col("completeness_pct").alias("value"),
+        F.round("completeness_pct", 6).alias("value"),
         quality.field_band(F.col("completeness_pct")).alias("band"),
     )
-    score = quality.quality_score(table(spark, sf_dir)).select(
+    score = quality.quality_score(stored).select(
         F.lit("score").alias("name"), F.col("quality_score").alias("value"), "band"
     )
     return fields.unionByName(score)
@@ -469,7 +474,7 @@ def quality_bands(spark, sf_dir):
 @query
 def quality_report(spark, sf_dir):
     """The report document with its profile map unfolded to columns."""
-    report = reports.quality_report(reports.quality_sections(table(spark, sf_dir)))
+    report = reports.quality_report(reports.quality_sections(stored_table(spark, sf_dir)))
     profile = F.element_at("completeness", "country")
     return report.select(
         "total_records",
@@ -485,7 +490,7 @@ def quality_report(spark, sf_dir):
 @query
 def quality_summary(spark, sf_dir):
     """The lines of the text summary, its time stamp left out."""
-    lines = reports.quality_summary(reports.quality_sections(table(spark, sf_dir)))
+    lines = reports.quality_summary(reports.quality_sections(stored_table(spark, sf_dir)))
     return lines.filter("line <> 1").select(F.col("line").cast("long").alias("line"), "value")
 
 
@@ -500,7 +505,7 @@ def ingestion_report(spark, sf_dir):
 @query
 def report_headline(spark, sf_dir):
     path = scratch_path(spark, "report")
-    report = reports.quality_report(reports.quality_sections(table(spark, sf_dir)))
+    report = reports.quality_report(reports.quality_sections(stored_table(spark, sf_dir)))
     report.write.json(path)
     return read_report_headline(spark, path)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -57,9 +58,12 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="entigrid-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return _own_dir()
+
+
+@cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="entigrid-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
