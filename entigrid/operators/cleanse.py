@@ -17,9 +17,9 @@ def has_content() -> str:
     return f"({' OR '.join(map(not_blank, fields))})"
 
 
-def rejects(raw: DataFrame) -> DataFrame:
-    """The rejected records with the issue to report."""
-    return raw.filter(f"NOT {has_content()}").select(
+def issues(rejected: DataFrame) -> DataFrame:
+    """Rejected records with the issue to report."""
+    return rejected.select(
         text("id"),
         "source_file",
         *ORDER_FIELDS,
@@ -27,6 +27,11 @@ def rejects(raw: DataFrame) -> DataFrame:
     )
 
 
+def rejects(raw: DataFrame) -> DataFrame:
+    """The empty records among the raw ones, with the issue to report."""
+    return issues(raw.filter(f"NOT {has_content()}"))
+
+
 def risk_flag_conditions() -> list[tuple[str, str]]:
     """Ingest risk flags over the normalized columns, as (label, condition)."""
     offshore = one_of("country", INGEST_OFFSHORE)
@@ -47,8 +52,18 @@ def normalize(raw: DataFrame) -> DataFrame:
     ``*_changed`` columns tell which values normalization altered. Unused columns of the
     result are pruned by the optimizer, down to the scan.
     """
-    accepted = raw.filter(has_content()).select(
-        *(text(f) for f in RAW_FIELDS), "source_file", *ORDER_FIELDS
+    return _normalized(raw.filter(has_content()))
+
+
+def normalize_marking_rejects(raw: DataFrame) -> DataFrame:
+    """The same for all records, with a column ``rejected``, so that storing the result
+    needs a single pass over the sources."""
+    return _normalized(raw.withColumn("rejected", F.expr(f"NOT {has_content()}")), "rejected")
+
+
+def _normalized(raw: DataFrame, *carried: str) -> DataFrame:
+    accepted = raw.select(
+        *(text(f) for f in RAW_FIELDS), "source_file", *ORDER_FIELDS, *carried
     )
     # Each step uses its input more than once, so it is a column of its own: the optimizer
     # then computes it once instead of inlining it.
@@ -91,6 +106,7 @@ def normalize(raw: DataFrame) -> DataFrame:
         f"{changed('clean_name', 'legal_name')} AS name_changed",
         f"{changed('clean_address', 'address')} AS address_changed",
         f"{changed('clean_type', 'entity_type')} AS type_changed",
+        *carried,
     )
 
 

@@ -56,6 +56,29 @@ def ingestion_stats(raw: DataFrame, files_processed: int) -> DataFrame:
         F.coalesce(F.sum(F.when(~valid, F.col("records"))), F.lit(0)).alias("rejected"),
         F.coalesce(F.sum(F.when(valid, F.col("records") - 1)), F.lit(0)).alias("duplicates"),
     )
+    return _with_share(counts, files_processed)
+
+
+def stored_ingestion_stats(
+    normalized: DataFrame, groups: DataFrame, files_processed: int
+) -> DataFrame:
+    """The same from stored tables: records marked as rejected, and duplicate groups.
+
+    Reads two narrow columns and the group sizes; nothing is normalized again.
+    """
+    records = normalized.agg(
+        F.count("*").alias("total"),
+        F.count_if(~F.col("rejected")).alias("valid"),
+        F.count_if(F.col("name_changed") & ~F.col("rejected")).alias("cleansed"),
+        F.count_if("rejected").alias("rejected"),
+    )
+    repeated = groups.agg(F.coalesce(F.sum(F.col("group_size") - 1), F.lit(0)).alias("duplicates"))
+    both = records.unionByName(repeated, allowMissingColumns=True)
+    names = ["total", "valid", "cleansed", "rejected", "duplicates"]
+    return _with_share(both.agg(*(F.sum(c).alias(c) for c in names)), files_processed)
+
+
+def _with_share(counts: DataFrame, files_processed: int) -> DataFrame:
     share = F.col("valid") / F.greatest("total", F.lit(1)) * 100
     return counts.select(
         F.lit(files_processed).cast("long").alias("files"),

@@ -13,15 +13,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from entigrid.operators.classify import classify
-from entigrid.operators.cleanse import normalize, rejects, with_notes
+from entigrid.operators.cleanse import (
+    issues,
+    normalize,
+    normalize_marking_rejects,
+    with_notes,
+)
 from entigrid.operators.duplicates import duplicate_groups, flag_duplicates
 from entigrid.operators.identity import identities
 from entigrid.operators.quality import typed
 from entigrid.operators.reports import (
     ingestion_report,
-    ingestion_stats,
     now_text,
     quality_sections,
+    stored_ingestion_stats,
 )
 from entigrid.operators.view import party_view
 from entigrid.session import scratch_path
@@ -51,16 +56,31 @@ class Outputs:
         return f"{self.folder.rstrip('/')}/{name}"
 
 
-def store_cleansed(spark: SparkSession, raw: DataFrame, path: str) -> DataFrame:
-    """Cleanse into a stored table by way of stored intermediate steps."""
+def ingest(spark: SparkSession, raw: DataFrame, files: int, out: Outputs) -> DataFrame:
+    """Store cleansed table, rejects, statistics and ingestion report.
+
+    The sources are read once, into a stored table of all normalized records.
+    """
     normalized_path = scratch_path(spark, "normalized")
     groups_path = scratch_path(spark, "duplicate-groups")
-    normalize(raw).write.parquet(normalized_path)
-    normalized = spark.read.parquet(normalized_path)
-    duplicate_groups(normalized).write.parquet(groups_path)
+    normalize_marking_rejects(raw).write.parquet(normalized_path)
+    everything = spark.read.parquet(normalized_path)
+    accepted = everything.filter("NOT rejected").drop("rejected")
+    duplicate_groups(accepted).write.parquet(groups_path)
     groups = spark.read.parquet(groups_path)
-    sinks.write_cleansed(with_notes(flag_duplicates(normalized, groups=groups)), path)
-    return spark.read.parquet(path)
+
+    cleansed = with_notes(flag_duplicates(accepted, groups=groups))
+    sinks.write_cleansed(cleansed, out.path("cleansed"))
+    issues(everything.filter("rejected")).write.parquet(out.path("rejects"))
+    stats = stored_ingestion_stats(everything, groups, files)
+    stats.write.parquet(out.path("ingestion_stats"))
+    report = ingestion_report(
+        spark.read.parquet(out.path("ingestion_stats")),
+        spark.read.parquet(out.path("rejects")),
+        now_text(),
+    )
+    sinks.write_report_lines(report, out.path("ingestion_report"))
+    return spark.read.parquet(out.path("cleansed"))
 
 
 def run(
@@ -75,15 +95,7 @@ def run(
     """Run every stage over a folder of party files into a new output folder."""
     out = Outputs(output_dir)
     raw, files = read_parties(spark, data_dir, json_lines)
-
-    cleansed = store_cleansed(spark, raw, out.path("cleansed"))
-    rejects(raw).write.parquet(out.path("rejects"))
-    stats_path = out.path("ingestion_stats")
-    ingestion_stats(raw, files).write.parquet(stats_path)
-    report = ingestion_report(
-        spark.read.parquet(stats_path), spark.read.parquet(out.path("rejects")), now_text()
-    )
-    sinks.write_report_lines(report, out.path("ingestion_report"))
+    cleansed = ingest(spark, raw, files, out)
 
     classify(identities(cleansed, algorithm), lei_flag).write.parquet(out.path("classified"))
     classified = spark.read.parquet(out.path("classified"))
