@@ -94,6 +94,15 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.classify(identity(spark, sf_dir))
 
 
+def stored_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The classification as a batch run stores it. A filter on a rule's outcome then reaches
+    the scan, instead of repeating the rules below themselves."""
+    path = scratch_path(spark, "classified")
+    fields = ["id", "kyc_level", "risk_score", "risk_class", "obligations"]
+    classified(spark, sf_dir).select(*fields).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def versions(parties: DataFrame) -> DataFrame:
     """Records that repeat another party's key become later versions of that party."""
     key = F.when(F.col("row_pos") % 10 == 8, F.col("row_pos") - 7).otherwise(F.col("row_pos"))
@@ -240,7 +249,7 @@ def obligations(spark, sf_dir):
 
 @query
 def obligation_counts(spark, sf_dir):
-    return rules.obligation_counts(classified(spark, sf_dir))
+    return rules.obligation_counts(stored_classified(spark, sf_dir))
 
 
 @query
@@ -268,10 +277,7 @@ def sanctions_flags(spark, sf_dir):
 
 @query
 def high_risk(spark, sf_dir):
-    """On the stored classification, as in a batch run, so the filter reaches the scan."""
-    path = scratch_path(spark, "classified")
-    classified(spark, sf_dir).select("id", "risk_score", "risk_class").write.parquet(path)
-    return rules.high_risk(spark.read.parquet(path)).select(
+    return rules.high_risk(stored_classified(spark, sf_dir)).select(
         "id", F.col("risk_score").cast("long").alias("risk_score"), "risk_class"
     )
 
