@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from entigrid.fixed_values import VIEW_FIELDS
 from entigrid.operators.classify import classify
 from entigrid.operators.identity import has_identity, identity_columns
-from entigrid.schema import ORDER_FIELDS, VIEW_SCHEMA, ingest_order
+from entigrid.schema import VIEW_SCHEMA, ingest_order
 
 BASE_FIELDS = ["id", "legal_name", "country", "lei", "entity_type", "status"]
 

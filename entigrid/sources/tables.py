@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from entigrid.fixed_values import CLEANSED_FIELDS, SEVERITIES
+from entigrid.functions.text import text
 from entigrid.operators.quality import typed
 from entigrid.schema import ORDER_FIELDS
 from entigrid.sources.provenance import order_columns
@@ -14,12 +15,11 @@ _CLEANSED_TEXT = T.StructType([T.StructField(f, T.StringType()) for f in CLEANSE
 
 
 def read_cleansed_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A cleansed CSV as text columns with the order of its rows."""
-    scan = (
-        spark.read.option("header", True).option("escape", '"').schema(_CLEANSED_TEXT).csv(path)
-    )
+    """A cleansed CSV as text columns with the order of its rows; its header is verified."""
+    options = {"header": True, "escape": '"', "enforceSchema": False}
+    scan = spark.read.options(**options).schema(_CLEANSED_TEXT).csv(path)
     return scan.select(
-        *(F.coalesce(F.col(f), F.lit("")).alias(f) for f in CLEANSED_FIELDS),
+        *(text(f) for f in CLEANSED_FIELDS),
         *order_columns(0),
     )
 
