@@ -196,7 +196,7 @@ def shared_shingles(docs: DataFrame, fragments: int, k: int = K) -> DataFrame:
 
 
 def prefix_postings(shared: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(key, cls, n, score): the shared part of each class's prefix in the order (df, key).
+    """(key, cls, n, pos, score): the shared part of each class's prefix in the order (df, key).
 
     A linked class misses at most n - ceil(percent * n / 100) of the class's shingles, so among
     that many and one more of the rarest there is one they share.
@@ -207,8 +207,14 @@ def prefix_postings(shared: DataFrame, classes: DataFrame, percent: int) -> Data
         grouped.join(classes.select("cls", "n", "u"), "cls")
         .withColumn("take", spare + 1 - (F.col("u") - F.col("m")))
         .filter("take > 0")
-        .select("cls", "n", (F.col("m") / F.col("u")).alias("score"), F.explode(F.slice("order", F.lit(1), F.col("take").cast("int"))).alias("s"))
-        .select(F.col("s.key").alias("key"), "cls", "n", "score")
+        .select(
+            "cls",
+            "n",
+            (F.col("u") - F.col("m")).alias("alone"),
+            (F.col("m") / F.col("u")).alias("score"),
+            F.posexplode(F.slice("order", F.lit(1), F.col("take").cast("int"))).alias("i", "s"),
+        )
+        .select(F.col("s.key").alias("key"), "cls", "n", (F.col("alone") + F.col("i")).alias("pos"), "score")
     )
 
 

@@ -90,15 +90,22 @@ def _pair(a: str, b: str) -> list[Column]:
 def class_components(docs: DataFrame, classes: DataFrame, postings: DataFrame, percent: int, k: int) -> DataFrame:
     """(cls, component) of the classes that are linked with another one.
 
-    docs(doc_id, text); classes(cls, rep, n); postings(key, cls, n, score).
+    docs(doc_id, text); classes(cls, rep, n); postings(key, cls, n, pos, score). ``pos`` is how many
+    shingles of the class come before the key in an order that all classes share (0: no order);
+    at the first key that a pair shares, none of these is common to both.
     """
     postings = stored(postings, "postings")
-    near = lambda x, y: (F.col(f"{x}.n") * 100 >= F.col(f"{y}.n") * percent) & (F.col(f"{y}.n") * 100 >= F.col(f"{x}.n") * percent)
+
+    def near(x: str, y: str) -> Column:
+        """The shingles from the key on are enough for the overlap that a link needs."""
+        need = (F.col(f"{x}.n") + F.col(f"{y}.n")) * percent
+        return ((F.col(f"{x}.n") - F.col(f"{x}.pos")) * (100 + percent) >= need) & ((F.col(f"{y}.n") - F.col(f"{y}.pos")) * (100 + percent) >= need)
+
     hubs = (
         postings.groupBy("key")
-        .agg(F.max(F.struct("score", "cls", "n")).alias("hub"), F.count("*").alias("members"))
+        .agg(F.max(F.struct("score", "cls", "n", "pos")).alias("hub"), F.count("*").alias("members"))
         .filter("members > 1")
-        .select("key", "hub.cls", "hub.n")
+        .select("key", "hub.cls", "hub.n", "hub.pos")
     )
     first = stored(
         hubs.alias("x")
@@ -114,7 +121,7 @@ def class_components(docs: DataFrame, classes: DataFrame, postings: DataFrame, p
 
     placed = stored(
         postings.join(found.withColumnRenamed("node", "cls"), "cls", "left")
-        .select("key", "cls", "n", F.coalesce("component", "cls").alias("component")),
+        .select("key", "cls", "n", "pos", F.coalesce("component", "cls").alias("component")),
         "placed",
     )
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
