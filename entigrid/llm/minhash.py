@@ -161,7 +161,7 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     postings = keyed.join(shared, "key")
     # the class with the most shared bands is the likeliest original of its neighbours
     score = postings.groupBy("cls").agg(F.count("*").cast("double").alias("score"))
-    found = class_components(docs, classes, postings.join(score, "cls").select("key", "cls", "n", F.lit(0).cast("long").alias("pos"), "score"), percent, k)
+    found = class_components(docs, classes, postings.join(score, "cls").select("key", "cls", "n", F.lit(0).cast("long").alias("pos"), "score"), percent, k, fragments=1)
     own = classes.join(found.withColumnRenamed("node", "cls"), "cls", "left")
     own = own.filter("component IS NOT NULL OR members > 1").withColumn("component", F.coalesce("component", "cls"))
     least = own.groupBy("component").agg(F.min("rep").alias("cluster_id"))

@@ -23,7 +23,7 @@ from entigrid.llm.common import small, stored
 from entigrid.llm.components import connected_components
 from entigrid.llm.shingles import set_ids, shingle_sets
 
-FRAGMENTS = 4
+FRAGMENTS = 4  # a power of two
 SEGMENT_TYPE = "cls long, frag int, items array<long>"
 
 
@@ -31,7 +31,7 @@ def linked(overlap: Column, a: Column, b: Column, percent: int) -> Column:
     return (overlap * 100 >= (a + b - overlap) * percent) & (overlap > 0)
 
 
-def _segments(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+def _segments(batches: Iterator[pa.RecordBatch], k: int, fragments: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = shingle_sets(batch.column("text").to_pylist(), k)
         ids = set_ids(sets)
@@ -39,8 +39,9 @@ def _segments(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
         for i, wanted in enumerate(batch.column("cls").to_pylist()):
             if int(ids[i]) != wanted:
                 continue
-            part = (sets[i] >> np.uint64(62)).astype(np.int32)  # sorted, so fragments are stretches
-            for f in range(FRAGMENTS):
+            # the upper bits; sets are sorted, so fragments are stretches
+            part = ((sets[i] >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int32)
+            for f in range(fragments):
                 a, b = np.searchsorted(part, [f, f + 1])
                 if b > a:
                     cls.append(wanted)
@@ -52,15 +53,15 @@ def _segments(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(frag, pa.int32()), lists], ["cls", "frag", "items"])
 
 
-def segments(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+def segments(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int, fragments: int) -> DataFrame:
     """(cls, frag, items) of the wanted classes; their sets are made again from one text of each."""
     chosen = classes.join(wanted, "cls", "left_semi").select("rep", "cls")
     same = F.col("doc_id").eqNullSafe(F.col("rep"))
     texts = docs.select("doc_id", "text").join(small(chosen), same).select("cls", "text")
-    return stored(texts.mapInArrow(lambda it: _segments(it, k), SEGMENT_TYPE), "segments")
+    return stored(texts.mapInArrow(lambda it: _segments(it, k, fragments), SEGMENT_TYPE), "segments")
 
 
-def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+def overlaps(pairs: DataFrame, parts: DataFrame, fragments: int) -> DataFrame:
     """pairs(a, b, na, nb) with their overlap, counted per fragment and summed."""
     left = parts.select(F.col("cls").alias("b"), "frag", F.col("items").alias("its"))
     right = parts.select(F.col("cls").alias("a"), "frag", "items")
@@ -71,12 +72,12 @@ def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
         .select("a", "b", "na", "nb", "frag", F.size(F.array_intersect("items", "its")).alias("n"))
     )
     # a class can be cut twice where rows repeat a doc_id; a fragment counts once
-    each = [F.max(F.when(F.col("frag") == f, F.col("n")).otherwise(0)) for f in range(FRAGMENTS)]
+    each = [F.max(F.when(F.col("frag") == f, F.col("n")).otherwise(0)) for f in range(fragments)]
     return partial.groupBy("a", "b", "na", "nb").agg(sum(each[1:], each[0]).alias("overlap"))
 
 
-def _verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    found = overlaps(pairs, parts).filter(linked(F.col("overlap"), F.col("na"), F.col("nb"), percent))
+def _verified(pairs: DataFrame, parts: DataFrame, percent: int, fragments: int) -> DataFrame:
+    found = overlaps(pairs, parts, fragments).filter(linked(F.col("overlap"), F.col("na"), F.col("nb"), percent))
     return stored(found.select("a", "b"), "links")
 
 
@@ -87,7 +88,7 @@ def _pair(a: str, b: str) -> list[Column]:
     return [pick(a, b, "cls").alias("a"), pick(b, a, "cls").alias("b"), pick(a, b, "n").alias("na"), pick(b, a, "n").alias("nb")]
 
 
-def class_components(docs: DataFrame, classes: DataFrame, postings: DataFrame, percent: int, k: int) -> DataFrame:
+def class_components(docs: DataFrame, classes: DataFrame, postings: DataFrame, percent: int, k: int, fragments: int = FRAGMENTS) -> DataFrame:
     """(cls, component) of the classes that are linked with another one.
 
     docs(doc_id, text); classes(cls, rep, n); postings(key, cls, n, pos, score). ``pos`` is how many
@@ -116,7 +117,7 @@ def class_components(docs: DataFrame, classes: DataFrame, postings: DataFrame, p
         "pairs",
     )
     ends = lambda p: p.select(F.col("a").alias("cls")).union(p.select(F.col("b").alias("cls"))).distinct()
-    links = _verified(first, segments(docs, classes, ends(first), k), percent)
+    links = _verified(first, segments(docs, classes, ends(first), k, fragments), percent, fragments)
     found = connected_components(links)
 
     placed = stored(
@@ -146,5 +147,5 @@ def class_components(docs: DataFrame, classes: DataFrame, postings: DataFrame, p
     rest = stored(rest.join(first, ["a", "b"], "left_anti"), "pairs")
     if rest.isEmpty():
         return found
-    more = _verified(rest, segments(docs, classes, ends(rest), k), percent)
+    more = _verified(rest, segments(docs, classes, ends(rest), k, fragments), percent, fragments)
     return connected_components(links.union(more))
