@@ -11,8 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from entigrid.session import scratch_path, tune
 
 # Texts go to Python in small batches, so that a worker holds a few megabytes of them.
-BATCH_ROWS = 1024
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 512
+BATCH_BYTES = 8 << 20
+
+# Workers are reused by later stages; what a stage has freed goes back to the system.
+WORKER_MEMORY = {
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": "262144",
+    "MALLOC_TRIM_THRESHOLD_": "262144",
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
 
 # A side of a join is broadcast only when it was counted to have no more rows than this.
 BROADCAST_ROWS = 200_000
@@ -26,6 +34,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+    for name, value in WORKER_MEMORY.items():
+        spark.sparkContext.environment.setdefault(name, value)
     return spark
 
 

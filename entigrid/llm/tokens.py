@@ -16,7 +16,7 @@ import numpy as np
 
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
-MEMORY_PIECES = 400_000
+MEMORY_PIECES = 200_000
 
 _BLANK_RUN = re.compile(r" (?=\s|$)")
 _CUT = re.compile(r" (?=\S)")

@@ -37,7 +37,7 @@ MODEL_FEATURES = 200_000
 
 _TOKEN = re.compile(r"\w+")
 _BEGINNINGS = range(3, 8)
-_MEMORY_WORDS = 300_000
+_MEMORY_WORDS = 100_000
 
 
 class Model(NamedTuple):
