@@ -13,7 +13,7 @@ near copies costs about one comparison per member.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -88,12 +88,16 @@ def _pair(a: str, b: str) -> list[Column]:
     return [pick(a, b, "cls").alias("a"), pick(b, a, "cls").alias("b"), pick(a, b, "n").alias("na"), pick(b, a, "n").alias("nb")]
 
 
-def class_components(docs: DataFrame, classes: DataFrame, postings: DataFrame, percent: int, k: int, fragments: int = FRAGMENTS) -> DataFrame:
+def class_components(
+    docs: DataFrame, classes: DataFrame, postings: DataFrame, percent: int, k: int, fragments: int = FRAGMENTS,
+    sketches: DataFrame | None = None, alike: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
     """(cls, component) of the classes that are linked with another one.
 
     docs(doc_id, text); classes(cls, rep, n); postings(key, cls, n, pos, score). ``pos`` is how many
     shingles of the class come before the key in an order that all classes share (0: no order);
-    at the first key that a pair shares, none of these is common to both.
+    at the first key that a pair shares, none of these is common to both. ``sketches`` (cls, sketch)
+    and ``alike`` spare the exact comparison of remaining pairs whose sketches are too different.
     """
     postings = stored(postings, "postings")
 
@@ -133,6 +137,9 @@ def class_components(docs: DataFrame, classes: DataFrame, postings: DataFrame, p
         .select("key", F.col("most.component").alias("main"))
     )
     inside = placed.join(mixed, "key")
+    if sketches is not None:
+        inside = stored(inside.join(sketches, "cls"), "inside")
+    likely = alike(F.col("x.sketch"), F.col("y.sketch")) if sketches is not None else F.lit(True)
     rest = (
         inside.filter("component != main").alias("x")
         .join(inside.alias("y"), "key")
@@ -140,6 +147,7 @@ def class_components(docs: DataFrame, classes: DataFrame, postings: DataFrame, p
             (F.col("x.component") != F.col("y.component"))
             & ((F.col("y.component") == F.col("y.main")) | (F.col("x.cls") < F.col("y.cls")))
             & near("x", "y")
+            & likely
         )
         .select(*_pair("x", "y"))
         .distinct()

@@ -127,6 +127,46 @@ def test_edited_neighbours(spark, docs, nothing):
     assert one.near_next == 1.0
 
 
+def test_sketches_count_agreeing_places(spark):
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(0, 1 << 16, (2, 128)).astype(">u2")
+    b[::3] = a[::3]
+    pair = table(spark, [(minhash.sketch(a).tolist(), minhash.sketch(b).tolist())], "a array<long>, b array<long>")
+    assert pair.select(minhash.agreeing_places(F.col("a"), F.col("b"))).first()[0] == int(((a & 15) == (b & 15)).sum())
+    assert minhash.least_agreement(80) == 88
+
+
+def test_near_duplicates_without_a_common_original(spark):
+    """Copies too far from the original that are near each other, among a band's many members."""
+    rng = np.random.default_rng(5)
+    original = [f"v{i}" for i in range(400)]
+
+    def changed(words, n):
+        out = list(words)
+        for i in rng.choice(len(out), n, replace=False):
+            out[i] = f"new{rng.integers(1 << 40)}"
+        return out
+
+    texts = [original, *(changed(original, 4) for _ in range(20))]
+    for _ in range(6):
+        far = changed(original, 30)
+        texts += [far, changed(far, 3)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    path = scratch_path(spark, "copies")
+    table(spark, rows).write.parquet(path)
+    sets = shingle_sets([t for _, t in rows])
+    first = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                old, new = first[i], first[j]
+                first = [min(old, new) if f in (old, new) else f for f in first]
+    assert len(set(first)) == 7
+    found = minhash.near_duplicates(spark.read.parquet(path))
+    assert sorted(r.cluster_id for r in found.collect()) == sorted(first)
+
+
 def test_near_duplicates_by_bands(docs):
     found = minhash.with_clusters(docs.select("doc_id", F.lit(0).alias("cls")).limit(0), minhash.near_duplicates(docs))
     assert found.count() == 0
