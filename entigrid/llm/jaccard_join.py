@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from entigrid.llm.common import free_name, shuffle_partitions, stored
-from entigrid.llm.overlaps import class_components
+from entigrid.llm.overlaps import class_components, prefix_postings
 from entigrid.llm.shingles import set_ids, shingle_sets
 
 K, PERCENT = 5, 80
@@ -195,29 +195,6 @@ def shared_shingles(docs: DataFrame, fragments: int, k: int = K) -> DataFrame:
     return counted.filter("cls IS NOT NULL").unionByName(links.mapInArrow(_unpacked, _SHARED).distinct())
 
 
-def prefix_postings(shared: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(key, cls, n, pos, score): the shared part of each class's prefix in the order (df, key).
-
-    A linked class misses at most n - ceil(percent * n / 100) of the class's shingles, so among
-    that many and one more of the rarest there is one they share.
-    """
-    spare = F.col("n") - F.ceil(F.col("n") * percent / 100)
-    grouped = shared.groupBy("cls").agg(F.count("*").alias("m"), F.sort_array(F.collect_list(F.struct("df", "key"))).alias("order"))
-    return (
-        grouped.join(classes.select("cls", "n", "u"), "cls")
-        .withColumn("take", spare + 1 - (F.col("u") - F.col("m")))
-        .filter("take > 0")
-        .select(
-            "cls",
-            "n",
-            (F.col("u") - F.col("m")).alias("alone"),
-            (F.col("m") / F.col("u")).alias("score"),
-            F.posexplode(F.slice("order", F.lit(1), F.col("take").cast("int"))).alias("i", "s"),
-        )
-        .select(F.col("s.key").alias("key"), "cls", "n", (F.col("alone") + F.col("i")).alias("pos"), "score")
-    )
-
-
 def text_classes(rows: DataFrame) -> DataFrame:
     """(cls, rep, n, u): each distinct non-empty set, and the least doc_id that has it."""
     return stored(rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("u").alias("u")), "classes")

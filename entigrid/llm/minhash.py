@@ -3,9 +3,9 @@
 A fingerprint holds, for each of ``PERMUTATIONS`` universal hash functions a * x + b, the upper
 bits of the least value over the text's shingles. The share of equal places in two fingerprints
 estimates the Jaccard similarity. Near duplicates are documents that agree in a whole band of
-places (joined in Spark) and whose exact Jaccard similarity is then found to be high enough. Of
-pairs that have no common original, those are verified whose fingerprints agree in as many places
-as such a pair's do but for one in 4,000; bands alone miss one in 500 at the least similarity.
+places (joined in Spark) and whose exact Jaccard similarity is then found to be high enough.
+Groups of a band that one original doesn't explain are searched by their rarest shingles instead
+of pair by pair, which finds all of their links.
 
 Defined results: null is the empty text; a text without words has the fingerprint of the empty
 set, which is like itself only (likeness 1); a text of fewer words than a shingle has its whole
@@ -17,12 +17,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
-from math import floor, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from entigrid.llm.common import small, stored, text_of
 from entigrid.llm.id_order import id_stretches, order_key, stretch_of
@@ -31,7 +29,6 @@ from entigrid.llm.shingles import set_ids, shingle_sets
 
 K, PERCENT = 5, 80
 PERMUTATIONS, BAND = 128, 6
-SKETCH_BITS, DEVIATIONS = 4, 3.5
 _COLUMNS = 2048
 
 _random = np.random.default_rng(20)
@@ -133,32 +130,7 @@ def compared_with_edits(docs: DataFrame, k: int = K) -> DataFrame:
 
 # Near duplicates -------------------------------------------------------------
 
-_SIGNED = "doc_id long, cls long, n long, bands array<long>, sketch array<long>"
-
-
-def sketch(marks: np.ndarray) -> np.ndarray:
-    """The lowest 4 bits of a fingerprint's places, packed in 8 numbers."""
-    low = (marks & 15).astype(np.uint8)
-    return (low[0::2] << 4 | low[1::2]).view(np.int64)
-
-
-def agreeing_places(a: Column, b: Column) -> Column:
-    """In how many places two sketches agree; by bit operations, within the join."""
-
-    def different(i: int) -> Column:
-        bits = a[i].bitwiseXOR(b[i])
-        for shift in (2, 1):
-            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift))
-        return F.bit_count(bits.bitwiseAND(F.lit(0x1111111111111111)))
-
-    words = PERMUTATIONS * SKETCH_BITS // 64
-    return F.lit(PERMUTATIONS) - reduce(lambda x, y: x + y, map(different, range(words)))
-
-
-def least_agreement(percent: int) -> int:
-    """The places in which sketches of a pair of that similarity agree, less 3.5 deviations."""
-    share = percent / 100 + (1 - percent / 100) / 2**SKETCH_BITS
-    return floor(PERMUTATIONS * share - DEVIATIONS * sqrt(PERMUTATIONS * share * (1 - share)))
+_SIGNED = "doc_id long, cls long, n long, bands array<long>"
 
 
 def _signed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -166,22 +138,16 @@ def _signed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
     for batch in batches:
         sets = shingle_sets(batch.column("text").to_pylist(), k)
         keys = np.zeros((len(sets), bands), dtype=np.int64)
-        sketches = np.zeros((len(sets), PERMUTATIONS * SKETCH_BITS // 64), dtype=np.int64)
         for i, s in enumerate(sets):
-            signed = signature(s)
-            sketches[i] = sketch(places(signed, len(s)))
-            least = signed[: bands * BAND].reshape(bands, BAND)
+            least = signature(s)[: bands * BAND].reshape(bands, BAND)
             mixed = np.zeros(bands, dtype=np.uint64)
             for j in range(BAND):
                 mixed = (mixed ^ least[:, j]) * np.uint64(0xD6E8FEB86659FD93)
                 mixed ^= mixed >> np.uint64(29)
             keys[i] = (mixed + np.arange(bands, dtype=np.uint64)).view(np.int64)
-        lists = [
-            pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel())) for x in (keys, sketches)
-        ]
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands), pa.int32()), pa.array(keys.ravel()))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(set_ids(sets)), pa.array([len(s) for s in sets], pa.int64()), *lists],
-            ["doc_id", "cls", "n", "bands", "sketch"],
+            [batch.column("doc_id"), pa.array(set_ids(sets)), pa.array([len(s) for s in sets], pa.int64()), lists], ["doc_id", "cls", "n", "bands"]
         )
 
 
@@ -197,12 +163,7 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     postings = keyed.join(shared, "key")
     # the class with the most shared bands is the likeliest original of its neighbours
     score = postings.groupBy("cls").agg(F.count("*").cast("double").alias("score"))
-    ranked = postings.join(score, "cls").select("key", "cls", "n", F.lit(0).cast("long").alias("pos"), "score")
-    found = class_components(
-        docs, classes, ranked, percent, k, fragments=1,
-        sketches=signed.groupBy("cls").agg(F.first("sketch").alias("sketch")),
-        alike=lambda a, b: agreeing_places(a, b) >= least_agreement(percent),
-    )
+    found = class_components(docs, classes, postings.join(score, "cls").select("key", "cls", "n", F.lit(0).cast("long").alias("pos"), "score"), percent, k, fragments=1, ordered=False)
     own = classes.join(found.withColumnRenamed("node", "cls"), "cls", "left")
     own = own.filter("component IS NOT NULL OR members > 1").withColumn("component", F.coalesce("component", "cls"))
     least = own.groupBy("component").agg(F.min("rep").alias("cluster_id"))

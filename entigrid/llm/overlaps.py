@@ -9,11 +9,15 @@ whose shingles are most common (an unchanged original among its edited copies),
 components of these links are found. What remains are pairs of a key's classes that lie in
 different components; these are all compared. So components are exact, while a large group of
 near copies costs about one comparison per member.
+
+Keys without an order (bands) would leave too many such pairs, as copies that are too far from
+their original resemble all other copies somewhat. There the remaining classes get new keys: the
+rarest of their shingles, as counted among them, of which linked classes must have one in common.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -88,16 +92,45 @@ def _pair(a: str, b: str) -> list[Column]:
     return [pick(a, b, "cls").alias("a"), pick(b, a, "cls").alias("b"), pick(a, b, "n").alias("na"), pick(b, a, "n").alias("nb")]
 
 
+def prefix_postings(shared: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(key, cls, n, pos, score): the shared part of each class's prefix in the order (df, key).
+
+    A linked class misses at most n - ceil(percent * n / 100) of the class's shingles, so among
+    that many and one more of the rarest there is one they share.
+    """
+    spare = F.col("n") - F.ceil(F.col("n") * percent / 100)
+    grouped = shared.groupBy("cls").agg(F.count("*").alias("m"), F.sort_array(F.collect_list(F.struct("df", "key"))).alias("order"))
+    return (
+        grouped.join(classes.select("cls", "n", "u"), "cls")
+        .withColumn("take", spare + 1 - (F.col("u") - F.col("m")))
+        .filter("take > 0")
+        .select(
+            "cls",
+            "n",
+            (F.col("u") - F.col("m")).alias("alone"),
+            (F.col("m") / F.col("u")).alias("score"),
+            F.posexplode(F.slice("order", F.lit(1), F.col("take").cast("int"))).alias("i", "s"),
+        )
+        .select(F.col("s.key").alias("key"), "cls", "n", (F.col("alone") + F.col("i")).alias("pos"), "score")
+    )
+
+
+def _rarest(parts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Postings by the rarest shingles of the classes that have segments."""
+    # a class can be cut twice where rows repeat a doc_id
+    items = parts.dropDuplicates(["cls", "frag"]).select("cls", F.explode("items").alias("key"))
+    shared = items.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1")
+    return prefix_postings(items.join(shared, "key"), classes.withColumn("u", F.col("n")), percent)
+
+
 def class_components(
-    docs: DataFrame, classes: DataFrame, postings: DataFrame, percent: int, k: int, fragments: int = FRAGMENTS,
-    sketches: DataFrame | None = None, alike: Callable[[Column, Column], Column] | None = None,
+    docs: DataFrame, classes: DataFrame, postings: DataFrame, percent: int, k: int, fragments: int = FRAGMENTS, ordered: bool = True
 ) -> DataFrame:
     """(cls, component) of the classes that are linked with another one.
 
     docs(doc_id, text); classes(cls, rep, n); postings(key, cls, n, pos, score). ``pos`` is how many
-    shingles of the class come before the key in an order that all classes share (0: no order);
-    at the first key that a pair shares, none of these is common to both. ``sketches`` (cls, sketch)
-    and ``alike`` spare the exact comparison of remaining pairs whose sketches are too different.
+    shingles of the class come before the key in an order that all classes share; at the first key
+    that a pair shares, none of these is common to both. Keys that aren't ``ordered`` have 0 there.
     """
     postings = stored(postings, "postings")
 
@@ -124,22 +157,26 @@ def class_components(
     links = _verified(first, segments(docs, classes, ends(first), k, fragments), percent, fragments)
     found = connected_components(links)
 
-    placed = stored(
-        postings.join(found.withColumnRenamed("node", "cls"), "cls", "left")
-        .select("key", "cls", "n", "pos", F.coalesce("component", "cls").alias("component")),
-        "placed",
-    )
-    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
-    mixed = (
-        sizes.groupBy("key")
-        .agg(F.max(F.struct("size", "component")).alias("most"), F.count("*").alias("parts"))
-        .filter("parts > 1")
-        .select("key", F.col("most.component").alias("main"))
-    )
-    inside = placed.join(mixed, "key")
-    if sketches is not None:
-        inside = stored(inside.join(sketches, "cls"), "inside")
-    likely = alike(F.col("x.sketch"), F.col("y.sketch")) if sketches is not None else F.lit(True)
+    def mixed(postings: DataFrame) -> DataFrame:
+        """Rows of the keys whose classes lie in several components, with the largest as ``main``."""
+        placed = stored(
+            postings.join(found.withColumnRenamed("node", "cls"), "cls", "left")
+            .select("key", "cls", "n", "pos", F.coalesce("component", "cls").alias("component")),
+            "placed",
+        )
+        sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
+        main = (
+            sizes.groupBy("key")
+            .agg(F.max(F.struct("size", "component")).alias("most"), F.count("*").alias("parts"))
+            .filter("parts > 1")
+            .select("key", F.col("most.component").alias("main"))
+        )
+        return placed.join(main, "key")
+
+    inside, parts = mixed(postings), None
+    if not ordered:
+        parts = segments(docs, classes, inside.select("cls").distinct(), k, fragments)
+        inside = mixed(_rarest(parts, classes, percent))
     rest = (
         inside.filter("component != main").alias("x")
         .join(inside.alias("y"), "key")
@@ -147,7 +184,6 @@ def class_components(
             (F.col("x.component") != F.col("y.component"))
             & ((F.col("y.component") == F.col("y.main")) | (F.col("x.cls") < F.col("y.cls")))
             & near("x", "y")
-            & likely
         )
         .select(*_pair("x", "y"))
         .distinct()
@@ -155,5 +191,6 @@ def class_components(
     rest = stored(rest.join(first, ["a", "b"], "left_anti"), "pairs")
     if rest.isEmpty():
         return found
-    more = _verified(rest, segments(docs, classes, ends(rest), k, fragments), percent, fragments)
+    parts = parts if parts is not None else segments(docs, classes, ends(rest), k, fragments)
+    more = _verified(rest, parts, percent, fragments)
     return connected_components(links.union(more))

@@ -127,15 +127,6 @@ def test_edited_neighbours(spark, docs, nothing):
     assert one.near_next == 1.0
 
 
-def test_sketches_count_agreeing_places(spark):
-    rng = np.random.default_rng(4)
-    a, b = rng.integers(0, 1 << 16, (2, 128)).astype(">u2")
-    b[::3] = a[::3]
-    pair = table(spark, [(minhash.sketch(a).tolist(), minhash.sketch(b).tolist())], "a array<long>, b array<long>")
-    assert pair.select(minhash.agreeing_places(F.col("a"), F.col("b"))).first()[0] == int(((a & 15) == (b & 15)).sum())
-    assert minhash.least_agreement(80) == 88
-
-
 def test_near_duplicates_without_a_common_original(spark):
     """Copies too far from the original that are near each other, among a band's many members."""
     rng = np.random.default_rng(5)
