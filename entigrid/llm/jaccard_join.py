@@ -38,7 +38,7 @@ COMMON_IN_BATCH = 64
 _ROWS = "doc_id long, cls long, n long, u long"
 _FRAGMENT = "frag int, classes binary, counts binary, low binary, high binary"
 _SHARED = "cls long, key long, df long"
-_LINKS = "key long, classes binary"
+_LINKS = "key long, classes array<long>"
 
 
 def _keys(s: np.ndarray) -> np.ndarray:
@@ -162,25 +162,14 @@ def _count_fragment(rows: pa.Table) -> pa.Table:
 def _common_links(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for ids, keys, place in _new_classes(batches, k):
         common, _ = _common(keys)
-        rows = []
+        its, cuts = np.zeros(0, np.int64), np.zeros(1, np.int64)
         if len(common):
             at = np.searchsorted(common, keys).clip(max=len(common) - 1)
             its = np.flatnonzero(common[at] == keys)
             its = its[np.argsort(at[its], kind="stable")]
-            for i, part in enumerate(np.split(its, np.searchsorted(at[its], np.arange(1, len(common))))):
-                rows.append((int(common[i]), ids[place[part]].tobytes()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["key", "classes"]
-        )
-
-
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        own = [np.frombuffer(c, "<i8") for c in batch.column("classes").to_pylist()]
-        sizes = [len(x) for x in own]
-        repeat = lambda name: np.repeat(batch.column(name).to_numpy(zero_copy_only=False), sizes)
-        flat = np.concatenate(own) if own else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(repeat("key")), pa.array(repeat("df"))], ["cls", "key", "df"])
+            cuts = np.searchsorted(at[its], np.arange(len(common) + 1))
+        lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids[place[its]], pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(common.astype(np.int64)), lists], ["key", "classes"])
 
 
 def shared_shingles(docs: DataFrame, fragments: int, k: int = K) -> DataFrame:
@@ -192,7 +181,8 @@ def shared_shingles(docs: DataFrame, fragments: int, k: int = K) -> DataFrame:
     )
     common = counted.filter("cls IS NULL").select("key", "df")
     links = texts.mapInArrow(lambda it: _common_links(it, k), _LINKS).join(common, "key")
-    return counted.filter("cls IS NOT NULL").unionByName(links.mapInArrow(_unpacked, _SHARED).distinct())
+    # taken apart here and not in Python, so that a task never needs a second worker beside the first
+    return counted.filter("cls IS NOT NULL").unionByName(links.select(F.explode("classes").alias("cls"), "key", "df").distinct())
 
 
 def text_classes(rows: DataFrame) -> DataFrame:
@@ -241,7 +231,8 @@ def one_of_each(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFram
         return pd.Series(set_ids(shingle_sets(texts.tolist(), k)))
 
     empty = int(set_ids([np.zeros(0, np.uint64)])[0])
-    kept = docs.withColumn(cls, set_id(F.col("text")))
+    # else the join's test for null would compute the ids a second time, in a second worker
+    kept = docs.withColumn(cls, set_id.asNondeterministic()(F.col("text")))
     own_id = docs["doc_id"].cast("long")
     kept = kept.join(keep, (F.col(cls) == F.col("keep_cls")) & own_id.eqNullSafe(F.col("keep_doc")), "left_semi")
     if not found.filter("n_shingles > 0").groupBy("doc_id", "cls").count().filter("count > 1").isEmpty():
