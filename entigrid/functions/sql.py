@@ -36,6 +36,12 @@ def replaced(column: str, rules: Iterable[tuple[str, str]], flags: str = "") ->
     return column
 
 
+def number(column: str) -> str:
+    """A text as DOUBLE; null unless it is a decimal number, so not for 5d, 1f, NaN or Infinity."""
+    pattern = quoted(r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$")
+    return f"if({column} RLIKE {pattern}, TRY_CAST({column} AS DOUBLE), NULL)"
+
+
 def present(pairs: Iterable[tuple[str, str]]) -> Column:
     """Ordered list of the values whose condition holds; both are SQL expressions.
 

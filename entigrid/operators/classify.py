@@ -81,13 +81,13 @@ def risk_points(lei_flag: str) -> list[tuple[str, str]]:
         ("SUSPENDED_ENTITY", f"if(status = 'SUSPENDED', {RISK_SUSPENDED}, NULL)"),
         (
             "LOW_TRUST_SCORE",
-            f"if(trust < {floor}, CAST(floor(({floor} - trust) / 2) AS INT), NULL)",
+            f"if(coalesce(trust, 0) < {floor}, CAST(floor(({floor} - coalesce(trust, 0)) / 2) AS INT), NULL)",
         ),
     ]
 
 
 def risk_score(lei_flag: str) -> Column:
-    """Sum of the points. An unknown trust costs nothing."""
+    """Sum of the points. A missing trust counts as 0; NaN, for text that is no number, costs nothing."""
     return F.expr(" + ".join(f"coalesce({points}, 0)" for _, points in risk_points(lei_flag)))
 
 

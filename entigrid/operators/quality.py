@@ -19,7 +19,7 @@ from entigrid.fixed_values import (
     TRUST_BAND_ELSE,
     TRUST_BANDS,
 )
-from entigrid.functions.sql import one_of, present
+from entigrid.functions.sql import number, one_of, present
 from entigrid.functions.text import not_blank
 from entigrid.schema import ORDER_FIELDS
 
@@ -39,7 +39,8 @@ def typed(cleansed: DataFrame) -> DataFrame:
         as_text = f"CAST({name} AS STRING)"
         known = f"if({one_of(as_text, MISSING_MARKERS)}, NULL, {as_text})"
         if name in TYPED_FIELDS:
-            known = f"TRY_CAST({known} AS {TYPED_FIELDS[name]})"
+            kind = TYPED_FIELDS[name]
+            known = number(known) if kind == "DOUBLE" else f"TRY_CAST({known} AS {kind})"
         return F.expr(f"{known} AS {name}")
 
     order = [c for c in ORDER_FIELDS if c in cleansed.columns]

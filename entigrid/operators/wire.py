@@ -11,13 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from entigrid.fixed_values import CLASSIFIED_HEADER
-from entigrid.functions.sql import joined
+from entigrid.functions.sql import joined, number
 from entigrid.operators.classify import CLASSIFIED_FIELDS, classify, shown_fingerprint
 from entigrid.schema import ORDER_FIELDS
 
 MINIMUM_PARTS = 9
 IDENTITY_FIELD_COUNT = 10
 CLASSIFIED_FIELD_COUNT = 8
+CLASSIFIED_HEADER_LINE = "|".join(CLASSIFIED_HEADER)
 
 
 def _order(df: DataFrame) -> list[str]:
@@ -62,6 +63,7 @@ def classified_fields(classified: DataFrame) -> DataFrame:
 
 
 def classified_lines(classified: DataFrame) -> DataFrame:
+    """Lines without quoting: a ``|`` in a name shifts the fields after it."""
     fields = classified_fields(classified)
     return fields.select(
         F.concat_ws("|", *(F.col(c).cast("string") for c in CLASSIFIED_FIELDS)).alias("value"),
@@ -79,8 +81,8 @@ def parse_identity_lines(lines: DataFrame) -> DataFrame:
     split = lines.filter(~F.col("value").startswith("#")).select(
         F.split("value", r"\|").alias("f"), *_order(lines)
     )
-    number = F.expr("try_cast(substring_index(f[9], '=', -1) AS double)")
-    trust = F.when(F.expr("f[9]").contains("="), F.coalesce(number, F.lit(0.0))).otherwise(0.0)
+    given = F.expr(number("substring(f[9], instr(f[9], '=') + 1)"))
+    trust = F.when(F.expr("f[9]").contains("="), F.coalesce(given, F.lit(0.0))).otherwise(0.0)
     return split.filter((F.size("f") >= IDENTITY_FIELD_COUNT) & F.expr("f[0] = 'IDENTITY'")).select(
         F.expr("f[1]").alias("id"),
         F.expr("f[4]").alias("fingerprint"),
@@ -126,12 +128,13 @@ def reparse(lines: DataFrame) -> DataFrame:
         F.coalesce(given("lei"), F.expr("p[5]")).alias("lei"),
         F.expr("p[6]").alias("entity_type"),
         F.coalesce(given("status"), F.lit("ACTIVE")).alias("status"),
-        F.coalesce(given("trust"), F.lit("0")).try_cast("double").alias("trust"),
+        F.coalesce(given("trust"), F.lit("0")).alias("trust"),
         F.lit(False).alias("lei_format_valid"),
         F.lit(False).alias("country_format_valid"),
         *_order(lines),
-    )
+    ).withColumn("trust", F.expr(number("trust")))
 
 
 def classify_lines(lines: DataFrame) -> DataFrame:
-    return classify(reparse(lines))
+    """Classification of re-parsed lines. A trust that is no number costs nothing here."""
+    return classify(reparse(lines).withColumn("trust", F.expr("coalesce(trust, double('NaN'))")))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from entigrid.fixed_values import CLEANSED_FIELDS, RAW_FIELDS, SEVERITIES
 from entigrid.functions import keys, validate
-from entigrid.functions.sql import joined, present
+from entigrid.functions.sql import joined, number, present
 from entigrid.functions.text import normalize_address, normalize_name
 from entigrid.operators import classify as rules
 from entigrid.operators import quality, reports, rule_tables, view, wire
@@ -315,7 +315,7 @@ def rule_frameworks(spark, sf_dir):
 @query
 def revenue_bands(spark, sf_dir):
     chosen = rule_tables.default_rules(spark)
-    revenue = F.col("annual_revenue_eur").try_cast("double")
+    revenue = F.expr(number("annual_revenue_eur"))
     return normalized(spark, sf_dir).select(
         "id", rule_tables.revenue_band(revenue, chosen.thresholds).alias("revenue_band")
     )
@@ -349,7 +349,9 @@ def data_lines_read(spark, sf_dir):
 
 @query
 def classified_lines(spark, sf_dir):
-    return wire.classified_lines(classified(spark, sf_dir)).select("value")
+    path = scratch_path(spark, "classified-lines")
+    sinks.write_classified_lines(classified(spark, sf_dir), path)
+    return read_lines(spark, path).filter(F.col("value") != wire.CLASSIFIED_HEADER_LINE).select("value")
 
 
 @query

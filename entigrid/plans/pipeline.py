@@ -104,6 +104,8 @@ def run(
         sinks.write_identity_lines(classified, out.path("identity_lines"))
         sinks.write_classified_lines(classified, out.path("classified_lines"))
 
+    if cleansed.isEmpty():
+        raise ValueError(f"no data: no party was accepted from {data_dir}")
     table = typed(cleansed)
     quality_sections(table).write.parquet(out.path("quality_sections"))
     sections = spark.read.parquet(out.path("quality_sections"))

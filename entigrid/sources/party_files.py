@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -23,11 +23,17 @@ _CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
-    """Paths of the matching files, empty files included, from the listing alone."""
-    try:
-        files = spark.read.option("pathGlobFilter", pattern).text(folder).inputFiles()
-    except AnalysisException:
-        return []
+    """Paths of the matching files, empty files included, from the listing alone.
+
+    A missing folder is an error. So is a file whose name starts with an underscore: Spark's
+    readers would pass over it without a word.
+    """
+    files = spark.read.option("pathGlobFilter", pattern).text(folder).inputFiles()
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder, f"_{pattern}")
+    unread = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    if unread:
+        names = ", ".join(status.getPath().getName() for status in unread[:5])
+        raise ValueError(f"{folder}: rename files that start with an underscore to have them read: {names}")
     return sorted(unquote(path) for path in files)
 
 
@@ -42,17 +48,25 @@ def _with_provenance(scan: DataFrame, source_rank: int) -> DataFrame:
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    return tuple(spark.read.options(**_CSV_OPTIONS).csv(path).columns)
+    """The trimmed names of the first line that isn't blank; none for an empty file."""
+    line = spark.read.text(path).filter("trim(value) <> ''").first()
+    names = next(csv.reader([line.value.removeprefix("\ufeff")])) if line else []
+    return tuple(name.strip() for name in names)
 
 
 def _csv_scan(spark: SparkSession, paths: list[str], header: tuple[str, ...], verify: bool):
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    """The raw fields, bound by position: of a repeated name the last column counts."""
+    names = header if verify else [f"c{i}" for i in range(len(header))]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     reader = spark.read.options(**_CSV_OPTIONS).option("enforceSchema", not verify)
     scan = reader.schema(schema).csv(paths)
-    trimmed: dict[str, str] = {name.strip(): name for name in header}
-    return scan.select(
-        *(F.col(f"`{name}`").alias(field) for field, name in trimmed.items()), "_metadata"
-    )
+    last = {field: names[i] for i, field in enumerate(header) if field in RAW_FIELDS}
+    return scan.select(*(F.col(f"`{name}`").alias(field) for field, name in last.items()), "_metadata")
+
+
+def _can_verify(header: tuple[str, ...]) -> bool:
+    """Spark compares headers only without names that are repeated, in any case of letters, or empty."""
+    return len({name.lower() for name in header}) == len(header) and all(header)
 
 
 def read_party_csv(
@@ -67,6 +81,8 @@ def read_party_csv(
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     if uniform_header:
         header = next(filter(None, (_header(spark, path) for path in paths)), None)
+        if header and not _can_verify(header):
+            raise ValueError(f"a header with repeated or empty names can't be verified: {header}")
         if header:
             groups[header] = list(paths)
     else:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from entigrid.fixed_values import CLASSIFIED_HEADER, CLEANSED_FIELDS, RAW_FIELDS
+from entigrid.fixed_values import CLEANSED_FIELDS, RAW_FIELDS
 from entigrid.operators.quality import DISTRIBUTION_FIELDS, anomalies, distribution
 from entigrid.operators.reports import quality_report, quality_summary
-from entigrid.operators.wire import classified_fields, identity_lines
-from entigrid.schema import ORDER_FIELDS
+from entigrid.operators.wire import CLASSIFIED_HEADER_LINE, classified_lines, identity_lines
+
+CSV_FILE_RECORDS = 500_000
 
 # Values are written as they are: not trimmed, and nothing for the empty string.
 _CSV_OPTIONS = {
@@ -31,8 +32,12 @@ def write_cleansed(cleansed: DataFrame, path: str, mode: str = "errorifexists")
 
 
 def write_cleansed_csv(cleansed: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """The 17 fields as CSV; a value is quoted where it needs to be."""
-    cleansed.select(*CLEANSED_FIELDS).write.mode(mode).options(**_CSV_OPTIONS).csv(path)
+    """The 17 fields as CSV; a value is quoted where it needs to be, line breaks included.
+
+    Such values keep a file from being split on reading, so files are bounded instead.
+    """
+    options = {**_CSV_OPTIONS, "maxRecordsPerFile": CSV_FILE_RECORDS}
+    cleansed.select(*CLEANSED_FIELDS).write.mode(mode).options(**options).csv(path)
 
 
 def write_identity_lines(identities: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -42,10 +47,9 @@ def write_identity_lines(identities: DataFrame, path: str, mode: str = "errorife
 def write_classified_lines(
     classified: DataFrame, path: str, mode: str = "errorifexists"
 ) -> None:
-    """Pipe-delimited lines with a header per part file, nothing quoted."""
-    fields = classified_fields(classified).drop(*ORDER_FIELDS)
-    options = {**_CSV_OPTIONS, "sep": "|", "quote": ""}
-    fields.toDF(*CLASSIFIED_HEADER).write.mode(mode).options(**options).csv(path)
+    """Pipe-delimited lines after one header line, nothing quoted."""
+    header = classified.sparkSession.createDataFrame([(CLASSIFIED_HEADER_LINE,)], "value string").coalesce(1)
+    header.union(classified_lines(classified).select("value")).write.mode(mode).text(path)
 
 
 def write_report_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:

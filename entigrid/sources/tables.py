@@ -16,7 +16,7 @@ _CLEANSED_TEXT = T.StructType([T.StructField(f, T.StringType()) for f in CLEANSE
 
 def read_cleansed_csv(spark: SparkSession, path: str) -> DataFrame:
     """A cleansed CSV as text columns with the order of its rows; its header is verified."""
-    options = {"header": True, "escape": '"', "enforceSchema": False}
+    options = {"header": True, "escape": '"', "enforceSchema": False, "multiLine": True}
     scan = spark.read.options(**options).schema(_CLEANSED_TEXT).csv(path)
     return scan.select(
         *(text(f) for f in CLEANSED_FIELDS),

@@ -2,10 +2,20 @@
 
 import json
 
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from entigrid.fixed_values import CLEANSED_FIELDS
+from entigrid.functions.sql import number
 from entigrid.operators.cleanse import normalize
 from entigrid.operators.duplicates import flag_duplicates
+from entigrid.operators.wire import CLASSIFIED_HEADER_LINE, parse_identity_lines
+from entigrid.plans.pipeline import classified_parties, cleanse, run
 from entigrid.schema import ORDER_FIELDS
+from entigrid.sources import sinks
 from entigrid.sources.party_files import list_files, read_parties, read_party_csv
+from entigrid.sources.tables import read_cleansed_csv
 
 FIELDS = ["id", "legal_name", "country", "lei"]
 
@@ -98,3 +108,51 @@ def test_first_seen_follows_files_not_tasks(spark, tmp_path):
     assert {r.duplicate_of for r in got if r.id != "a0"} == {"a0"}
     in_order = sorted(got, key=lambda r: tuple(r[f] for f in ORDER_FIELDS))
     assert [r.id for r in in_order] == [f"a{i}" for i in range(2000)] + ["b1", "j"]
+
+
+def test_hidden_files_and_missing_folders_are_errors(spark, tmp_path):
+    for name in ("_x.csv", "_x.json"):
+        folder = tmp_path / name.split(".")[1]
+        folder.mkdir()
+        (folder / name).write_text("id\n1\n")
+        (folder / "b.csv").write_text("id\n2\n")
+        with pytest.raises(ValueError, match=name):
+            read_parties(spark, str(folder))
+    with pytest.raises(AnalysisException):
+        read_parties(spark, str(tmp_path / "missing"))
+
+
+def test_repeated_and_similar_header_names(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,legal_name,country,lei,id\n1,One,DE,L,last\n")
+    (tmp_path / "b.csv").write_text("ID,legal_name,id\nother,Two,2\n")
+    raw, _ = read_parties(spark, str(tmp_path))
+    assert rows(raw) == [("2", "Two", "", ""), ("last", "One", "DE", "L")]
+
+
+def test_line_breaks_and_bars_in_names(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"id": "1", "legal_name": "A\nB", "address": "x\ny"}, {"id": "2", "legal_name": "X|Y"}]))
+    raw, _ = read_parties(spark, str(tmp_path))
+    cleansed = cleanse(raw)
+    sinks.write_cleansed_csv(cleansed, str(tmp_path / "csv"))
+    back = read_cleansed_csv(spark, str(tmp_path / "csv"))
+    fields = [f for f in CLEANSED_FIELDS if f != "cleansing_notes"]  # a list before it is written
+    text = [F.col(f).cast("string").alias(f) for f in fields]
+    assert rows(back, *fields) == rows(cleansed.select(*text), *fields)
+    sinks.write_classified_lines(classified_parties(cleansed.filter("id = '2'")), str(tmp_path / "lines"))
+    lines = [line for part in sorted((tmp_path / "lines").glob("part-*")) for line in part.read_text().splitlines()]
+    assert lines[0] == CLASSIFIED_HEADER_LINE and lines[1].startswith("2|X|Y|") and len(lines) == 2 and "\0" not in lines[1]
+
+
+def test_no_data_is_an_error(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    with pytest.raises(ValueError, match="no data"):
+        run(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+
+
+def test_only_plain_numbers_are_numbers(spark):
+    given = ["5", "1.5", "-2e3", ".5", "5.", "5d", "1f", "NaN", "Infinity", "0x1", "", " 7 "]
+    df = spark.createDataFrame([(g,) for g in given], "v string")
+    assert [r[0] for r in df.select(F.expr(number("v"))).collect()] == [5.0, 1.5, -2000.0, 0.5, 5.0, None, None, None, None, None, None, 7.0]
+    start = "IDENTITY|1|n|DE|f|l|t|lei_valid=true|country_valid=true|trust="
+    lines = spark.createDataFrame([(start + t,) for t in ("50", "1=50", "85d")], "value string")
+    assert [r.trust for r in parse_identity_lines(lines).collect()] == [50.0, 0.0, 0.0]
