@@ -2,9 +2,11 @@
 
 Texts become ids, longer ones pieces. A configuration is a multiset of lengths that fits one
 sequence; the program asks for the fewest sequences whose configurations hold all pieces. It
-is solved by multiplicative weights: each length's weight falls as it gets covered, and the
-best configuration under the weights is found by a knapsack dynamic program. The solution is
-rounded down, and what is left is filled the same way, always around the longest length left.
+is solved by multiplicative weights: each length's price falls as it gets covered, and the best
+configurations at the prices are found by a knapsack dynamic program, until the full cover found
+is within ``GAP`` (or half a sequence) of the prices' bound. The solution is rounded down and what
+is left is packed best-fit, always around the longest length left. Best-fit alone is the start,
+and the result where rounding loses more than the program gains.
 Only the histogram (at most ``capacity`` numbers) comes to the driver; pieces get their places by
 their rank among those of their length.
 
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +28,10 @@ from entigrid.llm.common import stored
 from entigrid.llm.tokens import END_ID, VOCABULARY, worker_encoder
 
 CAPACITY = 1024
-ROUNDS = 800
-SHARPNESS, STEP = 0.5, 0.5
+GAP = 0.005
+#: The power of the prices at first, and up to which it grows fast; steps between knapsacks; the
+#: part of the pieces that new configurations start with.
+SHARP, STEPS, NEW_SHARE = (8.0, 60.0), 100, 0.05
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 _END = END_ID.to_bytes(4, "little")
 
@@ -59,52 +64,101 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACI
 # The plan --------------------------------------------------------------------
 
 
-def _best(weights: np.ndarray, capacity: int) -> np.ndarray:
-    """Numbers of each length in a configuration of the largest weight (unbounded knapsack)."""
-    lengths = np.flatnonzero(weights > 0)
-    value = weights[lengths]
-    best, choice = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
+class Solution(NamedTuple):
+    """Rows of ``configs`` are numbers by length; ``amounts`` of them cover every piece. No
+    configuration is worth more than 1 at ``prices``, so fewer than ``bound`` sequences can't do."""
+
+    configs: np.ndarray
+    amounts: np.ndarray
+    prices: np.ndarray
+    bound: float
+
+
+def _knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The largest worth by room (lengths may repeat), and which length is taken there, or -1.
+    Of equals the longest."""
+    best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    down, worth = lengths[::-1], prices[::-1]
+    start = len(lengths) - np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
-        fits = np.searchsorted(lengths, c, side="right")
-        best[c], choice[c] = best[c - 1], 0
-        if fits:
-            gain = best[c - lengths[:fits]] + value[:fits]
+        best[c] = best[c - 1]
+        if start[c] < len(lengths):
+            gain = best[c - down[start[c] :]] + worth[start[c] :]
             i = int(gain.argmax())
-            if gain[i] > best[c]:
-                best[c], choice[c] = gain[i], lengths[i]
-    out, c = np.zeros(capacity + 1, dtype=np.int64), capacity
-    while c > 0:
-        if choice[c]:
-            out[choice[c]] += 1
-            c -= int(choice[c])
-        else:
-            c -= 1
-    return out
+            if gain[i] > best[c] * (1 + 1e-12):
+                best[c], choice[c] = gain[i], len(lengths) - 1 - start[c] - i
+    return best, choice
+
 
+def _columns(lengths: np.ndarray, choice: np.ndarray, capacity: int) -> np.ndarray:
+    """For each length the configuration of the largest worth that has it."""
+    rows = np.arange(len(lengths))
+    out = np.zeros((len(lengths), len(lengths)), dtype=np.int16)
+    out[rows, rows] = 1
+    filled = np.maximum.accumulate(np.where(choice >= 0, np.arange(capacity + 1), 0))
+    room = capacity - lengths
+    while (room := filled[room]).any():
+        own = np.flatnonzero(room)
+        taken = choice[room[own]]
+        out[own, taken] += 1
+        room[own] -= lengths[taken]
+    return np.unique(out, axis=0)
 
-def fractional(counts: np.ndarray, capacity: int, rounds: int) -> list[tuple[np.ndarray, float]]:
-    """Configurations and how often each is used, such that no length is used more than it
-    occurs: the program's solution by multiplicative weights.
 
-    A length's weight is its size (the program's dual, were all sequences full), multiplied down
-    as its share of covered pieces runs ahead of the least covered one's.
+def fractional(counts: np.ndarray, capacity: int = CAPACITY, rounds: int | None = None, gap: float = GAP) -> Solution:
+    """The configuration program's solution by multiplicative weights, to a measured gap.
+
+    A length's price is its size, multiplied by a power of how often the amounts cover it. An
+    amount is multiplied by a root of its configuration's worth at these prices; if none is worth
+    other than 1, prices and amounts are optimal but for the power's softness, which sharpens.
+    Between such steps a knapsack finds each length's best configuration at the prices, and with
+    the largest worth of all the dual bound. Amounts start as the best-fit packing's. They are
+    scaled to cover the least covered length; when their sum is within ``gap`` of the bound, or
+    within half a sequence, the program is solved. ``rounds`` ends it earlier.
     """
-    need = counts.astype(float)
-    covered, used = np.zeros(len(need)), {}
     lengths = np.flatnonzero(counts)
-    for _ in range(rounds if len(lengths) else 0):
-        share = covered[lengths] / need[lengths]
-        open_ = share < 1 - 1e-6
-        if not open_.any():
+    need, size = counts[lengths].astype(float), lengths / capacity
+    start: dict[bytes, int] = {}
+    for config, times in _fill(counts, capacity):
+        key = config[lengths].astype(np.int16).tobytes()
+        start[key] = start.get(key, 0) + times
+    known, done = set(start), 0  # configurations in the pool, knapsacks solved
+    configs = np.array([np.frombuffer(c, dtype=np.int16) for c in start]).reshape(len(start), len(lengths))
+    amounts = np.array(list(start.values()), dtype=float)
+    best, prices, bound = (configs, amounts), size, 0.0
+    worth, price, sharp = np.ones(len(amounts)), size, SHARP[0]
+    while len(lengths):
+        most, choice = _knapsack(lengths, price, capacity)
+        if (least := float(need @ price) / most[capacity]) > bound:
+            prices, bound = price / most[capacity], least
+        if best[1].sum() - bound <= max(0.5, gap * bound) or done == rounds:
             break
-        weights = np.zeros(len(need))
-        weights[lengths[open_]] = lengths[open_] * np.exp(-SHARPNESS * (share[open_] - share.min()))
-        config = _best(weights, capacity)
-        own = np.flatnonzero(config)
-        amount = float(((need[own] - covered[own]) / config[own]).min()) * STEP
-        used.setdefault(config.tobytes(), [config, 0.0])[1] += amount
-        covered += config * amount
-    return [(config, amount) for config, amount in used.values()]
+        keep = (amounts > 1e-6 * amounts.mean()) | (worth > 0.9)
+        known.difference_update(c.tobytes() for c in configs[~keep])
+        fresh = [c for c in _columns(lengths, choice, capacity) if c.tobytes() not in known]
+        configs, amounts = configs[keep], amounts[keep]
+        if fresh:
+            known.update(c.tobytes() for c in fresh)
+            added = np.array(fresh)
+            share = need / np.maximum(added.sum(axis=0), 1)
+            configs = np.concatenate([configs, added])
+            amounts = np.concatenate([amounts, NEW_SHARE * np.where(added > 0, share, np.inf).min(axis=1)])
+        own, item = np.nonzero(configs)
+        times = configs[own, item].astype(float)
+        for _ in range(STEPS):
+            cover = np.bincount(item, times * amounts[own], len(lengths)) / need
+            if amounts.sum() / cover.min() < best[1].sum():
+                best = configs, amounts / cover.min()
+            price = size * np.exp(np.clip(-(sharp + 1) * np.log(cover), -60, 60))
+            worth = np.bincount(own, times * price[item], len(amounts))
+            amounts = amounts * worth ** (1.8 / (sharp + 1))
+        sharp *= 1.1 if sharp < SHARP[1] else 1.005
+        done += 1
+    wide = np.zeros((len(best[0]), capacity + 1), dtype=np.int16)
+    wide[:, lengths] = best[0]
+    by_length = np.zeros(capacity + 1)
+    by_length[lengths] = prices
+    return Solution(wide, best[1], by_length, bound)
 
 
 def _fullest(left: np.ndarray, longest: int, capacity: int) -> np.ndarray:
@@ -136,16 +190,11 @@ def _fullest(left: np.ndarray, longest: int, capacity: int) -> np.ndarray:
     return config
 
 
-def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[np.ndarray, int]]:
-    """Configurations (numbers by length) and how many sequences have each, for all pieces."""
+def _fill(counts: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """All pieces packed best-fit, always around the longest length left."""
     left, out = counts.copy(), []
-    for config, amount in fractional(counts, capacity, rounds):
-        if times := int(amount + 1e-9):
-            left -= config * times
-            out.append((config, times))
     while left.any():
-        longest = int(np.flatnonzero(left).max())
-        config = _fullest(left, longest, capacity)
+        config = _fullest(left, int(np.flatnonzero(left).max()), capacity)
         own = np.flatnonzero(config)
         times = int((left[own] // config[own]).min())
         left -= config * times
@@ -153,6 +202,20 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) ->
     return out
 
 
+def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int | None = None, gap: float = GAP) -> list[tuple[np.ndarray, int]]:
+    """Configurations (numbers by length) and how many sequences have each, for all pieces."""
+    solution = fractional(counts, capacity, rounds, gap)
+    left, out = counts.copy(), []
+    for i in np.argsort(-solution.amounts, kind="stable").tolist():
+        config = solution.configs[i].astype(np.int64)
+        own = np.flatnonzero(config)
+        if times := min(int(solution.amounts[i] + 1e-9), int((left[own] // config[own]).min())):
+            left -= config * times
+            out.append((config, times))
+    out += _fill(left, capacity)
+    return min(out, _fill(counts, capacity), key=lambda configs: sum(times for _, times in configs))
+
+
 class Places:
     """Where the r-th piece of a length goes: sorted bounds of ranks for each length."""
 
@@ -191,7 +254,7 @@ def _placed(batches: Iterator[pa.RecordBatch], places: Places) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
 
 
-def packed(parts: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def packed(parts: DataFrame, capacity: int = CAPACITY, rounds: int | None = None) -> DataFrame:
     """The pieces with sequence_id and offset. ``parts`` has a length column, 1 to capacity.
 
     The rank among the pieces of a length comes from counts per length and input partition, so

@@ -257,6 +257,25 @@ def test_plan_is_near_the_lower_bound():
     assert sum(n for _, n in configs) <= 1.02 * lengths.sum() / 1024
 
 
+@pytest.mark.parametrize("low, high, n, most", [(270, 520, 20_000, 1.02), (400, 700, 5_000, 1.006)])
+def test_skewed_lengths_are_packed_near_the_dual_bound(low, high, n, most):
+    counts = np.bincount(np.random.default_rng(1).integers(low, high, n), minlength=1025)
+    solution = packing.fractional(counts)
+    # the bound is true: by a plain knapsack no configuration is worth more than 1
+    worth = [0.0] * 1025
+    for c in range(1, 1025):
+        worth[c] = max([worth[c - 1], *(worth[c - k] + solution.prices[k] for k in range(low, min(c + 1, high)))])
+    assert worth[1024] <= 1 + 1e-9 and np.isclose(counts @ solution.prices, solution.bound)
+    # the amounts cover all pieces, and their sum is near the bound
+    assert (solution.configs @ np.arange(1025) <= 1024).all()
+    assert (solution.configs.T @ solution.amounts >= counts * (1 - 1e-9)).all()
+    assert solution.amounts.sum() <= (1 + packing.GAP) * solution.bound
+    configs = packing.plan(counts)
+    assert (sum(c * k for c, k in configs) == counts).all()
+    assert all((c * np.arange(1025)).sum() <= 1024 for c, _ in configs)
+    assert sum(k for _, k in configs) <= most * solution.bound
+
+
 # 6 Substring dedup -----------------------------------------------------------
 
 
