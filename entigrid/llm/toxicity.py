@@ -50,7 +50,8 @@ class Model(NamedTuple):
 
 
 def tokens(text: str | None) -> list[str]:
-    return _TOKEN.findall((text or "").lower())
+    """Lower-cased one by one: lower-casing a whole text can change how many tokens it has."""
+    return [t.lower() for t in _TOKEN.findall(text or "")]
 
 
 def features(word: str) -> list[str]:
@@ -253,10 +254,8 @@ class Scorer:
             spans: list[tuple[int, int]] = []
             if len(m) and m.max() >= 0.5:
                 last = -2
-                # lower-casing can change a text's length, so offsets are those of its own tokens
-                places = [t.span() for t in _TOKEN.finditer(text)]
-                same = len(places) == len(m)
-                for i in np.flatnonzero(m >= 0.5).tolist() if same else []:
+                places = [t.span() for t in _TOKEN.finditer(text)]  # the tokens' own, in the text as it is
+                for i in np.flatnonzero(m >= 0.5).tolist():
                     spans[-1:] = [(spans[-1][0], places[i][1])] if i == last + 1 else [*spans[-1:], places[i]]
                     last = i
             out.append((float(1 / (1 + np.exp(-np.clip(z, -60, 60)))), spans))

@@ -221,6 +221,14 @@ def test_toxicity_learns_and_handles_edges(spark, docs, nothing):
     assert {r.s.score < 0.01 for r in toxicity.with_scores(docs, none, "s").collect()} == {True}
 
 
+def test_toxic_spans_survive_letters_that_lower_to_two():
+    texts = [f"the quick brown fox number {i} " + ("you vile creep" if i % 4 == 0 else "is a nice animal") for i in range(200)]
+    scorer = toxicity.Scorer(toxicity.fit(texts, [int(i % 4 == 0) for i in range(200)], [i % 8 > 3 for i in range(200)]))
+    (_, plain), (score, spans) = scorer.read([texts[0], "\u0130zmir ve \u0130stanbul " + texts[0]])
+    assert plain and score >= 0.3
+    assert spans == [(a + 18, b + 18) for a, b in plain]
+
+
 # 5 Packing -------------------------------------------------------------------
 
 
