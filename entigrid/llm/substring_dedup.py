@@ -1,10 +1,11 @@
 """Substring dedup over sliding runs of sentences.
 
 A text is cut into sentences (up to and with its end marks, line ends and the white space after).
-Every run of ``RUN`` consecutive sentences is hashed, and also every run of one or two that has
-``LONG_WORDS`` words or more, by their lower-cased words. Equal runs are found by a global join;
+Every run of two to ``RUN`` consecutive sentences that has ``RUN_WORDS`` words or more is hashed,
+and also every sentence of ``LONG_WORDS`` or more, by their lower-cased words. Equal runs are found by a global join;
 the first one, by doc_id and position, stays. The sentences under any other are removed, the rest
-of the text is kept as it is.
+of the text is kept as it is. A repeated stretch with ends inside sentences is only removed for its
+whole sentences, if they make up such a run.
 
 Defined results: null is the empty text; pieces without a word belong to the sentence before them
 (or the first one after, at the start); rows that repeat a doc_id and its text count as one
@@ -58,7 +59,7 @@ def runs(cut: list[tuple[str, list[str]]]) -> list[tuple[int, int, bytes]]:
             if i + size > len(cut):
                 break
             total += counts[i + size - 1]
-            if total >= (LONG_WORDS if size < RUN else RUN_WORDS):
+            if total >= (LONG_WORDS if size == 1 else RUN_WORDS):
                 out.append((i, size, xxhash.xxh3_128_digest(b"".join(keys[i : i + size]))))
     return out
 

@@ -312,6 +312,13 @@ def test_repeated_passages_go(spark, nothing):
     assert substring_dedup.deduplicated(nothing).count() == 0
 
 
+def test_two_short_sentences_are_a_run(spark):
+    pair = "Nine short words stand here in the first one. And nine other words stand in the second one. "
+    rows = [(1, "It opens so. " + pair + "It ends so."), (2, "Another opening here. " + pair + "Another ending.")]
+    got = {r.doc_id: (r.n_removed, r.text) for r in substring_dedup.deduplicated(table(spark, rows)).collect()}
+    assert got == {1: (0, rows[0][1]), 2: (2, "Another opening here. Another ending.")}
+
+
 # 7 Jaccard join --------------------------------------------------------------
 
 
