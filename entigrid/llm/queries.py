@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from entigrid.llm import (
-    decontaminate, jaccard_join, minhash, packing, secret_scan, sharding, substring_dedup, toxicity, warc, wavelet,
+    circulant, decontaminate, jaccard_join, minhash, packing, prefix_trie, secret_scan, sharding, spelling, substring_dedup, toxicity,
+    warc, wavelet,
 )
 from entigrid.llm.common import table
 from entigrid.session import scratch_path
@@ -93,3 +94,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("hits.items", ","), 256).alias("items_sha256"),
         (F.size("hits.spans") > 0).alias("contaminated"),
     )
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_circulant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant.near_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.sequences(prefix_trie.rebuilt(table(spark, sf_dir, "conversations"))))
