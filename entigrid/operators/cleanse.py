@@ -8,7 +8,7 @@ from entigrid.fixed_values import CLEANSED_FIELDS, INGEST_OFFSHORE, RAW_FIELDS
 from entigrid.functions import keys, validate
 from entigrid.functions.sql import joined, one_of, present, quoted
 from entigrid.functions.text import normalize_address, normalize_name, not_blank, text
-from entigrid.schema import ORDER_FIELDS
+from entigrid.schema import order_fields
 
 
 def has_content() -> str:
@@ -22,7 +22,7 @@ def issues(rejected: DataFrame) -> DataFrame:
     return rejected.select(
         text("id"),
         "source_file",
-        *ORDER_FIELDS,
+        *order_fields(rejected),
         F.expr("concat(coalesce(id, ''), ': REJECTED — empty record')").alias("issue"),
     )
 
@@ -63,7 +63,7 @@ def normalize_marking_rejects(raw: DataFrame) -> DataFrame:
 
 def _normalized(raw: DataFrame, *carried: str) -> DataFrame:
     accepted = raw.select(
-        *(text(f) for f in RAW_FIELDS), "source_file", *ORDER_FIELDS, *carried
+        *(text(f) for f in RAW_FIELDS), "source_file", *order_fields(raw), *carried
     )
     # Each step uses its input more than once, so it is a column of its own: the optimizer
     # then computes it once instead of inlining it.
@@ -102,7 +102,7 @@ def _normalized(raw: DataFrame, *carried: str) -> DataFrame:
         f"CAST({validate.country_known('clean_country')} AS BIGINT) AS country_valid",
         "full_key",
         "source_file",
-        *ORDER_FIELDS,
+        *order_fields(raw),
         f"{changed('clean_name', 'legal_name')} AS name_changed",
         f"{changed('clean_address', 'address')} AS address_changed",
         f"{changed('clean_type', 'entity_type')} AS type_changed",
@@ -131,5 +131,5 @@ def with_notes(flagged: DataFrame) -> DataFrame:
             "dedup_key": keys.shown_key("full_key"),
             "cleansing_notes": joined("notes", "clean"),
         })
-        .select(*CLEANSED_FIELDS, "notes", "duplicate_of", *ORDER_FIELDS)
+        .select(*CLEANSED_FIELDS, "notes", "duplicate_of", *order_fields(flagged))
     )

@@ -2,61 +2,58 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
+from pyspark.sql import DataFrame, Window, functions as F
 
-from pyspark.sql import DataFrame, functions as F
+from entigrid.schema import POSITION
+from entigrid.sources.provenance import numbered
+from entigrid.sources.stored import stored
 
-from entigrid.schema import ORDER_FIELDS
+# The most frequent keys are matched by a broadcast of at most this many rows. What is a
+# frequent key is estimated; the result does not depend on it.
+HOT_KEYS = 1024
+TRACKED_KEYS = 4 * HOT_KEYS
+SKETCHES = 256
 
-# The groups joined by broadcast. Any key outside the HOT_GROUPS largest groups holds less
-# than one row in HOT_GROUPS of the whole table, so no shuffle partition can be swamped by
-# a single key, whatever the data. The broadcast is this many rows at most.
-HOT_GROUPS = 1024
 
+def hot_keys(rows: DataFrame, key: str) -> DataFrame:
+    """At most ``HOT_KEYS`` keys: the most frequent ones, from frequent-items sketches.
 
-def duplicate_groups(keyed: DataFrame, key: str = "full_key") -> DataFrame:
-    """One row per key that occurs more than once: its first position with the id, its size.
-
-    Keys are combined before the shuffle, so a hot key sends one row per task.
+    Tasks send a sketch each to one of ``SKETCHES``, which are combined in turn. A key with more
+    than about one row in ``HOT_KEYS`` is among them, so no key that is left can swamp a task.
     """
-    return (
-        keyed.groupBy(key)
-        .agg(
-            F.min(F.struct(*ORDER_FIELDS, "id")).alias("first"),
-            F.count("*").alias("group_size"),
-        )
-        .filter("group_size > 1")
-    )
-
-
-def flag_duplicates(
-    keyed: DataFrame, key: str = "full_key", groups: DataFrame | None = None
-) -> DataFrame:
+    part = (F.spark_partition_id() % SKETCHES).alias("part")
+    sketches = rows.groupBy(part).agg(F.expr(f"approx_top_k_accumulate({key}, {TRACKED_KEYS})").alias("sketch"))
+    # grouped, so that nothing comes of no rows
+    whole = sketches.groupBy(F.lit("all").alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"))
+    top = whole.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})")).alias("top"))
+    return top.filter("top.count > 1").select(F.col("top.item").alias("hot_key"))
+
+
+def first_of(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """(hot_key, first_pos, first_id) of a few keys; rows are combined before the shuffle."""
+    own = rows.join(F.broadcast(keys), F.col(key) == F.col("hot_key"))
+    least = own.groupBy("hot_key").agg(F.min(POSITION).alias("first_pos"))
+    ids = rows.select(F.col(POSITION).alias("first_pos"), F.col("id").alias("first_id"))
+    return ids.join(F.broadcast(least), "first_pos").select("hot_key", "first_pos", "first_id")
+
+
+def flag_duplicates(keyed: DataFrame, key: str = "full_key", settled: bool = False) -> DataFrame:
     """Add ``duplicate_of``: the id first seen under the key, null for that first record.
 
-    Rows are kept, never dropped. The largest groups are matched by a broadcast of at most
-    ``HOT_GROUPS`` rows; their rows then get a spread-out key of their own, so the join on
-    the remaining groups sees no hot key. Pass ``groups`` when they are already stored;
-    else they are aggregated from one shuffle that both joins read.
+    Rows are kept, never dropped. They are stored first, unless they are ``settled``: a stored
+    table with its ingest positions. Rows of the hot keys then find their first record in a
+    broadcast, without a shuffle; the others are dealt out by key once, where a window over the
+    position finds it.
     """
-    if groups is None:
-        groups = duplicate_groups(keyed, key)
-    hot = (
-        groups.orderBy(F.desc("group_size"), key)
-        .limit(HOT_GROUPS)
-        .select(F.col(key).alias("hot_key"), F.col("first").alias("hot_first"))
-    )
-    rest = groups.select(F.col(key).alias("rest_key"), F.col("first").alias("rest_first"))
-    spread = F.concat(F.lit("hot:"), F.xxhash64(*ORDER_FIELDS).cast("string"))
-    marked = keyed.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left").withColumn(
-        "rest_lookup", F.when(F.col("hot_key").isNull(), F.col(key)).otherwise(spread)
-    )
-    joined = marked.join(rest, F.col("rest_lookup") == F.col("rest_key"), "left").withColumn(
-        "first", F.coalesce("hot_first", "rest_first")
-    )
-    is_first = reduce(and_, (F.col(f) == F.col(f"first.{f}") for f in ORDER_FIELDS))
-    return joined.select(
-        *(F.col(c) for c in keyed.columns),
-        F.when(~is_first, F.col("first.id")).alias("duplicate_of"),
-    )
+    rows = keyed if settled else stored(keyed, "keyed")
+    if POSITION not in rows.columns:
+        rows = numbered(rows)
+    hot = stored(first_of(rows, hot_keys(rows, key), key), "hot-keys")
+    columns = [F.col(c) for c in rows.columns]
+    matched = rows.join(F.broadcast(hot), F.col(key) == F.col("hot_key"))
+    in_hot = matched.select(*columns, F.when(F.col(POSITION) != F.col("first_pos"), F.col("first_id")).alias("duplicate_of"))
+    rest = rows.join(F.broadcast(hot.select("hot_key")), F.col(key) == F.col("hot_key"), "left_anti")
+    seen = Window.partitionBy(key).orderBy(POSITION)
+    first = rest.withColumns({"first_pos": F.first(POSITION).over(seen), "first_id": F.first("id").over(seen)})
+    in_rest = first.select(*columns, F.when(F.col(POSITION) != F.col("first_pos"), F.col("first_id")).alias("duplicate_of"))
+    return in_hot.unionByName(in_rest)

@@ -21,7 +21,8 @@ from entigrid.fixed_values import (
 )
 from entigrid.functions.sql import number, one_of, present
 from entigrid.functions.text import not_blank
-from entigrid.schema import ORDER_FIELDS
+from entigrid.schema import POSITION, order_fields
+from entigrid.sources.provenance import in_order
 
 TYPED_FIELDS = {
     "annual_revenue_eur": "DOUBLE",
@@ -43,8 +44,7 @@ def typed(cleansed: DataFrame) -> DataFrame:
             known = number(known) if kind == "DOUBLE" else f"TRY_CAST({known} AS {kind})"
         return F.expr(f"{known} AS {name}")
 
-    order = [c for c in ORDER_FIELDS if c in cleansed.columns]
-    return cleansed.select(*(value(f) for f in CLEANSED_FIELDS), *order)
+    return cleansed.select(*(value(f) for f in CLEANSED_FIELDS), *order_fields(cleansed))
 
 
 # Profiles and distributions ---------------------------------------------------
@@ -83,24 +83,33 @@ def field_profile(table: DataFrame, fields: list[str] = PROFILED_FIELDS) -> Data
     )
 
 
-def distribution(table: DataFrame, field: str) -> DataFrame:
-    """Rows per value, most frequent first, ties in order of first appearance.
+def value_counts(table: DataFrame, fields: list[str] = DISTRIBUTION_FIELDS) -> DataFrame:
+    """(field_name, value, count, first) of all values of the fields, from one pass over the table.
 
-    Counting per value and file split needs only a number as first position, which keeps
-    the combining step a hash aggregation; the few rows left are then merged per value.
+    Every field is a grouping set of its own, and the position is a number, so rows are combined
+    by a hash aggregation before anything is shuffled.
     """
-    split = ["source_rank", "source_key", "block_start"]
-    per_split = (
-        table.filter(F.col(field).isNotNull())
-        .groupBy(field, *split)
-        .agg(F.count("*").alias("n"), F.min("row_pos").alias("row_pos"))
-    )
-    return (
-        per_split.groupBy(field)
-        .agg(F.sum("n").alias("count"), F.min(F.struct(*split, "row_pos")).alias("first"))
-        .orderBy(F.desc("count"), "first")
-        .select(field, "count")
+    rows = in_order(table).select(*fields, POSITION)
+    counts = rows.groupingSets([[F.col(f)] for f in fields], *fields).agg(
+        F.grouping_id().alias("left_out"), F.count("*").alias("count"), F.min(POSITION).alias("first")
     )
+    # of the bits of left_out, the first field's is the highest; only the set's own field is 0 there
+    own = {f: (1 << len(fields)) - 1 - (1 << (len(fields) - 1 - i)) for i, f in enumerate(fields)}
+    named = reduce(lambda c, f: c.when(F.col("left_out") == own[f], F.struct(F.lit(f).alias("name"), F.col(f).alias("value"))), fields, F)
+    return counts.select(named.alias("f"), "count", "first").select(
+        F.col("f.name").alias("field_name"), F.col("f.value").alias("value"), "count", "first"
+    ).filter("value IS NOT NULL")
+
+
+def ordered_counts(counts: DataFrame, field: str) -> DataFrame:
+    """One field's part of the value counts, most frequent first, ties in order of first appearance."""
+    own = counts.filter(F.col("field_name") == field).select(F.col("value").alias(field), "count", "first")
+    return own.orderBy(F.desc("count"), "first").select(field, "count")
+
+
+def distribution(table: DataFrame, field: str) -> DataFrame:
+    """Rows per value, most frequent first, ties in order of first appearance."""
+    return ordered_counts(value_counts(table, [field]), field)
 
 
 def distribution_sizes(table: DataFrame) -> DataFrame:
@@ -158,8 +167,7 @@ def anomalies(table: DataFrame) -> DataFrame:
         )
         for position, (kind, severity, condition, description) in enumerate(anomaly_kinds())
     )
-    order = [c for c in ORDER_FIELDS if c in table.columns]
-    return table.select(F.expr("coalesce(id, 'UNKNOWN') AS party_id"), *order, F.inline(found))
+    return table.select(F.expr("coalesce(id, 'UNKNOWN') AS party_id"), *order_fields(table), F.inline(found))
 
 
 def severity_totals() -> dict[str, Column]:

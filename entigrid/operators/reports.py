@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from entigrid.fixed_values import PROFILED_FIELDS, SEVERITIES
 from entigrid.functions.keys import key_digest, key_text
@@ -15,6 +15,7 @@ from entigrid.operators.quality import (
     field_profile,
     quality_score,
 )
+from entigrid.schema import ingest_order
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -59,23 +60,26 @@ def ingestion_stats(raw: DataFrame, files_processed: int) -> DataFrame:
     return _with_share(counts, files_processed)
 
 
-def stored_ingestion_stats(
-    normalized: DataFrame, groups: DataFrame, files_processed: int
-) -> DataFrame:
-    """The same from stored tables: records marked as rejected, and duplicate groups.
-
-    Reads two narrow columns and the group sizes; nothing is normalized again.
-    """
-    records = normalized.agg(
+def record_counts() -> list[Column]:
+    """Counts to observe while normalized records are written. A task that is retried counts once,
+    as long as they are observed in the job's last stage."""
+    return [
         F.count("*").alias("total"),
         F.count_if(~F.col("rejected")).alias("valid"),
         F.count_if(F.col("name_changed") & ~F.col("rejected")).alias("cleansed"),
         F.count_if("rejected").alias("rejected"),
-    )
-    repeated = groups.agg(F.coalesce(F.sum(F.col("group_size") - 1), F.lit(0)).alias("duplicates"))
-    both = records.unionByName(repeated, allowMissingColumns=True)
+    ]
+
+
+def duplicate_counts() -> list[Column]:
+    return [F.count("duplicate_of").alias("duplicates")]
+
+
+def observed_ingestion_stats(spark: SparkSession, counts: dict[str, int], files_processed: int) -> DataFrame:
+    """The row of ``ingestion_stats`` from observed counts."""
     names = ["total", "valid", "cleansed", "rejected", "duplicates"]
-    return _with_share(both.agg(*(F.sum(c).alias(c) for c in names)), files_processed)
+    row = spark.range(1).select(*(F.lit(counts[name]).cast("long").alias(name) for name in names))
+    return _with_share(row, files_processed)
 
 
 def _with_share(counts: DataFrame, files_processed: int) -> DataFrame:
@@ -124,10 +128,9 @@ def ingestion_report(stats: DataFrame, rejected: DataFrame, generated_at: Column
         F.lit(""),
         F.lit("Issues:"),
     )
-    order = F.struct("source_rank", "source_key", "block_start", "row_pos")
     issues = rejected.select(
         F.lit(1).alias("section"),
-        order.alias("issue_order"),
+        ingest_order(rejected).alias("issue_order"),
         F.concat(F.lit("  - "), "issue").alias("value"),
     )
     tail = _lines(stats, 2, F.lit(""), F.lit("--- End of Report ---"))

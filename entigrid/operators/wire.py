@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from entigrid.fixed_values import CLASSIFIED_HEADER
 from entigrid.functions.sql import joined, number
 from entigrid.operators.classify import CLASSIFIED_FIELDS, classify, shown_fingerprint
-from entigrid.schema import ORDER_FIELDS
+from entigrid.schema import order_fields
 
 MINIMUM_PARTS = 9
 IDENTITY_FIELD_COUNT = 10
@@ -21,10 +21,6 @@ CLASSIFIED_FIELD_COUNT = 8
 CLASSIFIED_HEADER_LINE = "|".join(CLASSIFIED_HEADER)
 
 
-def _order(df: DataFrame) -> list[str]:
-    return [c for c in ORDER_FIELDS if c in df.columns]
-
-
 def identity_line() -> Column:
     def flag(name: str, column: str) -> Column:
         return F.concat(F.lit(f"{name}="), F.col(column).cast("string"))
@@ -40,7 +36,7 @@ def identity_line() -> Column:
 
 
 def identity_lines(identities: DataFrame) -> DataFrame:
-    return identities.select(identity_line().alias("value"), *_order(identities))
+    return identities.select(identity_line().alias("value"), *order_fields(identities))
 
 
 def classified_fields(classified: DataFrame) -> DataFrame:
@@ -58,7 +54,7 @@ def classified_fields(classified: DataFrame) -> DataFrame:
         joined("risk_factors", "NONE").alias("risk_factors"),
         joined("obligations", "NONE").alias("obligations"),
         joined("sanctions_flags", "CLEAR").alias("sanctions_flags"),
-        *_order(classified),
+        *order_fields(classified),
     )
 
 
@@ -67,7 +63,7 @@ def classified_lines(classified: DataFrame) -> DataFrame:
     fields = classified_fields(classified)
     return fields.select(
         F.concat_ws("|", *(F.col(c).cast("string") for c in CLASSIFIED_FIELDS)).alias("value"),
-        *_order(classified),
+        *order_fields(classified),
     )
 
 
@@ -79,7 +75,7 @@ def data_lines(lines: DataFrame) -> DataFrame:
 def parse_identity_lines(lines: DataFrame) -> DataFrame:
     """Identity fields by position; lines that are too short or of another kind drop out."""
     split = lines.filter(~F.col("value").startswith("#")).select(
-        F.split("value", r"\|").alias("f"), *_order(lines)
+        F.split("value", r"\|").alias("f"), *order_fields(lines)
     )
     given = F.expr(number("substring(f[9], instr(f[9], '=') + 1)"))
     trust = F.when(F.expr("f[9]").contains("="), F.coalesce(given, F.lit(0.0))).otherwise(0.0)
@@ -87,14 +83,14 @@ def parse_identity_lines(lines: DataFrame) -> DataFrame:
         F.expr("f[1]").alias("id"),
         F.expr("f[4]").alias("fingerprint"),
         trust.alias("trust"),
-        *_order(lines),
+        *order_fields(lines),
     )
 
 
 def parse_classified_lines(lines: DataFrame) -> DataFrame:
     """Classification fields by position; a score that is no whole number counts as 0."""
     split = lines.filter(~F.col("value").startswith("#")).select(
-        F.split("value", r"\|").alias("f"), *_order(lines)
+        F.split("value", r"\|").alias("f"), *order_fields(lines)
     )
     score = F.when(F.expr(r"f[6] RLIKE '^[+-]?[0-9]+$'"), F.expr("try_cast(f[6] AS int)"))
     header = F.expr("f[0]") == CLASSIFIED_HEADER[0]
@@ -103,14 +99,14 @@ def parse_classified_lines(lines: DataFrame) -> DataFrame:
         F.expr("f[4]").alias("kyc_level"),
         F.coalesce(score, F.lit(0)).alias("risk_score"),
         F.expr("f[7]").alias("risk_class"),
-        *_order(lines),
+        *order_fields(lines),
     )
 
 
 def reparse(lines: DataFrame) -> DataFrame:
     """Parties as the lossy hand-off sees them."""
     closed_up = F.regexp_replace(F.regexp_replace("value", r"^\|+|\|+$", ""), r"\|+", "|")
-    parts = data_lines(lines).select(F.split(closed_up, r"\|").alias("p"), *_order(lines))
+    parts = data_lines(lines).select(F.split(closed_up, r"\|").alias("p"), *order_fields(lines))
     kept = parts.filter((F.size("p") >= MINIMUM_PARTS) & F.expr("p[0] = 'IDENTITY'"))
     rest = F.array_join(F.slice("p", 8, F.size("p")), "|")
     tail = kept.withColumn("tail", F.concat(F.lit("|"), rest))
@@ -131,7 +127,7 @@ def reparse(lines: DataFrame) -> DataFrame:
         F.coalesce(given("trust"), F.lit("0")).alias("trust"),
         F.lit(False).alias("lei_format_valid"),
         F.lit(False).alias("country_format_valid"),
-        *_order(lines),
+        *order_fields(lines),
     ).withColumn("trust", F.expr(number("trust")))
 
 

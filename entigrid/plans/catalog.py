@@ -27,11 +27,13 @@ from entigrid.operators.cleanse import (
 from entigrid.operators.duplicates import flag_duplicates
 from entigrid.operators.identity import has_identity, identities
 from entigrid.plans.pipeline import classified_parties, cleanse
+from entigrid.schema import POSITION
 from entigrid.session import scratch_path, tune
 from entigrid.sources import sinks
 from entigrid.sources.feed import read_derived_parties
 from entigrid.sources.lines import read_classified_lines, read_identity_lines, read_lines
 from entigrid.sources.party_files import read_parties
+from entigrid.sources.stored import stored
 from entigrid.sources.tables import read_cleansed_csv, read_report_headline, read_typed_cleansed
 from entigrid.streaming.alerts import route_alerts, start_alerts
 from entigrid.streaming.publish import publish, read_stream, stream_records
@@ -105,13 +107,19 @@ def stored_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def versions(parties: DataFrame) -> DataFrame:
     """Records that repeat another party's key become later versions of that party."""
-    key = F.when(F.col("row_pos") % 10 == 8, F.col("row_pos") - 7).otherwise(F.col("row_pos"))
-    number = F.lpad(key.cast("string"), 9, "0")
+    own = F.substring("id", 2, 20).cast("long")
+    number = F.lpad(F.when(own % 10 == 8, own - 7).otherwise(own).cast("string"), 9, "0")
     return parties.withColumn("id", F.concat(F.substring("id", 1, 1), number))
 
 
+def stored_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the view needs of the cleansed table, as a batch run stores it."""
+    fields = [*view.BASE_FIELDS, "lei_valid", POSITION]
+    return stored(versions(normalized(spark, sf_dir)).select(*fields), "cleansed")
+
+
 def parties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view.party_view(versions(normalized(spark, sf_dir)))
+    return view.party_view(stored_versions(spark, sf_dir))
 
 
 # Cleansing --------------------------------------------------------------------
@@ -175,7 +183,8 @@ def dedup_key(spark, sf_dir):
 
 @query
 def first_seen_duplicates(spark, sf_dir):
-    return flag_duplicates(normalized(spark, sf_dir)).select("id", "duplicate_of")
+    keyed = normalized(spark, sf_dir).select("id", "full_key", POSITION)
+    return flag_duplicates(keyed).select("id", "duplicate_of")
 
 
 @query
@@ -467,13 +476,13 @@ def quality_score(spark, sf_dir):
 
 @query
 def quality_bands(spark, sf_dir):
-    stored = stored_table(spark, sf_dir)
-    fields = quality.field_profile(stored).select(
+    table = stored_table(spark, sf_dir)
+    fields = quality.field_profile(table).select(
         F.col("field_name").alias("name"),
         F.round("completeness_pct", 6).alias("value"),
         quality.field_band(F.col("completeness_pct")).alias("band"),
     )
-    score = quality.quality_score(stored).select(
+    score = quality.quality_score(table).select(
         F.lit("score").alias("name"), F.col("quality_score").alias("value"), "band"
     )
     return fields.unionByName(score)
@@ -523,7 +532,7 @@ def report_headline(spark, sf_dir):
 
 @query
 def latest_per_id(spark, sf_dir):
-    return view.latest_per_id(versions(normalized(spark, sf_dir)), view.BASE_FIELDS)
+    return view.latest_per_id(stored_versions(spark, sf_dir), view.BASE_FIELDS)
 
 
 def _comparable(parties_view: DataFrame) -> DataFrame:
@@ -533,7 +542,7 @@ def _comparable(parties_view: DataFrame) -> DataFrame:
 @query
 def merged_view(spark, sf_dir):
     """The view from three tables joined by id."""
-    base = versions(normalized(spark, sf_dir))
+    base = stored_versions(spark, sf_dir)
     prints = identities(base)
     return _comparable(view.merged_view(base, prints, rules.classify(prints)))
 
@@ -613,8 +622,8 @@ def party_classification(spark, sf_dir):
 @query
 def duplicates_by_country(spark, sf_dir):
     """Parties, duplicates and LEI outcomes per country."""
-    flagged = flag_duplicates(normalized(spark, sf_dir))
-    return flagged.groupBy("country").agg(
+    keyed = normalized(spark, sf_dir).select("id", "full_key", "country", "lei_status", POSITION)
+    return flag_duplicates(keyed).groupBy("country").agg(
         F.count("*").alias("parties"),
         F.count("duplicate_of").alias("duplicates"),
         *(

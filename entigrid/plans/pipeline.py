@@ -1,16 +1,15 @@
 """The whole batch run: files in, cleansed table, classification, reports, view, stream.
 
 What two stages share is written once and read back: the cleansed table feeds identity,
-classification, quality and the view. The normalized table and the duplicate groups are
-written before they are matched, so that the optimizer sees their real sizes and a lost
-executor costs no re-reading of the sources.
+classification, quality and the view. The normalized table is written before its duplicates are
+matched, so nothing is normalized twice and a lost executor costs no re-reading of the sources.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from entigrid.operators.classify import classify
 from entigrid.operators.cleanse import (
@@ -19,24 +18,27 @@ from entigrid.operators.cleanse import (
     normalize_marking_rejects,
     with_notes,
 )
-from entigrid.operators.duplicates import duplicate_groups, flag_duplicates
+from entigrid.operators.duplicates import flag_duplicates
 from entigrid.operators.identity import identities
 from entigrid.operators.quality import typed
 from entigrid.operators.reports import (
+    duplicate_counts,
     ingestion_report,
     now_text,
+    observed_ingestion_stats,
     quality_sections,
-    stored_ingestion_stats,
+    record_counts,
 )
 from entigrid.operators.view import party_view
-from entigrid.session import scratch_path
 from entigrid.sources import sinks
 from entigrid.sources.party_files import read_parties
+from entigrid.sources.provenance import numbered
+from entigrid.sources.stored import stored
 from entigrid.streaming.publish import publish
 
 
 def cleanse(raw: DataFrame) -> DataFrame:
-    """Raw parties to the cleansed table, as one lazy plan."""
+    """Raw parties to the cleansed table; the normalized records are stored on the way."""
     return with_notes(flag_duplicates(normalize(raw)))
 
 
@@ -59,20 +61,20 @@ class Outputs:
 def ingest(spark: SparkSession, raw: DataFrame, files: int, out: Outputs) -> DataFrame:
     """Store cleansed table, rejects, statistics and ingestion report.
 
-    The sources are read once, into a stored table of all normalized records.
+    The sources are read once, into a stored table of all normalized records. The records are
+    counted while that table and the cleansed one are written; no table is read for counts.
     """
-    normalized_path = scratch_path(spark, "normalized")
-    groups_path = scratch_path(spark, "duplicate-groups")
-    normalize_marking_rejects(raw).write.parquet(normalized_path)
-    everything = spark.read.parquet(normalized_path)
+    records, flags = Observation("records"), Observation("flags")
+    marked = normalize_marking_rejects(raw).observe(records, *record_counts())
+    everything = numbered(stored(marked, "normalized"))
     accepted = everything.filter("NOT rejected").drop("rejected")
-    duplicate_groups(accepted).write.parquet(groups_path)
-    groups = spark.read.parquet(groups_path)
+    if not records.get["valid"]:
+        raise ValueError("no data: no party was accepted")
 
-    cleansed = with_notes(flag_duplicates(accepted, groups=groups))
+    cleansed = with_notes(flag_duplicates(accepted, settled=True)).observe(flags, *duplicate_counts())
     sinks.write_cleansed(cleansed, out.path("cleansed"))
     issues(everything.filter("rejected")).write.parquet(out.path("rejects"))
-    stats = stored_ingestion_stats(everything, groups, files)
+    stats = observed_ingestion_stats(spark, {**records.get, **flags.get}, files)
     stats.write.parquet(out.path("ingestion_stats"))
     report = ingestion_report(
         spark.read.parquet(out.path("ingestion_stats")),
@@ -104,8 +106,6 @@ def run(
         sinks.write_identity_lines(classified, out.path("identity_lines"))
         sinks.write_classified_lines(classified, out.path("classified_lines"))
 
-    if cleansed.isEmpty():
-        raise ValueError(f"no data: no party was accepted from {data_dir}")
     table = typed(cleansed)
     quality_sections(table).write.parquet(out.path("quality_sections"))
     sections = spark.read.parquet(out.path("quality_sections"))

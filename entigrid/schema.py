@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from entigrid.fixed_values import RAW_FIELDS, VIEW_FIELDS
 
-# Where a record stands in ingest order: source kind, file, split of the file, position
-# in the split. Compared left to right as one struct.
-ORDER_FIELDS = ["source_rank", "source_key", "block_start", "row_pos"]
+# Where a scan found a record: source kind, file, split of the file, position in the split.
+# Numbering turns the four, compared left to right, into one number, which is all that
+# stages behind it carry and shuffle.
+SCAN_FIELDS = ["source_rank", "source_key", "block_start", "row_pos"]
+POSITION = "ingest_pos"
 
-ORDER_SCHEMA = T.StructType([
+SCAN_SCHEMA = T.StructType([
     T.StructField("source_rank", T.IntegerType()),
     T.StructField("source_key", T.StringType()),
     T.StructField("block_start", T.LongType()),
@@ -32,6 +34,11 @@ STREAM_SCHEMA = T.StructType([
 ])
 
 
-def ingest_order() -> Column:
-    """The ingest position of a row as one comparable struct."""
-    return F.struct(*ORDER_FIELDS)
+def order_fields(df: DataFrame) -> list[str]:
+    """The columns of a table that tell its rows' order: a number, or where a scan found them."""
+    return [c for c in (POSITION, *SCAN_FIELDS) if c in df.columns]
+
+
+def ingest_order(df: DataFrame) -> Column:
+    """The same as one comparable column."""
+    return F.col(POSITION) if POSITION in df.columns else F.struct(*SCAN_FIELDS)

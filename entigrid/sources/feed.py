@@ -8,6 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from entigrid.schema import POSITION
+
+SOURCE_ROWS = 1 << 50  # above any key, so that customers come before suppliers
+
 FEED_SQL = """
 WITH base AS (
   SELECT 'C' AS pfx, c_custkey AS k, 'customer' AS source_file, 0 AS source_rank FROM {customer}
@@ -69,7 +73,7 @@ def derived_parties(customer: DataFrame, supplier: DataFrame) -> DataFrame:
     spark: SparkSession = customer.sparkSession
     feed = spark.sql(FEED_SQL, customer=customer, supplier=supplier)
     return feed.selectExpr(
-        "*", "source_file AS source_key", "CAST(0 AS BIGINT) AS block_start"
+        "*", f"source_rank * {SOURCE_ROWS} + row_pos AS {POSITION}"
     )
 
 

@@ -9,7 +9,7 @@ from entigrid.sources.provenance import order_columns
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files; ``value`` and the ingest order, taken on the scan itself."""
+    """Lines of text files: ``value`` and the place in the scan, taken on the scan itself."""
     return spark.read.text(path).select(
         F.regexp_replace("value", "\r$", "").alias("value"),
         *order_columns(0),

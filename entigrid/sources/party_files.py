@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from entigrid.fixed_values import RAW_FIELDS
 from entigrid.functions.text import text
-from entigrid.schema import ORDER_SCHEMA, RAW_SCHEMA
+from entigrid.schema import SCAN_SCHEMA, RAW_SCHEMA
 from entigrid.sources.provenance import file_name, order_columns
 
 CSV_RANK, JSON_RANK = 0, 1
@@ -38,7 +38,7 @@ def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
 
 
 def _with_provenance(scan: DataFrame, source_rank: int) -> DataFrame:
-    """The raw fields, source file and ingest order, selected directly on the scan."""
+    """The raw fields, source file and place in the scan, selected directly on the scan."""
     known = set(scan.columns)
     return scan.select(
         *(text(f) if f in known else F.lit("").alias(f) for f in RAW_FIELDS),
@@ -113,7 +113,7 @@ def read_party_json(
 
 def _union(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
     if not parts:
-        provenance = [T.StructField("source_file", T.StringType()), *ORDER_SCHEMA.fields]
+        provenance = [T.StructField("source_file", T.StringType()), *SCAN_SCHEMA.fields]
         return spark.createDataFrame([], T.StructType(RAW_SCHEMA.fields + provenance))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 

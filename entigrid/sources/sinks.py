@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from entigrid.fixed_values import CLEANSED_FIELDS, RAW_FIELDS
-from entigrid.operators.quality import DISTRIBUTION_FIELDS, anomalies, distribution
+from entigrid.operators.quality import DISTRIBUTION_FIELDS, anomalies, ordered_counts, value_counts
 from entigrid.operators.reports import quality_report, quality_summary
 from entigrid.operators.wire import CLASSIFIED_HEADER_LINE, classified_lines, identity_lines
+from entigrid.sources.stored import stored
 
 CSV_FILE_RECORDS = 500_000
 
@@ -68,11 +69,10 @@ def write_quality_report(
     """
     quality_report(sections).coalesce(1).write.mode(mode).json(f"{path}/report")
     write_report_lines(quality_summary(sections), f"{path}/summary", mode)
+    counts = stored(value_counts(table), "value-counts")
     for field in DISTRIBUTION_FIELDS:
         name = "type" if field == "entity_type" else field
-        distribution(table, field).withColumnRenamed(field, name).write.mode(mode).json(
-            f"{path}/by_{field}"
-        )
+        ordered_counts(counts, field).withColumnRenamed(field, name).write.mode(mode).json(f"{path}/by_{field}")
     anomalies(table).select("party_id", "type", "severity", "description").write.mode(
         mode
     ).json(f"{path}/anomalies")

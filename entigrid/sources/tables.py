@@ -8,14 +8,14 @@ from pyspark.sql import types as T
 from entigrid.fixed_values import CLEANSED_FIELDS, SEVERITIES
 from entigrid.functions.text import text
 from entigrid.operators.quality import typed
-from entigrid.schema import ORDER_FIELDS
+from entigrid.schema import order_fields
 from entigrid.sources.provenance import order_columns
 
 _CLEANSED_TEXT = T.StructType([T.StructField(f, T.StringType()) for f in CLEANSED_FIELDS])
 
 
 def read_cleansed_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A cleansed CSV as text columns with the order of its rows; its header is verified."""
+    """A cleansed CSV as text columns with their place in the scan; its header is verified."""
     options = {"header": True, "escape": '"', "enforceSchema": False, "multiLine": True}
     scan = spark.read.options(**options).schema(_CLEANSED_TEXT).csv(path)
     return scan.select(
@@ -27,7 +27,7 @@ def read_cleansed_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_typed_cleansed(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """The typed table for quality work, from CSV or parquet."""
     table = read_cleansed_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
-    return typed(table).select(*CLEANSED_FIELDS, *ORDER_FIELDS)
+    return typed(table).select(*CLEANSED_FIELDS, *order_fields(table))
 
 
 _HEADLINE_SCHEMA = """

@@ -12,9 +12,12 @@ from entigrid.operators.cleanse import normalize
 from entigrid.operators.duplicates import flag_duplicates
 from entigrid.operators.wire import CLASSIFIED_HEADER_LINE, parse_identity_lines
 from entigrid.plans.pipeline import classified_parties, cleanse, run
-from entigrid.schema import ORDER_FIELDS
+from entigrid.schema import POSITION, SCAN_FIELDS
 from entigrid.sources import sinks
 from entigrid.sources.party_files import list_files, read_parties, read_party_csv
+from entigrid.sources import stored as stored_steps
+from entigrid.sources.provenance import numbered
+from entigrid.sources.stored import stored
 from entigrid.sources.tables import read_cleansed_csv
 
 FIELDS = ["id", "legal_name", "country", "lei"]
@@ -100,16 +103,60 @@ def test_first_seen_follows_files_not_tasks(spark, tmp_path):
     try:
         raw, _ = read_parties(spark, str(tmp_path))
         assert raw.rdd.getNumPartitions() > 5
-        flagged = flag_duplicates(normalize(raw)).select("id", "duplicate_of", *ORDER_FIELDS)
+        flagged = flag_duplicates(normalize(raw)).select("id", "duplicate_of", POSITION)
         got = flagged.collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert [r.id for r in got if r.duplicate_of is None] == ["a0"]
     assert {r.duplicate_of for r in got if r.id != "a0"} == {"a0"}
-    in_order = sorted(got, key=lambda r: tuple(r[f] for f in ORDER_FIELDS))
+    in_order = sorted(got, key=lambda r: r[POSITION])
     assert [r.id for r in in_order] == [f"a{i}" for i in range(2000)] + ["b1", "j"]
 
 
+def test_numbers_follow_files_over_many_partitions(spark, tmp_path):
+    """Three files in 16 partitions or more: numbers from 0 on, in file order."""
+    wanted = []
+    for name, n in (("a.csv", 700), ("B.csv", 1), ("c.csv", 900)):
+        ids = [f"{name}-{i}" for i in range(n)]
+        (tmp_path / name).write_text("id,legal_name\n" + "".join(f"{i},Name of {i}\n" for i in ids))
+        wanted += ids
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        raw, _ = read_parties(spark, str(tmp_path))
+        assert raw.rdd.getNumPartitions() >= 16
+        rows = numbered(stored(normalize(raw).select("id", *SCAN_FIELDS), "raw"))
+        got = rows.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert rows.columns == ["id", POSITION]
+    assert [r.id for r in sorted(got, key=lambda r: r[POSITION])] == wanted
+    assert sorted(r[POSITION] for r in got) == list(range(len(wanted)))
+
+
+def test_numbering_without_a_broadcast(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("id\n" + "".join(f"a{i}\n" for i in range(50)))
+    (tmp_path / "b.csv").write_text("id\nb0\n")
+    monkeypatch.setattr(stored_steps, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = numbered(stored(read_parties(spark, str(tmp_path))[0], "raw"))
+        shuffles = [line for line in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line]
+        # the rows are dealt out by the name of their split, a number
+        assert len(shuffles) == 2 and all("hashpartitioning(split#" in line for line in shuffles)
+        got = {r.id: r[POSITION] for r in rows.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {**{f"a{i}": i for i in range(50)}, "b0": 50}
+
+
+def test_numbering_of_nothing(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    rows = numbered(stored(read_parties(spark, str(tmp_path))[0], "raw"))
+    assert POSITION in rows.columns and rows.count() == 0
+
+
 def test_hidden_files_and_missing_folders_are_errors(spark, tmp_path):
     for name in ("_x.csv", "_x.json"):
         folder = tmp_path / name.split(".")[1]

@@ -1,16 +1,21 @@
 """The batch run over the sample files, its outputs read back, and the stream after it."""
 
 import json
+import os
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
 
 from entigrid.fixed_values import CLEANSED_FIELDS, VIEW_FIELDS
 from entigrid.operators import quality
+from entigrid.operators.reports import ingestion_stats
 from entigrid.operators.view import merged_view
 from entigrid.plans.pipeline import run
 from entigrid.schema import STREAM_SCHEMA
 from entigrid.sources.lines import read_classified_lines, read_identity_lines
+from entigrid.sources.party_files import read_parties
 from entigrid.sources.tables import read_cleansed_csv, read_report_headline, read_typed_cleansed
 from entigrid.streaming.alerts import route_alerts, start_alerts
 from entigrid.streaming.publish import publish, read_stream
@@ -41,6 +46,51 @@ def test_ingestion_report(out):
     ]
 
 
+def test_observed_statistics_equal_counted_ones(spark, out, sample_dir):
+    raw, files = read_parties(spark, sample_dir)
+    assert spark.read.parquet(out.path("ingestion_stats")).first() == ingestion_stats(raw, files).first()
+
+
+RETRIED = """
+import sys
+from pyspark import TaskContext
+from pyspark.sql import functions as F
+from entigrid.plans.pipeline import Outputs, ingest
+from entigrid.session import build_session
+from entigrid.sources.party_files import read_parties
+
+spark = build_session(master="local[2,4]", **{"spark.checkpoint.dir": sys.argv[2] + "/shared", "spark.sql.shuffle.partitions": "3"})
+spark.sparkContext.setLogLevel("OFF")
+raw, files = read_parties(spark, sys.argv[1])
+
+@F.udf("string")
+def flaky(value):
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("first attempt")
+    return value
+
+counted = ingest(spark, raw.withColumn("id", flaky("id")), files, Outputs(sys.argv[2] + "/out"))
+row = spark.read.parquet(sys.argv[2] + "/out/ingestion_stats").first()
+print("ROW", row.files, row.total, row.valid, row.cleansed, row.rejected, row.duplicates, counted.count())
+"""
+
+
+def test_retried_tasks_count_once(sample_dir, tmp_path):
+    root = str(Path(__file__).resolve().parent.parent)
+    done = subprocess.run(
+        [sys.executable, "-c", RETRIED, sample_dir, str(tmp_path)], capture_output=True, text=True, timeout=240, cwd=root, env={**os.environ, "PYTHONPATH": root}
+    )
+    assert "ROW 2 12 11 1 1 1 11" in done.stdout, done.stdout + done.stderr[-2000:]
+
+
+def test_no_output_without_data(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("id,legal_name,country,lei\n1, ,,\n")
+    with pytest.raises(ValueError, match="no data"):
+        run(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+
+
 def test_identity_lines(out):
     assert sorted(text_of(out.path("identity_lines")).splitlines()) == IDENTITY_LINES
 
