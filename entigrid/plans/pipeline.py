@@ -91,7 +91,7 @@ def run(
     output_dir: str,
     algorithm: str = "blake3",
     lei_flag: str = "lei_format_valid",
-    json_lines: bool = False,
+    json_lines: bool | None = None,
     text_outputs: bool = True,
 ) -> Outputs:
     """Run every stage over a folder of party files into a new output folder."""

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import csv
+import io
+import json
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -14,10 +15,10 @@ from pyspark.sql import types as T
 from entigrid.fixed_values import RAW_FIELDS
 from entigrid.functions.text import text
 from entigrid.schema import SCAN_SCHEMA, RAW_SCHEMA
+from entigrid.sources.probe import first_records
 from entigrid.sources.provenance import file_name, order_columns
 
 CSV_RANK, JSON_RANK = 0, 1
-HEADER_PROBE_THREADS = 16
 
 _CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
@@ -47,18 +48,18 @@ def _with_provenance(scan: DataFrame, source_rank: int) -> DataFrame:
     )
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """The trimmed names of the first line that isn't blank; none for an empty file."""
-    line = spark.read.text(path).filter("trim(value) <> ''").first()
-    names = next(csv.reader([line.value.removeprefix("\ufeff")])) if line else []
-    return tuple(name.strip() for name in names)
+def _headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
+    """The trimmed names of each file's first record; an empty file has none."""
+    records = first_records(spark, paths, quoted=True)
+    return {path: tuple(name.strip() for name in next(csv.reader(io.StringIO(record)))) for path, record in records.items()}
 
 
 def _csv_scan(spark: SparkSession, paths: list[str], header: tuple[str, ...], verify: bool):
     """The raw fields, bound by position: of a repeated name the last column counts."""
     names = header if verify else [f"c{i}" for i in range(len(header))]
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    reader = spark.read.options(**_CSV_OPTIONS).option("enforceSchema", not verify)
+    broken = any("\n" in name for name in header)  # such files aren't split, else the header's rest is a row
+    reader = spark.read.options(**_CSV_OPTIONS).option("enforceSchema", not verify).option("multiLine", broken)
     scan = reader.schema(schema).csv(paths)
     last = {field: names[i] for i, field in enumerate(header) if field in RAW_FIELDS}
     return scan.select(*(F.col(f"`{name}`").alias(field) for field, name in last.items()), "_metadata")
@@ -74,22 +75,22 @@ def read_party_csv(
 ) -> DataFrame:
     """Parties from CSV files, columns bound by header name.
 
-    The first line of every file is probed and files that share a header are read in one
-    scan. For very many files known to be alike, ``uniform_header`` probes only one and has
-    Spark check the others against it while reading, failing on a mismatch.
+    The headers of all files are read by one job, and files that share a header are read in one
+    scan. For files known to be alike, ``uniform_header`` only has the first one's header taken,
+    and Spark check the others against it while reading, failing on a mismatch.
     """
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     if uniform_header:
-        header = next(filter(None, (_header(spark, path) for path in paths)), None)
+        header = next((h for i in range(len(paths)) for h in _headers(spark, paths[i : i + 1]).values()), None)
         if header and not _can_verify(header):
             raise ValueError(f"a header with repeated or empty names can't be verified: {header}")
         if header:
             groups[header] = list(paths)
     else:
-        with ThreadPoolExecutor(HEADER_PROBE_THREADS) as pool:
-            for path, header in zip(paths, pool.map(lambda p: _header(spark, p), paths)):
-                if header:
-                    groups[header].append(path)
+        headers = _headers(spark, paths)
+        for path in paths:
+            if path in headers:
+                groups[headers[path]].append(path)
     scans = [
         _with_provenance(_csv_scan(spark, files, header, uniform_header), CSV_RANK)
         for header, files in groups.items()
@@ -97,18 +98,34 @@ def read_party_csv(
     return _union(spark, scans)
 
 
+def _holds_lines(first: str) -> bool:
+    """Whether a file whose first line this is holds a record per line: it is an object of its own."""
+    try:
+        return isinstance(json.loads(first), dict)
+    except ValueError:
+        return False
+
+
 def read_party_json(
-    spark: SparkSession, paths: list[str], lines: bool = False, mode: str = "FAILFAST"
+    spark: SparkSession, paths: list[str], lines: bool | None = None, mode: str = "FAILFAST"
 ) -> DataFrame:
-    """Parties from JSON files: one object or one array each, numbers as their source text.
+    """Parties from JSON files, numbers as their source text: a record per line, or a document
+    that is one object or array. Unless ``lines`` tells which, each file's first line does.
 
-    A document is one task's work. Large feeds should come as one record per line
-    (``lines=True``), which splits.
+    A document is one task's work; files of lines split.
     """
-    if not paths:
-        return _union(spark, [])
-    scan = spark.read.schema(RAW_SCHEMA).option("mode", mode).option("multiLine", not lines)
-    return _with_provenance(scan.json(paths).select("*", "_metadata"), JSON_RANK)
+    if lines is None:
+        firsts = first_records(spark, paths, quoted=False)
+        by_line = [path for path in paths if _holds_lines(firsts.get(path, ""))]
+    else:
+        by_line = paths if lines else []
+    documents = sorted(set(paths) - set(by_line))
+    scans = []
+    for files, whole in ((by_line, False), (documents, True)):
+        if files:
+            scan = spark.read.schema(RAW_SCHEMA).option("mode", mode).option("multiLine", whole)
+            scans.append(_with_provenance(scan.json(files).select("*", "_metadata"), JSON_RANK))
+    return _union(spark, scans)
 
 
 def _union(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
@@ -119,7 +136,7 @@ def _union(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
 
 
 def read_parties(
-    spark: SparkSession, folder: str, json_lines: bool = False, uniform_header: bool = False
+    spark: SparkSession, folder: str, json_lines: bool | None = None, uniform_header: bool = False
 ) -> tuple[DataFrame, int]:
     """All parties of a folder, CSV before JSON, and the number of files found."""
     csv_files = list_files(spark, folder, "*.csv")

@@ -15,7 +15,7 @@ from entigrid.plans.pipeline import classified_parties, cleanse, run
 from entigrid.schema import POSITION, SCAN_FIELDS
 from entigrid.sources import sinks
 from entigrid.sources.party_files import list_files, read_parties, read_party_csv
-from entigrid.sources import stored as stored_steps
+from entigrid.sources import party_files, stored as stored_steps
 from entigrid.sources.provenance import numbered
 from entigrid.sources.stored import stored
 from entigrid.sources.tables import read_cleansed_csv
@@ -75,6 +75,51 @@ def test_uniform_header_is_verified(spark, tmp_path):
         raise AssertionError("a different header went unnoticed")
 
 
+def test_headers_of_many_files(spark, tmp_path):
+    """Mixed headers, blank first lines, a byte order mark, quoted names with line breaks, empty and
+    large files; no more than two jobs look at them."""
+    wanted = []
+    for i in range(400):
+        kind = i % 5
+        head, row = {
+            0: ("id,legal_name", f"{i},Name {i}"), 1: ("legal_name,id", f"Name {i},{i}"), 2: ("\n  \n\ufeffid,legal_name", f"{i},Name {i}"),
+            3: ('\ufeff"x\ny",id," legal_name "', f"z,{i},Name {i}"), 4: ("", ""),
+        }[kind]
+        # a mark that isn't at the start is one of a name
+        text = head.replace("\ufeff", "") if kind == 2 else head
+        (tmp_path / f"f{i:04}.csv").write_text(f"{text}\n{row}\n" if kind < 4 else "\n" * (i % 3), encoding="utf-8")
+        wanted += [(str(i), f"Name {i}")] if kind < 4 else []
+    big = "".join(f"b{i},Big {i}\n" for i in range(40_000))
+    (tmp_path / "large.csv").write_text("\n\nid,legal_name\n" + big)
+    paths = list_files(spark, str(tmp_path), "*.csv")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        headers = party_files._headers(spark, paths)
+        # listing more than 32 paths is a job of its own
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 4
+    assert len(headers) == 321 and headers[paths[-1]] == ("id", "legal_name") and headers[paths[3]] == ("x\ny", "id", "legal_name")
+    got = rows(read_party_csv(spark, paths), "id", "legal_name")
+    assert len(got) == len(wanted) + 40_000 and set(wanted) <= set(got)
+
+
+def test_json_lines_and_documents_in_one_folder(spark, tmp_path):
+    one = {"id": "1", "legal_name": "One"}
+    (tmp_path / "a.json").write_text("\n" + "".join(json.dumps({"id": f"l{i}"}) + "\n" for i in range(3)))
+    (tmp_path / "b.json").write_text(json.dumps(one))
+    (tmp_path / "c.json").write_text(json.dumps([one, {"id": "2"}]))
+    (tmp_path / "d.json").write_text(json.dumps({"id": "3", "legal_name": "Three"}, indent=2))
+    (tmp_path / "e.json").write_text("")
+    (tmp_path / "f.json").write_text("\ufeff" + json.dumps([{"id": "4"}], indent=1))
+    raw, files = read_parties(spark, str(tmp_path))
+    assert files == 6
+    assert rows(raw, "id") == sorted([("l0",), ("l1",), ("l2",), ("1",), ("1",), ("2",), ("3",), ("4",)])
+    numbers = numbered(stored(raw, "raw"))
+    assert [r.id for r in numbers.orderBy(POSITION).collect()] == ["l0", "l1", "l2", "1", "1", "2", "3", "4"]
+
+
 def test_json_documents(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"id": "1", "annual_revenue_eur": 2100000000}))
     (tmp_path / "b.json").write_text('[{"id": 2, "annual_revenue_eur": 1.50}, {"id": "3", "lei": null}]')
