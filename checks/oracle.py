@@ -510,6 +510,8 @@ UNION ALL SELECT 2, unnest(['', '--- End of Report ---'])"""),
     "merged_view": _with(VIEW, "SELECT * FROM mv"),
     "party_listing": _with(VIEW, "SELECT * FROM mv"),
     "name_search": _with(VIEW, "SELECT * FROM mv WHERE contains(lower(legal_name), 'offshore')"),
+    "name_search_indexed": _with(VIEW, "SELECT * FROM mv WHERE contains(lower(legal_name), 'offshore')"),
+    "merged_view_stored": _with(VIEW, "SELECT * FROM mv"),
     "party_lookup": _with(VIEW, "SELECT * FROM mv WHERE id = 'C000000011'"),
     "explorer_listing": _with(VIEW, f"""SELECT id, legal_name, country,
   CASE WHEN risk_class = '' THEN 'UNKNOWN' ELSE risk_class END AS risk_class, trust, {_TRUST_BAND}, kyc_level

@@ -26,10 +26,12 @@ from entigrid.operators.cleanse import (
 )
 from entigrid.operators.duplicates import flag_duplicates
 from entigrid.operators.identity import has_identity, identities
+from entigrid.operators.name_index import indexed_search, write_name_index
 from entigrid.plans.pipeline import classified_parties, cleanse
 from entigrid.schema import POSITION
 from entigrid.session import scratch_path, tune
 from entigrid.sources import sinks
+from entigrid.sources.bucketed import read_bucketed, write_bucketed
 from entigrid.sources.feed import read_derived_parties
 from entigrid.sources.lines import read_classified_lines, read_identity_lines, read_lines
 from entigrid.sources.party_files import read_parties
@@ -40,6 +42,7 @@ from entigrid.streaming.publish import publish, read_stream, stream_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+BUCKETS = 16
 
 
 def query(function: Query) -> Query:
@@ -118,6 +121,12 @@ def stored_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(versions(normalized(spark, sf_dir)).select(*fields), "cleansed")
 
 
+def bucketed_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "parties")
+    write_bucketed(parties(spark, sf_dir), path, "id", BUCKETS)
+    return read_bucketed(spark, path)
+
+
 def parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view.party_view(stored_versions(spark, sf_dir))
 
@@ -558,9 +567,34 @@ def name_search(spark, sf_dir):
     return _comparable(view.name_search(parties(spark, sf_dir), "OFFshore"))
 
 
+@query
+def name_search_indexed(spark, sf_dir):
+    """The same search through the stored view's trigram index."""
+    stored_view = bucketed_parties(spark, sf_dir)
+    index = scratch_path(spark, "name-index")
+    write_name_index(stored_view, index, BUCKETS)
+    return _comparable(indexed_search(stored_view, index, "OFFshore"))
+
+
 @query
 def party_lookup(spark, sf_dir):
-    return _comparable(view.party_lookup(parties(spark, sf_dir), "C000000011"))
+    """One bucket of the stored view is read."""
+    return _comparable(view.party_lookup(bucketed_parties(spark, sf_dir), "C000000011"))
+
+
+@query
+def merged_view_stored(spark, sf_dir):
+    """The view from three tables stored in buckets of the id: nothing is shuffled to merge them."""
+    base = stored_versions(spark, sf_dir)
+    prints = identities(base)
+    sides = {"base": base, "identity": prints.select("id", "fingerprint", "trust", POSITION)}
+    sides["classified"] = rules.classify(prints).select("id", "kyc_level", "risk_score", "risk_class", POSITION)
+    tables = []
+    for name, side in sides.items():
+        path = scratch_path(spark, f"bucketed-{name}")
+        write_bucketed(side, path, "id", BUCKETS)
+        tables.append(read_bucketed(spark, path))
+    return _comparable(view.merged_view(*tables))
 
 
 @query

@@ -29,8 +29,10 @@ from entigrid.operators.reports import (
     quality_sections,
     record_counts,
 )
+from entigrid.operators.name_index import write_name_index
 from entigrid.operators.view import party_view
 from entigrid.sources import sinks
+from entigrid.sources.bucketed import read_bucketed, write_bucketed
 from entigrid.sources.party_files import read_parties
 from entigrid.sources.provenance import numbered
 from entigrid.sources.stored import stored
@@ -93,8 +95,13 @@ def run(
     lei_flag: str = "lei_format_valid",
     json_lines: bool | None = None,
     text_outputs: bool = True,
+    buckets: int | None = None,
 ) -> Outputs:
-    """Run every stage over a folder of party files into a new output folder."""
+    """Run every stage over a folder of party files into a new output folder.
+
+    The view is stored in buckets of the id, by default as many as there are shuffle partitions.
+    """
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = Outputs(output_dir)
     raw, files = read_parties(spark, data_dir, json_lines)
     cleansed = ingest(spark, raw, files, out)
@@ -111,6 +118,8 @@ def run(
     sections = spark.read.parquet(out.path("quality_sections"))
     sinks.write_quality_report(table, sections, out.path("quality"))
 
-    party_view(cleansed, algorithm, lei_flag).write.parquet(out.path("parties"))
-    publish(spark.read.parquet(out.path("parties")), out.path("stream"))
+    write_bucketed(party_view(cleansed, algorithm, lei_flag), out.path("parties"), "id", buckets)
+    parties = read_bucketed(spark, out.path("parties"))
+    write_name_index(parties, out.path("name_index"), buckets)
+    publish(parties, out.path("stream"))
     return out
