@@ -8,6 +8,7 @@ long as they are small, and would shuffle if somebody supplied a huge one.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -18,6 +19,7 @@ from entigrid.fixed_values import (
     RULES_EFFECTIVE_DATE,
     RULES_VERSION,
 )
+from entigrid.functions.sql import number
 
 RULES_SCHEMA = """
     version string, effective_date string,
@@ -78,10 +80,31 @@ def default_rules(spark: SparkSession) -> Rules:
     return _rules(default_rule_document(spark))
 
 
-def read_rules(spark: SparkSession, path: str) -> Rules:
-    """Rules of one JSON document, read anew on every call."""
+def read_rules(spark: SparkSession, path: str, on: date | None = None) -> Rules:
+    """The rules in effect on a day (today), from a JSON document or a folder of their versions.
+
+    Of the versions whose effective date has come, the last one counts; of one day's, the highest
+    number. A version without a date has always been in effect. Files are read anew on every
+    call, so a version that is put into the folder takes effect with the next run or batch.
+    """
     reader = spark.read.schema(RULES_SCHEMA).option("multiLine", True).option("mode", "FAILFAST")
-    return _rules(reader.json(path))
+    day = (on or date.today()).isoformat()
+    due = reader.json(path).filter(F.col("effective_date").isNull() | (F.to_date("effective_date") <= F.lit(day).cast("date")))
+    parts = F.transform(F.split(F.coalesce("version", F.lit("")), r"\."), lambda part: part.try_cast("int"))
+    chosen = due.orderBy(F.to_date("effective_date").desc_nulls_last(), parts.desc(), F.desc("version")).limit(1)
+    if chosen.isEmpty():
+        raise ValueError(f"{path}: no rules in effect on {day}")
+    return _rules(chosen)
+
+
+def with_rules(parties: DataFrame, rules: Rules) -> DataFrame:
+    """Add what the rules say of a party, and their version: tier, frameworks, and the revenue band
+    where the table has a revenue."""
+    ruled = with_frameworks(with_tier(parties, rules), rules).withColumn("rules_version", F.lit(rules.version))
+    if "annual_revenue_eur" not in parties.columns:
+        return ruled
+    revenue = F.expr(number("annual_revenue_eur"))
+    return ruled.withColumn("revenue_band", revenue_band(revenue, rules.thresholds))
 
 
 def with_tier(parties: DataFrame, rules: Rules) -> DataFrame:

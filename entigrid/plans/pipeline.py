@@ -30,6 +30,7 @@ from entigrid.operators.reports import (
     record_counts,
 )
 from entigrid.operators.name_index import write_name_index
+from entigrid.operators.rule_tables import default_rules, read_rules, with_rules
 from entigrid.operators.view import party_view
 from entigrid.sources import sinks
 from entigrid.sources.bucketed import read_bucketed, write_bucketed
@@ -96,10 +97,12 @@ def run(
     json_lines: bool | None = None,
     text_outputs: bool = True,
     buckets: int | None = None,
+    rules: str | None = None,
 ) -> Outputs:
     """Run every stage over a folder of party files into a new output folder.
 
     The view is stored in buckets of the id, by default as many as there are shuffle partitions.
+    ``rules`` is a document or folder of rule versions; the one in effect today is applied.
     """
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = Outputs(output_dir)
@@ -108,6 +111,9 @@ def run(
 
     classify(identities(cleansed, algorithm), lei_flag).write.parquet(out.path("classified"))
     classified = spark.read.parquet(out.path("classified"))
+    chosen = read_rules(spark, rules) if rules else default_rules(spark)
+    ruled = with_rules(cleansed.select("id", "country", "entity_type", "annual_revenue_eur"), chosen)
+    ruled.drop("annual_revenue_eur").write.parquet(out.path("rules"))
     if text_outputs:
         sinks.write_cleansed_csv(cleansed, out.path("cleansed_csv"))
         sinks.write_identity_lines(classified, out.path("identity_lines"))

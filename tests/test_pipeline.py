@@ -4,13 +4,16 @@ import json
 import os
 import subprocess
 import sys
+from datetime import date
 from pathlib import Path
 
 import pytest
 
+from entigrid.__main__ import main
 from entigrid.fixed_values import CLEANSED_FIELDS, VIEW_FIELDS
 from entigrid.operators import quality
 from entigrid.operators.reports import ingestion_stats
+from entigrid.operators.rule_tables import read_rules
 from entigrid.operators.view import merged_view
 from entigrid.plans.pipeline import run
 from entigrid.schema import STREAM_SCHEMA
@@ -162,6 +165,89 @@ def test_stream_has_a_durable_position(spark, out, tmp_path):
     assert consume().count() == 22  # each publication is consumed again
 
 
+def test_a_batch_that_is_handled_again_adds_nothing(spark, out, tmp_path):
+    """The position is set back to before the last batch's end, as after a failure between writing and that."""
+    stream, sink, alerts, position = (str(tmp_path / n) for n in ("stream", "sink", "alerts", "pos"))
+    view = spark.read.parquet(out.path("parties"))
+    publish(view, stream)
+
+    def consume():
+        start_alerts(read_stream(spark, stream, files_per_trigger=1), sink, position, alerts=alerts).awaitTermination()
+        records, raised = spark.read.parquet(sink), spark.read.parquet(alerts)
+        return records.count(), sorted(r.id for r in raised.collect())
+
+    assert consume() == (11, ["P005", "P010"])
+    commits = sorted((tmp_path / "pos" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last = commits[-1]
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    (tmp_path / "alerts" / "stray").mkdir()
+    assert consume() == (11, ["P005", "P010"])
+    publish(view, stream)
+    assert consume() == (22, ["P005", "P005", "P010", "P010"])
+
+
+def rule_version(version, day, tiers):
+    return json.dumps({"version": version, "effective_date": day, "jurisdiction_tiers": tiers, "regulatory_frameworks": {}})
+
+
+def test_rule_versions_take_effect_by_date(spark, tmp_path):
+    folder = tmp_path / "rules"
+    folder.mkdir()
+    (folder / "a.json").write_text(rule_version("1.9.0", "2020-01-01", {"OLD": ["DE"]}))
+    (folder / "b.json").write_text(rule_version("1.10.0", "2020-01-01", {"NEW": ["DE"]}))
+    (folder / "c.json").write_text(rule_version("9.0.0", "2021-06-01", {"LAST": ["DE"]}))
+    on = lambda *day: read_rules(spark, str(folder), date(*day)).version
+    assert (on(2020, 1, 1), on(2021, 5, 31), on(2021, 6, 1)) == ("1.10.0", "1.10.0", "9.0.0")
+    with pytest.raises(ValueError, match="no rules in effect"):
+        on(2019, 12, 31)
+    (folder / "d.json").write_text(rule_version("0.1", None, {"ALWAYS": ["DE"]}))
+    assert on(2019, 12, 31) == "0.1" and on(2020, 1, 1) == "1.10.0"
+
+
+def test_a_stream_takes_up_new_rules(spark, out, tmp_path):
+    stream, sink, alerts, position = (str(tmp_path / n) for n in ("stream", "sink", "alerts", "pos"))
+    (tmp_path / "rules").mkdir()
+    publish(spark.read.parquet(out.path("parties")).filter("id = 'P005'"), stream)
+    records = read_stream(spark, stream)
+
+    def consume():
+        start_alerts(records, sink, position, alerts=alerts, rules=str(tmp_path / "rules")).awaitTermination()
+        return sorted((r.tier, r.rules_version) for r in spark.read.parquet(alerts).collect())
+
+    country = spark.read.parquet(stream).first().country
+    (tmp_path / "rules" / "1.json").write_text(rule_version("1", "2020-01-01", {"TIER_A": [country]}))
+    assert consume() == [("TIER_A", "1")]
+    (tmp_path / "rules" / "2.json").write_text(rule_version("2", "2021-01-01", {"TIER_B": [country]}))
+    (tmp_path / "rules" / "3.json").write_text(rule_version("3", "9999-01-01", {"TIER_C": [country]}))
+    publish(spark.read.parquet(out.path("parties")).filter("id = 'P005'"), stream)
+    assert consume() == [("TIER_A", "1"), ("TIER_B", "2")]
+
+
+def test_commands(spark, sample_dir, tmp_path, capsys):
+    """The batch run, the consumer and the lookups, as commands."""
+    results = str(tmp_path / "results")
+    (tmp_path / "rules.json").write_text(rule_version("7", "2020-01-01", {"T": ["DE"]}))
+    main(["--data-dir", sample_dir, "--output", results, "--fingerprint", "sha256", "--rules", str(tmp_path / "rules.json")])
+    ruled = spark.read.parquet(f"{results}/rules").collect()
+    assert len(ruled) == 11 and {r.rules_version for r in ruled} == {"7"}
+    assert {r.tier for r in ruled if r.country == "DE"} == {"T"} and {r.tier for r in ruled if r.country != "DE"} == {None}
+    capsys.readouterr()
+
+    def printed(*arguments):
+        main([*arguments, "--results", results])
+        return [json.loads(line) for line in capsys.readouterr().out.splitlines()]
+
+    assert len(printed("list")) == 11
+    assert [r["id"] for r in printed("party", "--id", "P005")] == ["P005"] and printed("party", "--id", "none") == []
+    assert "P005" in [r["id"] for r in printed("search", "--name", "OFFSHORE")]
+    sink, alerts = str(tmp_path / "sink"), str(tmp_path / "alerts")
+    for _ in range(2):
+        main(["alerts", "--stream", f"{results}/stream", "--output", sink, "--alerts", alerts, "--position", str(tmp_path / "pos")])
+        assert spark.read.parquet(sink).count() == 11
+        assert sorted(r.id for r in spark.read.parquet(alerts).collect()) == ["P005", "P010"]
+
+
 def test_alert_threshold(spark):
     rows = [("a", "n", s) for s in ("69", "70", None, "x", "-1")]
     df = spark.createDataFrame(rows, "id string, name string, risk_score string")
