@@ -172,6 +172,69 @@ def _identity(source: str, prefix: str = "") -> str:
 )"""
 
 
+# Fixed values of the BLAKE3 specification.
+_BLAKE3_IV = [0x6A09E667, 0xBB67AE85, 0x3C6EF372, 0xA54FF53A, 0x510E527F, 0x9B05688C, 0x1F83D9AB, 0x5BE0CD19]
+_BLAKE3_ORDER = [2, 6, 3, 10, 7, 0, 4, 13, 1, 11, 12, 5, 9, 14, 15, 8]
+_BLAKE3_QUARTERS = [
+    (0, 4, 8, 12), (1, 5, 9, 13), (2, 6, 10, 14), (3, 7, 11, 15),
+    (0, 5, 10, 15), (1, 6, 11, 12), (2, 7, 8, 13), (3, 4, 9, 14),
+]
+
+
+def _blake3(source: str, key: str, text: str) -> str:
+    """CTEs up to ``blake3(key, digest)`` for texts of at most 1,024 bytes, which are one chunk.
+
+    A recursion takes each text through its blocks and the 56 quarter rounds of each, one a step.
+    Numbers are 64 bits wide and cut to 32.
+    """
+
+    def turned(value: str, bits: int) -> str:
+        return f"((({value}) >> {bits}) | ((({value}) << {32 - bits}) & 4294967295))"
+
+    steps, schedule = [], list(range(16))
+    for _ in range(7):
+        for i, quarter in enumerate(_BLAKE3_QUARTERS):
+            steps.append((len(steps), *(q + 1 for q in quarter), schedule[2 * i] + 1, schedule[2 * i + 1] + 1))
+        schedule = [schedule[p] for p in _BLAKE3_ORDER]
+    iv = ", ".join(map(str, _BLAKE3_IV))
+    byte = "substr(h, 128 * block + 8 * j + {}, 2)"
+    word = f"('0x' || {' || '.join(byte.format(at) for at in (7, 5, 3, 1))})::BIGINT"
+    flags = "(CASE WHEN {block} = 0 THEN 1 ELSE 0 END + CASE WHEN {block} + 1 = blocks THEN 10 ELSE 0 END)"
+    first = "list_concat({chain}, [" + ", ".join(map(str, _BLAKE3_IV[:4])) + ", 0, 0, least(64, size - 64 * ({block})), " + flags + "])"
+    changed = "CASE i WHEN a THEN va2 WHEN b THEN vb2 WHEN c THEN vc2 WHEN d THEN vd2 ELSE v[i] END"
+    bytes_out = " || ".join(f"printf('%02x', (w >> {shift}) & 255)" for shift in (0, 8, 16, 24))
+    return f""",
+b3_steps(step, a, b, c, d, x, y) AS (VALUES {", ".join(map(str, steps))}),
+b3_texts AS (
+  SELECT {key} AS key, octet_length(encode({text})) AS size, greatest(1, (octet_length(encode({text})) + 63) // 64) AS blocks,
+    rpad(hex(encode({text})), (128 * greatest(1, (octet_length(encode({text})) + 63) // 64))::INT, '0') AS h FROM {source}
+), b3_blocks AS (
+  SELECT key, block, list_transform(range(0, 16), lambda j: {word}) AS m FROM (SELECT *, unnest(range(0, blocks)) AS block FROM b3_texts)
+), b3_run AS (
+  SELECT key, size, blocks, 0::BIGINT AS block, 0 AS step, [{iv}]::BIGINT[] AS chain, {first.format(chain=f"[{iv}]::BIGINT[]", block="0")}::BIGINT[] AS v
+  FROM b3_texts
+  UNION ALL (
+  SELECT key, size, blocks, block, step + 1, chain, list_transform(range(1, 17), lambda i: {changed}) FROM (
+    SELECT *, {turned("xor(vb1, vc2)", 7)} AS vb2 FROM (
+      SELECT *, (vc1 + vd2) & 4294967295 AS vc2 FROM (
+        SELECT *, {turned("xor(vd1, va2)", 8)} AS vd2 FROM (
+          SELECT *, (va1 + vb1 + m[y]) & 4294967295 AS va2 FROM (
+            SELECT *, {turned("xor(v[b], vc1)", 12)} AS vb1 FROM (
+              SELECT *, (v[c] + vd1) & 4294967295 AS vc1 FROM (
+                SELECT *, {turned("xor(v[d], va1)", 16)} AS vd1 FROM (
+                  SELECT r.*, s.a, s.b, s.c, s.d, s.y, k.m, (v[s.a] + v[s.b] + k.m[s.x]) & 4294967295 AS va1
+                  FROM b3_run r JOIN b3_steps s ON s.step = r.step JOIN b3_blocks k ON k.key = r.key AND k.block = r.block
+  ))))))))
+  UNION ALL
+  SELECT key, size, blocks, block + 1, 0, chained, {first.format(chain="chained", block="block + 1").replace("{block}", "block + 1")} FROM (
+    SELECT *, list_transform(range(1, 9), lambda i: xor(v[i], v[i + 8])) AS chained FROM b3_run WHERE step = 56 AND block + 1 < blocks
+  ))
+), blake3 AS (
+  SELECT key, list_reduce(list_transform(list_transform(range(1, 9), lambda i: xor(v[i], v[i + 8])), lambda w: {bytes_out}), lambda p, q: p || q) AS digest
+  FROM b3_run WHERE step = 56 AND block + 1 = blocks
+)"""
+
+
 def _rules(source: str, target: str, lei_ok: str, country_ok: str, status: str) -> str:
     """CTE with the classification of a table of identities."""
     eu = """'DE','FR','BE','NL','LU','IT','ES','PT','AT','FI','IE','GR','SE','DK','PL','CZ','HU',
@@ -427,6 +490,10 @@ WHERE NOT (regexp_matches(legal_name, '\S') OR regexp_matches(country, '\S') OR
     "identity_format_flags": _with(IDENT, "SELECT id, lei_format_valid, country_format_valid FROM ident"),
     "trust_score": _with(IDENT, f"SELECT id, trust, {_TRUST_BAND} FROM ident"),
     "fingerprint_sha256": _with(IDENT, "SELECT id, fingerprint FROM ident"),
+    "fingerprint_blake3": _with(
+        IDENT + _blake3("ident", "id", "legal_name || '|' || country || '|' || lei || '|' || entity_type"),
+        "SELECT key AS id, digest AS fingerprint FROM blake3",
+    ).replace("WITH", "WITH RECURSIVE", 1),
     "kyc_level": _with(CLASSIFIED, "SELECT id, kyc_level, kyc_reason FROM cl"),
     "obligations": _with(CLASSIFIED, "SELECT id, obligations FROM cl"),
     "obligation_counts": _with(CLASSIFIED, """SELECT obligation, count(*) AS parties

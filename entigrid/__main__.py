@@ -8,6 +8,7 @@ import sys
 from pyspark.sql import DataFrame
 
 from entigrid.operators.name_index import indexed_search
+from entigrid.operators.quality import merged_profile
 from entigrid.operators.view import party_listing, party_lookup
 from entigrid.plans.pipeline import Outputs, run
 from entigrid.session import build_session
@@ -28,6 +29,11 @@ def _parser() -> argparse.ArgumentParser:
     batch.add_argument("--json-lines", action="store_true", help="all JSON files hold a record per line")
     batch.add_argument("--rules", help="JSON document or folder of rule versions")
 
+    batch.add_argument("--sketches", action="store_true", help="leave distinct-value sketches for the profile command")
+
+    profile = commands.add_parser("profile", help="print the field profile over several runs, distinct values estimated")
+    profile.add_argument("--results", required=True, nargs="+", help="output folders of runs with --sketches")
+
     alerts = commands.add_parser("alerts", help="route the published parties and raise alerts")
     source = alerts.add_mutually_exclusive_group(required=True)
     source.add_argument("--stream", help="folder that a run has published to")
@@ -61,8 +67,10 @@ def main(arguments: list[str] | None = None) -> None:
         lei_flag = "lei_valid" if options.strict_lei else "lei_format_valid"
         run(
             spark, options.data_dir, options.output, options.fingerprint, lei_flag,
-            json_lines=options.json_lines or None, rules=options.rules,
+            json_lines=options.json_lines or None, rules=options.rules, sketches=options.sketches,
         )
+    elif options.command == "profile":
+        _print(merged_profile(spark.read.parquet(*(Outputs(folder).path("profile_sketches") for folder in options.results))).orderBy("field_name"))
     elif options.command == "alerts":
         records = read_kafka_stream(spark, options.kafka, options.topic) if options.kafka else read_stream(spark, options.stream)
         start_alerts(records, options.output, options.position, options.interval, options.alerts, options.rules).awaitTermination()

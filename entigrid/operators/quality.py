@@ -30,6 +30,7 @@ TYPED_FIELDS = {
     "email_valid": "BIGINT",
     "country_valid": "BIGINT",
 }
+SKETCH_BITS = 14  # 2^14 registers, 16 KiB a field and part
 DISTRIBUTION_FIELDS = ["country", "entity_type", "status"]
 
 
@@ -70,6 +71,33 @@ def field_profile(table: DataFrame, fields: list[str] = PROFILED_FIELDS) -> Data
         present.alias("present"),
         F.count("value").alias("unique_values"),
     )
+    return _profile(counts)
+
+
+def profile_sketches(table: DataFrame, fields: list[str] = PROFILED_FIELDS) -> DataFrame:
+    """What a batch adds to the profile of many: (field_name, part, total, present, sketch).
+
+    A few rows of fixed size, whatever the batch. Values are sketched in two parts by hash, so
+    that a merged profile always comes from several sketches and is estimated in one way.
+    """
+    as_text = [F.col(f).cast("string").alias(f) for f in fields]
+    values = table.select(*as_text).unpivot([], fields, "field_name", "value")
+    part = F.pmod(F.xxhash64("value"), F.lit(2)).alias("part")
+    return values.groupBy("field_name", part).agg(
+        F.count("*").alias("total"), F.count("value").alias("present"), F.hll_sketch_agg("value", SKETCH_BITS).alias("sketch")
+    )
+
+
+def merged_profile(sketches: DataFrame) -> DataFrame:
+    """The profile of all batches whose sketches these are. Counts are exact; numbers of distinct
+    values are estimates with a standard error of 0.8 %."""
+    counts = sketches.groupBy("field_name").agg(
+        F.sum("total").alias("total"), F.sum("present").alias("present"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate")
+    )
+    return _profile(counts.withColumn("unique_values", F.least("estimate", "present")))
+
+
+def _profile(counts: DataFrame) -> DataFrame:
     return counts.select(
         "field_name",
         "total",

@@ -20,7 +20,7 @@ from entigrid.operators.cleanse import (
 )
 from entigrid.operators.duplicates import flag_duplicates
 from entigrid.operators.identity import identities
-from entigrid.operators.quality import typed
+from entigrid.operators.quality import profile_sketches, typed
 from entigrid.operators.reports import (
     duplicate_counts,
     ingestion_report,
@@ -98,11 +98,13 @@ def run(
     text_outputs: bool = True,
     buckets: int | None = None,
     rules: str | None = None,
+    sketches: bool = False,
 ) -> Outputs:
     """Run every stage over a folder of party files into a new output folder.
 
     The view is stored in buckets of the id, by default as many as there are shuffle partitions.
-    ``rules`` is a document or folder of rule versions; the one in effect today is applied.
+    ``rules`` is a document or folder of rule versions; the one in effect today is applied. With
+    ``sketches``, the run also leaves what it adds to a profile over several runs.
     """
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = Outputs(output_dir)
@@ -122,6 +124,8 @@ def run(
     table = typed(cleansed)
     quality_sections(table).write.parquet(out.path("quality_sections"))
     sections = spark.read.parquet(out.path("quality_sections"))
+    if sketches:
+        profile_sketches(table).write.parquet(out.path("profile_sketches"))
     sinks.write_quality_report(table, sections, out.path("quality"))
 
     write_bucketed(party_view(cleansed, algorithm, lei_flag), out.path("parties"), "id", buckets)

@@ -2,9 +2,11 @@
 
 import random
 
+import duckdb
 import pandas as pd
 import pytest
 
+from checks.oracle import _blake3
 from entigrid.functions import blake3
 
 # Digests of the bytes 0, 1, .., 250, 0, 1, .. from the published test vectors.
@@ -90,3 +92,14 @@ def test_mixed_lengths_against_the_plain_form(monkeypatch):
 @pytest.mark.parametrize("texts", [[], [None, None]])
 def test_nothing_to_hash(texts):
     assert list(blake3.blake3_hex(pd.Series(texts, dtype=object))) == texts
+
+
+def test_sql_equals_the_function():
+    """Lengths around the block borders, up to one chunk."""
+    texts = ["abé" * (n // 4) + "x" * (n % 4) for n in (0, 1, 3, 4, 63, 64, 65, 127, 128, 129, 500, 960, 1023, 1024)]
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE texts (k INT, t VARCHAR)")
+    connection.executemany("INSERT INTO texts VALUES (?, ?)", list(enumerate(texts)))
+    ctes = _blake3("texts", "k", "t").removeprefix(",")
+    got = connection.execute(f"WITH RECURSIVE {ctes} SELECT digest FROM blake3 ORDER BY key").fetchall()
+    assert [d for d, in got] == blake3.blake3_hex(pd.Series(texts)).tolist()

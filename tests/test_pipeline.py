@@ -224,11 +224,16 @@ def test_a_stream_takes_up_new_rules(spark, out, tmp_path):
     assert consume() == [("TIER_A", "1"), ("TIER_B", "2")]
 
 
+def printed_profile(capsys, *results):
+    main(["profile", "--results", *results])
+    return capsys.readouterr().out.splitlines()
+
+
 def test_commands(spark, sample_dir, tmp_path, capsys):
     """The batch run, the consumer and the lookups, as commands."""
     results = str(tmp_path / "results")
     (tmp_path / "rules.json").write_text(rule_version("7", "2020-01-01", {"T": ["DE"]}))
-    main(["--data-dir", sample_dir, "--output", results, "--fingerprint", "sha256", "--rules", str(tmp_path / "rules.json")])
+    main(["--data-dir", sample_dir, "--output", results, "--fingerprint", "sha256", "--rules", str(tmp_path / "rules.json"), "--sketches"])
     ruled = spark.read.parquet(f"{results}/rules").collect()
     assert len(ruled) == 11 and {r.rules_version for r in ruled} == {"7"}
     assert {r.tier for r in ruled if r.country == "DE"} == {"T"} and {r.tier for r in ruled if r.country != "DE"} == {None}
@@ -239,6 +244,8 @@ def test_commands(spark, sample_dir, tmp_path, capsys):
         return [json.loads(line) for line in capsys.readouterr().out.splitlines()]
 
     assert len(printed("list")) == 11
+    both = [json.loads(line) for line in printed_profile(capsys, results, results)]
+    assert {r["field_name"]: (r["total"], r["unique_values"]) for r in both}["id"] == (22, 11)
     assert [r["id"] for r in printed("party", "--id", "P005")] == ["P005"] and printed("party", "--id", "none") == []
     assert "P005" in [r["id"] for r in printed("search", "--name", "OFFSHORE")]
     sink, alerts = str(tmp_path / "sink"), str(tmp_path / "alerts")

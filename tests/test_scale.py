@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from entigrid.operators import duplicates
 from entigrid.operators.duplicates import flag_duplicates
-from entigrid.operators.quality import distribution, field_profile, ordered_counts, value_counts
+from entigrid.operators.quality import distribution, field_profile, merged_profile, ordered_counts, profile_sketches, value_counts
 from entigrid.operators.view import latest_per_id, merged_view
 from entigrid.plans.catalog import QUERIES, classified, identity, normalized
 from entigrid.schema import POSITION
@@ -124,6 +124,30 @@ def test_all_distributions_take_one_pass(spark):
         assert [tuple(r) for r in ordered_counts(counts, field).collect()] == wanted
 
 
+def test_sketches_of_batches_merge(spark):
+    """Counts are exact, distinct values within four standard errors, however rows are cut into batches."""
+    n = 60_000
+    table = spark.range(n).select(
+        "id", F.concat(F.lit("a"), "id").alias("own"), (F.col("id") % 37).alias("few"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 9000).alias("some"), F.lit(None).cast("string").alias("none"),
+    )
+    fields = ["own", "few", "some", "none"]
+    exact = {r.field_name: r for r in field_profile(table, fields).collect()}
+    whole = profile_sketches(table, fields)
+    cuts = [table.filter("id % 7 < 3"), table.filter("id % 7 >= 3 AND id < 50000"), table.filter("id % 7 >= 3 AND id >= 50000")]
+    batches = [profile_sketches(cut, fields) for cut in cuts]
+    profiles = [{r.field_name: r for r in merged_profile(s).collect()} for s in (whole, batches[0].union(batches[1]).union(batches[2]))]
+    for profile in profiles:
+        for field in fields:
+            got, wanted = profile[field], exact[field]
+            assert (got.total, got.present, got.missing, got.completeness_pct) == (wanted.total, wanted.present, wanted.missing, wanted.completeness_pct)
+            assert abs(got.unique_values - wanted.unique_values) <= 4 * 0.0082 * wanted.unique_values
+    # the registers are the same, whatever the batches
+    assert [profiles[0][f].unique_values for f in fields] == [profiles[1][f].unique_values for f in fields]
+    assert profiles[0]["few"].unique_values == 37 and profiles[0]["none"].unique_values == 0
+    assert whole.count() <= 2 * len(fields)
+
+
 @pytest.mark.parametrize("table", [normalized, identity, classified])
 def test_record_rules_do_not_shuffle(spark, table):
     assert shuffles(table(spark, SF)) == 0
