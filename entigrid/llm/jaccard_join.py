@@ -224,7 +224,8 @@ def one_of_each(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFram
     first = F.min(F.struct(F.col("doc_id").isNull().alias("blank"), "doc_id", "cls")).alias("s")
     keep = found.filter("n_shingles > 0").groupBy("component").agg(first).select("s.doc_id", "s.cls")
     keep = keep.union(found.filter("n_shingles = 0").select("doc_id", "cls").distinct())
-    keep = keep.toDF("keep_doc", "keep_cls")
+    keep_doc, keep_cls = free_name(docs, "keep_doc"), free_name(docs, "keep_cls")
+    keep = keep.toDF(keep_doc, keep_cls)
 
     @F.pandas_udf("long")
     def set_id(texts: pd.Series) -> pd.Series:
@@ -234,7 +235,7 @@ def one_of_each(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFram
     # else the join's test for null would compute the ids a second time, in a second worker
     kept = docs.withColumn(cls, set_id.asNondeterministic()(F.col("text")))
     own_id = docs["doc_id"].cast("long")
-    kept = kept.join(keep, (F.col(cls) == F.col("keep_cls")) & own_id.eqNullSafe(F.col("keep_doc")), "left_semi")
+    kept = kept.join(keep, (F.col(cls) == F.col(keep_cls)) & own_id.eqNullSafe(F.col(keep_doc)), "left_semi")
     if not found.filter("n_shingles > 0").groupBy("doc_id", "cls").count().filter("count > 1").isEmpty():
         # rows repeat an id and a text: one of them stays, but every text without words does
         kept = kept.withColumn(nonce, F.when(F.col(cls) == empty, F.monotonically_increasing_id()).otherwise(F.lit(-1)))

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from entigrid.llm.common import stored
+from entigrid.llm.common import free_name, stored
 from entigrid.llm.tokens import END_ID, VOCABULARY, worker_encoder
 
 CAPACITY = 1024
@@ -247,35 +247,38 @@ class Places:
         return sequence, offset
 
 
-def _placed(batches: Iterator[pa.RecordBatch], places: Places) -> Iterator[pa.RecordBatch]:
+def _placed(batches: Iterator[pa.RecordBatch], places: Places, rank: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sequence, offset = places.of(batch.column("length").to_numpy(), batch.column("rank").to_numpy())
-        names = [n for n in batch.schema.names if n != "rank"]
+        sequence, offset = places.of(batch.column("length").to_numpy(), batch.column(rank).to_numpy())
+        names = [n for n in batch.schema.names if n != rank]
         yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
 
 
 def packed(parts: DataFrame, capacity: int = CAPACITY, rounds: int | None = None) -> DataFrame:
-    """The pieces with sequence_id and offset. ``parts`` has a length column, 1 to capacity.
+    """The pieces with sequence_id and offset, which replace columns of these names. ``parts`` has
+    a length column, 1 to capacity.
 
     The rank among the pieces of a length comes from counts per length and input partition, so
     a length that a third of all pieces have isn't ranked in one task.
     """
-    parts = stored(parts.withColumn("slot", F.monotonically_increasing_id()), "pieces")
-    part = F.shiftright("slot", 33)
-    sizes = stored(parts.groupBy("length", part.alias("part")).agg(F.count("*").alias("size")), "sizes")
+    parts = parts.drop("sequence_id", "offset")
+    slot, rank, part, own_rank, before_rank = (free_name(parts, name) for name in ("slot", "rank", "part", "own", "before"))
+    parts = stored(parts.withColumn(slot, F.monotonically_increasing_id()), "pieces")
+    numbered = F.shiftright(F.col(slot), 33).alias(part)
+    sizes = stored(parts.groupBy(F.col("length"), numbered).agg(F.count("*").alias("pieces")), "sizes")
     counts = np.zeros(capacity + 1, dtype=np.int64)
-    for row in sizes.groupBy("length").agg(F.sum("size").alias("size")).collect():  # a row for each length
-        counts[row.length] = row.size if isinstance(row.size, int) else row["size"]
-    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("length", "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
-    own = Window.partitionBy("length", "part").orderBy("slot")
+    for row in sizes.groupBy("length").agg(F.sum("pieces").alias("pieces")).collect():  # a row for each length
+        counts[row.length] = row.pieces
+    before = Window.partitionBy("length").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("length", part, F.coalesce(F.sum("pieces").over(before), F.lit(0)).alias(before_rank))
+    own = Window.partitionBy("length", part).orderBy(slot)
     ranked = (
-        parts.withColumn("part", part)
-        .withColumn("own", F.row_number().over(own) - 1)
-        .join(offsets, ["length", "part"])
-        .withColumn("rank", F.col("before") + F.col("own"))
+        parts.withColumn(part, F.shiftright(F.col(slot), 33))
+        .withColumn(own_rank, F.row_number().over(own) - 1)
+        .join(offsets, ["length", part])
+        .withColumn(rank, (F.col(before_rank) + F.col(own_rank)).cast("long"))
     )
     places = Places(plan(counts, capacity, rounds))
-    names = [c for c in parts.columns if c != "slot"]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parts.schema if f.name != "slot")
-    return ranked.select(*names, F.col("rank").cast("long").alias("rank")).mapInArrow(lambda it: _placed(it, places), f"{schema}, sequence_id long, offset long")
+    names = [f"`{c}`" for c in parts.columns if c != slot]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema if f.name != slot)
+    return ranked.select(*names, rank).mapInArrow(lambda it: _placed(it, places, rank), f"{schema}, sequence_id long, offset long")

@@ -107,10 +107,11 @@ def directory(assignment: DataFrame) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> str:
     """The documents as one folder for each shard (``shard=b<bits>/part=<n>``), as Parquet files.
 
-    ``docs`` is a table scan: rows are told apart by their place in it.
+    ``docs`` is a table scan: rows are told apart by their place in it. Where the documents have
+    a column ``shard`` or ``part`` themselves, the folders' names get an ending.
     """
-    place = free_name(docs, "place")
-    own = assigned(docs, limit).select(F.col("place").alias(place), F.concat(F.lit("b"), "shard").alias("shard"), "part")
+    place, shard, part = (free_name(docs, name) for name in ("place", "shard", "part"))
+    own = assigned(docs, limit).select(F.col("place").alias(place), F.concat(F.lit("b"), "shard").alias(shard), F.col("part").alias(part))
     joined = docs.withColumn(place, F.monotonically_increasing_id()).join(own, place).drop(place)
-    joined.repartition("shard", "part").write.partitionBy("shard", "part").parquet(path)
+    joined.repartition(shard, part).write.partitionBy(shard, part).parquet(path)
     return path
