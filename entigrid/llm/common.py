@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -65,6 +67,26 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+_KEPT: dict[str, tuple] = {}
+
+
+def kept_by_worker(owner: str, key, make: Callable):
+    """What a Python worker keeps from task to task, made once for a key. Workers go on to other
+    operators' tasks, so a worker keeps the state of one owner only, and of one key of it."""
+    if owner not in _KEPT or _KEPT[owner][0] != key:
+        forget_others(None)
+        _KEPT[owner] = (key, make())
+    return _KEPT[owner][1]
+
+
+def forget_others(owner: str | None) -> None:
+    """Drop what the worker has kept for other operators."""
+    if _KEPT.keys() - {owner}:
+        for other in _KEPT.keys() - {owner}:
+            del _KEPT[other]
+        gc.collect()
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

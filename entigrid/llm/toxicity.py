@@ -10,7 +10,8 @@ Neighbouring tokens with a marginal of a half or more are the offending spans.
 
 The field is fitted on the driver, on a sample of at most ``TOXIC_ROWS`` toxic and ``OTHER_ROWS``
 other labelled documents of at most ``SAMPLE_CHARS`` characters each, chosen by a hash of doc_id.
-Every text is scored whole; the chain of a text of over ``STRETCH`` tokens is read in stretches.
+At most ``MODEL_FEATURES`` features, the strongest, make up the model. Every text is scored whole
+and as one chain; one of over ``STRETCH`` tokens is read in stretches that hand on their messages.
 Defined results: null is the empty text, which has a score like any other; labels without doc_id
 or with a null mark are not used; of repeated labels the larger counts; without labels of both
 kinds every score is the share of toxic labels (0 if there is no label).
@@ -28,7 +29,7 @@ import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from entigrid.llm.common import free_name
+from entigrid.llm.common import free_name, kept_by_worker
 
 TOXIC_ROWS, OTHER_ROWS, SAMPLE_CHARS = 1500, 2500, 20_000
 STRETCH = 2048
@@ -101,21 +102,59 @@ def _forward_backward(emission: np.ndarray, there: np.ndarray, steps: tuple) ->
     return marginal, counts
 
 
+def _ahead(e: np.ndarray, there: np.ndarray, steps: np.ndarray, p: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The forward message at each token, its probability of tag 1 given the tokens up to it, from
+    that of the token before the stretch (None at the beginning of the text)."""
+    a, b, c, d = steps
+    ahead = np.empty_like(e)
+    for t in range(len(e)):
+        if p is None:
+            p = e[t] / (1 + e[t])
+        else:
+            one = (p * (d - b) + b) * e[t]
+            p = np.where(there[t], one / (one + p * (c - a) + a), p)
+        ahead[t] = p
+    return ahead, p
+
+
+def _behind(e: np.ndarray, there: np.ndarray, steps: np.ndarray, ahead: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of tag 1, and the backward message that goes to the stretch before."""
+    a, b, c, d = steps
+    marginal = np.empty_like(e)
+    for t in range(len(e) - 1, -1, -1):
+        p = ahead[t]
+        own = p * back
+        marginal[t] = own / (own + (1 - p) * (1 - back))
+        to_one, to_none = e[t] * back, 1 - back
+        zero, one = a * to_none + b * to_one, c * to_none + d * to_one
+        back = np.where(there[t], one / (zero + one), back)
+    return marginal, back
+
+
 def marginals(rows: list[np.ndarray], steps: tuple) -> list[np.ndarray]:
-    """For each row of emission scores, its tokens' probabilities of tag 1."""
-    pieces = [(i, r[s : s + STRETCH]) for i, r in enumerate(rows) for s in range(0, len(r), STRETCH)]
-    out: list[list[np.ndarray]] = [[] for _ in rows]
-    found: list[np.ndarray | None] = [None] * len(pieces)
-    order = sorted(range(len(pieces)), key=lambda i: len(pieces[i][1]))
+    """For each row of emission scores, its tokens' probabilities of tag 1.
+
+    Long rows are read in stretches, which hand their messages on, so a row is one chain."""
+    e_steps = np.exp(np.clip(steps, -30, 30))
+    out: list[np.ndarray] = [np.zeros(0)] * len(rows)
+    order = sorted((i for i, r in enumerate(rows) if len(r)), key=lambda i: len(rows[i]))
     for s in range(0, len(order), 128):
         own = order[s : s + 128]
-        columns, there = _padded([pieces[i][1] for i in own])
-        result, _ = _forward_backward(columns, there, steps)
+        cuts, p = [], None
+        for at in range(0, len(rows[own[-1]]), STRETCH):
+            emission, there = _padded([rows[i][at : at + STRETCH] for i in own])
+            e = np.exp(np.clip(emission, -30, 30))
+            ahead, p = _ahead(e, there, e_steps, p)
+            cuts.append((e, there, ahead))
+        back, found = np.full(len(own), 0.5), []
+        while cuts:
+            marginal, back = _behind(*cuts[-1][:2], e_steps, cuts[-1][2], back)
+            found.append(marginal)
+            cuts.pop()
+        whole = np.concatenate(found[::-1])
         for k, i in enumerate(own):
-            found[i] = result[: len(pieces[i][1]), k]
-    for (i, _), m in zip(pieces, found):
-        out[i].append(m)
-    return [np.concatenate(o) if o else np.zeros(0) for o in out]
+            out[i] = whole[: len(rows[i]), k].copy()
+    return out
 
 
 def aggregates(m: np.ndarray) -> tuple[float, float, float]:
@@ -262,15 +301,9 @@ class Scorer:
         return out
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
 def _scorer(held: Broadcast) -> Scorer:
     model = held.value
-    if id(model) not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[id(model)] = Scorer(model)
-    return _SCORERS[id(model)]
+    return kept_by_worker("toxicity", id(model), lambda: Scorer(model))
 
 
 def held_out(column: str = "doc_id") -> Column:
