@@ -19,13 +19,12 @@ import hashlib
 import pickle
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from entigrid.llm.common import free_name, stored
+from entigrid.llm.common import free_name, kept_by_worker, stored
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -175,9 +174,8 @@ def _blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[str, str
             yield block
 
 
-@lru_cache(maxsize=1)
 def _loaded(key: str, data: bytes) -> ItemAutomaton:
-    return pickle.loads(data)
+    return kept_by_worker("decontaminate", key, lambda: pickle.loads(data))
 
 
 def _held(spark: SparkSession, items: list[tuple[str, str | None]], window: int) -> Broadcast:

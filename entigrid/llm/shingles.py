@@ -11,6 +11,8 @@ from functools import cache
 
 import numpy as np
 
+from entigrid.llm.common import kept_by_worker
+
 _SEGMENT = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
@@ -36,14 +38,14 @@ def _byte_values() -> tuple[np.ndarray, np.ndarray]:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base^i and base^-i modulo 2^64 for i < n at least."""
-    if len(_POWERS) == 0 or len(_POWERS[0]) < n:
-        size = max(n, _SEGMENT + 4096)
-        base, inverse = int(_ODD), pow(int(_ODD), -1, 1 << 64)
-        _POWERS[:] = [_running_product(base, size), _running_product(inverse, size)]
-    return _POWERS[0], _POWERS[1]
-
-
-_POWERS: list[np.ndarray] = []
+    size = _SEGMENT + 4096
+    while size < n:
+        size *= 2
+    base, inverse = int(_ODD), pow(int(_ODD), -1, 1 << 64)
+    make = lambda: (_running_product(base, size), _running_product(inverse, size))
+    if size > _SEGMENT + 4096:
+        return make()  # of one very long word; not kept
+    return kept_by_worker("shingles", size, make)
 
 
 def _running_product(base: int, n: int) -> np.ndarray:
