@@ -11,9 +11,14 @@ import gc
 import os
 import re
 from collections.abc import Iterable
+from functools import partial
+from itertools import compress
+from operator import is_
 
 import numpy as np
 
+from entigrid.llm.common import kept_by_worker
+
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 MEMORY_PIECES = 200_000
@@ -21,12 +26,15 @@ MEMORY_PIECES = 200_000
 _BLANK_RUN = re.compile(r" (?=\s|$)")
 _CUT = re.compile(r" (?=\S)")
 _PUNCTUATION = ".,;:!?"
+_IS_NONE = partial(is_, None)
 
 
 class TextEncoder:
     """Ids without special tokens, as little-endian unsigned 32-bit bytes.
 
-    ``memory_pieces`` bounds the pieces a worker remembers. Null counts as the empty text.
+    A worker remembers pieces in two generations: those it meets are young; when there are more
+    than ``memory_pieces`` of them, they become the old ones, and the old ones that weren't met
+    since are forgotten. Null counts as the empty text.
     """
 
     def __init__(self, vocabulary: str = VOCABULARY, memory_pieces: int = MEMORY_PIECES):
@@ -37,7 +45,8 @@ class TextEncoder:
 
         self._tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self._memory_pieces = memory_pieces
-        self._known: dict[str, bytes] = {}
+        self._known: dict[str, bytes | None] = {}
+        self._older: dict[str, bytes] = {}
         vocab = self._tokenizer.get_vocab()
         self._opens = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self._opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
@@ -54,16 +63,23 @@ class TextEncoder:
                 gc.enable()
 
     def _encode(self, cut: list[list[str]]) -> list[bytes]:
-        known = self._known
-        met: set[str] = set()
-        for pieces in cut:
-            met.update(pieces)
-        new = [piece for piece in met if piece not in known]
-        if len(known) + len(new) > self._memory_pieces:
-            known.clear()
-            new = list(met)
+        known, older = self._known, self._older
+        found = [list(map(known.get, pieces)) for pieces in cut]
+        new, open_texts = [], []
+        for i, (pieces, ids) in enumerate(zip(cut, found)):
+            if None in ids:
+                open_texts.append(i)
+                for piece in compress(pieces, map(_IS_NONE, ids)):
+                    if piece not in known:
+                        known[piece] = own = older.get(piece)  # what is met again stays with the young ones
+                        if own is None:
+                            new.append(piece)
         self._learn(new)
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        for i in open_texts:
+            found[i] = list(map(known.__getitem__, cut[i]))
+        if len(known) > self._memory_pieces:
+            self._known, self._older = {}, known
+        return [b"".join(ids) for ids in found]
 
     def _direct(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
@@ -84,7 +100,7 @@ class TextEncoder:
         return pieces
 
     def _learn(self, pieces: list[str]) -> None:
-        known, tails, plain = self._known, [], {}
+        known, tails, plain = self._known, [], {}  # the pieces stand in ``known`` without ids
         for piece in pieces:
             if piece[0] == "\0":
                 known[piece] = self._direct(piece[1:])
@@ -93,7 +109,7 @@ class TextEncoder:
             elif piece[-1] in _PUNCTUATION and piece[:-1].isalpha():
                 # letters and the mark after them are never merged
                 tails.append(piece)
-                if piece[:-1] not in known:
+                if known.get(piece[:-1]) is None:
                     plain[piece[:-1]] = None
             elif " " in piece or piece[0].isspace():
                 known[piece] = self._direct(" " + piece)
@@ -113,9 +129,4 @@ class TextEncoder:
 
 def worker_encoder(vocabulary: str = VOCABULARY) -> TextEncoder:
     """The encoder of this worker process, kept between batches and tasks."""
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = TextEncoder(vocabulary)
-    return _ENCODERS[vocabulary]
-
-
-_ENCODERS: dict[str, TextEncoder] = {}
+    return kept_by_worker("tokens", vocabulary, lambda: TextEncoder(vocabulary))
