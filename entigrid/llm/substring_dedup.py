@@ -1,11 +1,16 @@
 """Substring dedup over sliding runs of sentences.
 
 A text is cut into sentences (up to and with its end marks, line ends and the white space after).
-Every run of two to ``RUN`` consecutive sentences that has ``RUN_WORDS`` words or more is hashed,
-and also every sentence of ``LONG_WORDS`` or more, by their lower-cased words. Equal runs are found by a global join;
-the first one, by doc_id and position, stays. The sentences under any other are removed, the rest
-of the text is kept as it is. A repeated stretch with ends inside sentences is only removed for its
-whole sentences, if they make up such a run.
+Runs of two or more consecutive sentences, however many, that have ``RUN_WORDS`` words or more
+count, and so do single sentences of ``LONG_WORDS`` or more; they are told by their lower-cased
+words. Equal runs are found by a global join; the first one, by doc_id and position, stays. The
+sentences under any other are removed, the rest of the text is kept as it is. A repeated stretch
+with ends inside sentences is only removed for its whole sentences, if they make up such a run.
+
+Not all runs need be hashed. Of the runs that start at a sentence, and of those that end at it, the
+shortest will do: they are part of any longer run, so they repeat wherever it does, and those
+within a run cover it. (A sentence from which a run's rest is too short, and up to which its
+beginning is, lies in the shortest run from that run's start.)
 
 Defined results: null is the empty text; pieces without a word belong to the sentence before them
 (or the first one after, at the start); rows that repeat a doc_id and its text count as one
@@ -16,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -25,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from entigrid.llm.common import small, stored, text_of
 
-RUN, RUN_WORDS, LONG_WORDS = 3, 8, 25
+RUN_WORDS, LONG_WORDS = 8, 25
 
 _PIECE = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+")
 _WORDS = re.compile(r"\w+")
@@ -48,20 +54,31 @@ def sentences(text: str | None) -> list[tuple[str, list[str]]]:
     return out if not lead or out else [(lead, [])]
 
 
+def spans(counts: list[int]) -> list[tuple[int, int]]:
+    """First sentence and number of sentences of the runs to hash, for sentences of so many words."""
+    n = len(counts)
+    upto = [0, *accumulate(counts)]
+    found = {(i, 1) for i, c in enumerate(counts) if c >= LONG_WORDS}
+    end = 0
+    for i in range(n - 1):  # the shortest run from i on ends before ``end``, which never goes back
+        end = max(end, i + 2)
+        while end < n and upto[end] - upto[i] < RUN_WORDS:
+            end += 1
+        if upto[end] - upto[i] >= RUN_WORDS:
+            found.add((i, end - i))
+    first = 0
+    for j in range(1, n):  # the shortest run up to j starts at ``first``
+        while first + 1 < j and upto[j + 1] - upto[first + 1] >= RUN_WORDS:
+            first += 1
+        if upto[j + 1] - upto[first] >= RUN_WORDS:
+            found.add((first, j + 1 - first))
+    return sorted(found)
+
+
 def runs(cut: list[tuple[str, list[str]]]) -> list[tuple[int, int, bytes]]:
     """First sentence, number of sentences and a 128-bit hash of each run."""
-    keys = [xxhash.xxh3_128_digest(" ".join(words)) for _, words in cut]
-    counts = [len(words) for _, words in cut]
-    out = []
-    for i in range(len(cut)):
-        total = 0
-        for size in range(1, RUN + 1):
-            if i + size > len(cut):
-                break
-            total += counts[i + size - 1]
-            if total >= (LONG_WORDS if size == 1 else RUN_WORDS):
-                out.append((i, size, xxhash.xxh3_128_digest(b"".join(keys[i : i + size]))))
-    return out
+    keys = b"".join(xxhash.xxh3_128_digest(" ".join(words)) for _, words in cut)
+    return [(i, size, xxhash.xxh3_128_digest(keys[16 * i : 16 * (i + size)])) for i, size in spans([len(words) for _, words in cut])]
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +112,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "mark", "first")
     firsts = found.groupBy("h", "g").agg(F.min(place).alias("f"), F.max(place).alias("l")).filter("f != l")
     firsts = firsts.select("h", "g", F.col("f.doc_id").alias("d"), F.col("f.mark").alias("m"), F.col("f.first").alias("s"))
-    firsts = small(stored(firsts, "first-runs"))
+    firsts = small(stored(firsts, "first-runs"), 50_000)  # about 10 MB
     others = found.join(firsts, ["h", "g"]).filter(~(F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")) & (F.col("first") == F.col("s"))))
     # one row of a document for each stretch, then one per document: bounded by its sentences
     return others.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("first", "size")).alias("spans"))

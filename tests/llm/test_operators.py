@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from entigrid.llm import (
-    components, decontaminate, jaccard_join, minhash, packing, secret_scan, sharding, substring_dedup, tokens, toxicity, warc, wavelet,
+    common, components, decontaminate, jaccard_join, minhash, packing, secret_scan, sharding, substring_dedup, tokens, toxicity, warc, wavelet,
 )
 from entigrid.llm.common import prepare
 from entigrid.llm.shingles import shingle_sets
@@ -192,6 +192,24 @@ def test_trigram_queries():
 # 4 Toxicity ------------------------------------------------------------------
 
 
+def test_long_texts_are_one_chain(monkeypatch):
+    rnd = np.random.default_rng(3)
+    rows = [rnd.normal(0, 3, n) for n in (10_000, 4096, 4097, 2048, 1, 0, 300, 2049)]
+    steps = (0.4, -1.0, -0.7, 1.2)
+    cut = toxicity.marginals(rows, steps)
+    monkeypatch.setattr(toxicity, "STRETCH", 20_000)
+    whole = toxicity.marginals(rows, steps)
+    assert [len(m) for m in cut] == [len(r) for r in rows]
+    assert all(np.allclose(a, b, atol=1e-12) for a, b in zip(cut, whole))
+
+
+def test_workers_keep_one_operators_state():
+    made = []
+    keep = lambda owner, key: common.kept_by_worker(owner, key, lambda: made.append((owner, key)) or key)
+    assert [keep("a", 1), keep("a", 1), keep("b", 2), keep("b", 2), keep("a", 1), keep("a", 3)] == [1, 1, 2, 2, 1, 3]
+    assert made == [("a", 1), ("b", 2), ("a", 1), ("a", 3)]
+
+
 def test_forward_backward_is_exact():
     rows, steps = [np.array([0.3, -1.2, 2.0, 0.1]), np.array([1.0])], (0.4, -0.7, 0.2, 0.9)
     got = toxicity.marginals(rows, steps)
@@ -287,16 +305,25 @@ def test_skewed_lengths_are_packed_near_the_dual_bound(low, high, n, most):
 # 6 Substring dedup -----------------------------------------------------------
 
 
+def all_runs(cut):
+    """Every run of sentences, of any size, that has enough words."""
+    words = [tuple(w) for _, w in cut]
+    for at in range(len(words)):
+        for end in range(at + 1, len(words) + 1):
+            if sum(map(len, words[at:end])) >= (25 if end == at + 1 else 8):
+                yield at, end - at, tuple(words[at:end])
+
+
 def plain_dedup(rows):
     first, out = {}, []
     cut = {k: substring_dedup.sentences(k[1]) for k in {(i, t or "") for i, t in rows}}
     order = sorted(cut, key=lambda k: (k[0] is not None, k[0] or 0))
     for key in order:
-        for at, size, h in substring_dedup.runs(cut[key]):
+        for at, size, h in all_runs(cut[key]):
             first.setdefault(h, (key, at))
     for i, t in rows:
         key, gone = (i, t or ""), set()
-        for at, size, h in substring_dedup.runs(cut[key]):
+        for at, size, h in all_runs(cut[key]):
             if first[h] != (key, at):
                 gone.update(range(at, at + size))
         out.append((i, len(cut[key]), len(gone), "".join(s for j, (s, _) in enumerate(cut[key]) if j not in gone)))
@@ -312,6 +339,18 @@ def test_repeated_passages_go(spark, nothing):
     assert substring_dedup.deduplicated(nothing).count() == 0
 
 
+def test_runs_of_any_size_go(spark):
+    verse = "".join(f"Line {i}. " for i in range(40))
+    rows = [(1, "Before it. " + verse), (2, verse + "After it."), (3, "Line 3. Line 4. " + "One two three four five. Six seven. Eight.")]
+    rnd = np.random.default_rng(8)
+    for i in range(4, 60):  # short sentences of few words, so that runs of all sizes repeat and overlap
+        rows.append((i, "".join(" ".join(rnd.choice(["a", "b", "c"], rnd.integers(1, 5))) + rnd.choice([". ", "! ", "\n"]) for _ in range(rnd.integers(0, 30)))))
+    got = sorted(map(tuple, substring_dedup.deduplicated(table(spark, rows)).collect()), key=str)
+    assert got == plain_dedup(rows)
+    removed = {r[0]: r[2] for r in got}
+    assert removed[1] == 0 and removed[2] == 40
+
+
 def test_two_short_sentences_are_a_run(spark):
     pair = "Nine short words stand here in the first one. And nine other words stand in the second one. "
     rows = [(1, "It opens so. " + pair + "It ends so."), (2, "Another opening here. " + pair + "Another ending.")]
@@ -473,3 +512,43 @@ def test_benchmark_windows(spark, docs, nothing):
         assert rows[0].text.split()[:21] == WORDS[:20] + ["w45"] and rows[0].n_chars == len(rows[0].text)
     assert decontaminate.decontaminated(nothing, bench).count() == 0
     assert decontaminate.decontaminated(docs, bench.limit(0)).count() == docs.count()
+
+
+# Clashing names --------------------------------------------------------------
+
+CLASHES = ["keep_cls", "keep_doc", "set_id", "nonce", "shard", "part", "rank", "size", "slot", "own", "before", "place", "cls", "n", "hits", "toxicity", "found"]
+
+
+def clashing(spark):
+    rows = [(i, f"{LONG} {'x' * (i % 3)} number {i}", "en", "s", 9, *range(len(CLASHES))) for i in range(12)]
+    path = scratch_path(spark, "clashing")
+    table(spark, rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} int" for c in CLASHES)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_columns_with_the_operators_own_names(spark, tmp_path):
+    docs = clashing(spark)
+    own = {tuple(r) for r in docs.drop("text").collect()}
+    near = jaccard_join.one_of_each(docs)
+    assert near.columns == docs.columns and near.count() == 1 and {tuple(r) for r in near.drop("text").collect()} <= own
+    sharding.write_shards(docs, str(tmp_path / "shards"), limit=20_000)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert {tuple(r) for r in back.select(docs.drop("text").columns).collect()} == own
+    parts = docs.drop("text").withColumn("length", F.lit(300)).withColumn("offset", F.lit("old"))
+    placed = packing.packed(parts)
+    assert {tuple(r) for r in placed.select(docs.drop("text").columns).collect()} == own
+    assert sorted((r.sequence_id, r.offset) for r in placed.collect()) == sorted((s, o) for s in {r.sequence_id for r in placed.collect()} for o in (0, 300, 600))
+    assert secret_scan.redacted(docs).columns == docs.columns
+    items = table(spark, [(1, "an item of other words", 5)], "item_id long, text string, hits int")
+    assert decontaminate.decontaminated(docs, items).count() == 12
+    assert substring_dedup.deduplicated(docs).count() == 12
+    assert sharding.assigned(docs).count() == 12
+
+
+def test_parts_of_equal_documents_fit_their_limit(spark):
+    rows = table(spark, [(1, "x" * 1000)] * 50 + [(2, "y" * 10)])
+    path = scratch_path(spark, "equal")
+    rows.write.parquet(path)
+    found = sharding.assigned(spark.read.parquet(path), limit=3000)
+    sizes = found.groupBy("shard", "part").agg(F.sum("bytes").alias("bytes")).collect()
+    assert max(r.bytes for r in sizes) <= 3000 and sum(r.bytes for r in sizes) == 50_010
