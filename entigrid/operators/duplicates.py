@@ -8,25 +8,29 @@ from entigrid.schema import POSITION
 from entigrid.sources.provenance import numbered
 from entigrid.sources.stored import stored
 
-# The most frequent keys are matched by a broadcast of at most this many rows. What is a
-# frequent key is estimated; the result does not depend on it.
+# Keys with more than one row in HOT_KEYS are matched by a broadcast; there are no more of them
+# than that. Counts are estimated, never too low; the result does not depend on them.
 HOT_KEYS = 1024
 TRACKED_KEYS = 4 * HOT_KEYS
 SKETCHES = 256
 
 
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
-    """At most ``HOT_KEYS`` keys: the most frequent ones, from frequent-items sketches.
+    """The keys that have more than one row in ``HOT_KEYS``, from frequent-items sketches.
 
-    Tasks send a sketch each to one of ``SKETCHES``, which are combined in turn. A key with more
-    than about one row in ``HOT_KEYS`` is among them, so no key that is left can swamp a task.
+    Tasks send a sketch each to one of ``SKETCHES``, which are combined in turn. No key that is
+    left can swamp a task.
     """
     part = (F.spark_partition_id() % SKETCHES).alias("part")
-    sketches = rows.groupBy(part).agg(F.expr(f"approx_top_k_accumulate({key}, {TRACKED_KEYS})").alias("sketch"))
+    sketches = rows.groupBy(part).agg(
+        F.expr(f"approx_top_k_accumulate({key}, {TRACKED_KEYS})").alias("sketch"), F.count("*").alias("rows")
+    )
     # grouped, so that nothing comes of no rows
-    whole = sketches.groupBy(F.lit("all").alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"))
-    top = whole.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})")).alias("top"))
-    return top.filter("top.count > 1").select(F.col("top.item").alias("hot_key"))
+    whole = sketches.groupBy(F.lit("all").alias("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"), F.sum("rows").alias("rows")
+    )
+    top = whole.select("rows", F.explode(F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})")).alias("top"))
+    return top.filter(F.col("top.count") * HOT_KEYS > F.col("rows")).select(F.col("top.item").alias("hot_key"))
 
 
 def first_of(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -48,12 +52,19 @@ def flag_duplicates(keyed: DataFrame, key: str = "full_key", settled: bool = Fal
     rows = keyed if settled else stored(keyed, "keyed")
     if POSITION not in rows.columns:
         rows = numbered(rows)
-    hot = stored(first_of(rows, hot_keys(rows, key), key), "hot-keys")
     columns = [F.col(c) for c in rows.columns]
+    hot = stored(hot_keys(rows, key), "hot-keys")
+    if hot.isEmpty():
+        return _flagged_by_window(rows, key)
+    hot = stored(first_of(rows, hot, key), "hot-firsts")
     matched = rows.join(F.broadcast(hot), F.col(key) == F.col("hot_key"))
     in_hot = matched.select(*columns, F.when(F.col(POSITION) != F.col("first_pos"), F.col("first_id")).alias("duplicate_of"))
     rest = rows.join(F.broadcast(hot.select("hot_key")), F.col(key) == F.col("hot_key"), "left_anti")
+    return in_hot.unionByName(_flagged_by_window(rest, key))
+
+
+def _flagged_by_window(rows: DataFrame, key: str) -> DataFrame:
     seen = Window.partitionBy(key).orderBy(POSITION)
-    first = rest.withColumns({"first_pos": F.first(POSITION).over(seen), "first_id": F.first("id").over(seen)})
-    in_rest = first.select(*columns, F.when(F.col(POSITION) != F.col("first_pos"), F.col("first_id")).alias("duplicate_of"))
-    return in_hot.unionByName(in_rest)
+    first = rows.withColumns({"first_pos": F.first(POSITION).over(seen), "first_id": F.first("id").over(seen)})
+    flag = F.when(F.col(POSITION) != F.col("first_pos"), F.col("first_id")).alias("duplicate_of")
+    return first.select(*(F.col(c) for c in rows.columns), flag)
