@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from entigrid.llm.common import small, stored, text_of
 from entigrid.llm.id_order import id_stretches, order_key, stretch_of
@@ -66,8 +66,8 @@ def likeness(a: tuple[np.ndarray, int], b: tuple[np.ndarray, int]) -> float:
 # Edited neighbours -----------------------------------------------------------
 
 _EDITED = (
-    "doc_id long, cls long, n_chars long, edited_sha256 string, fingerprint string, "
-    "edited_fingerprint string, near_edited double, near_next double"
+    "doc_id long, cls long, n long, n_chars long, edited_sha256 string, fingerprint binary, "
+    "edited_fingerprint binary, near_edited double, near_next double"
 )
 
 
@@ -93,17 +93,18 @@ def _compare(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
         out = []
         for (row, mark, cls), (_, following, _), text, other in zip((p[0] for p in pairs), (p[1] for p in pairs), texts, fingerprints(texts, k)):
             out.append((
-                row[0], cls, len(row[1]), hashlib.sha256(text.encode()).hexdigest(), mark[0].tobytes().hex(),
-                other[0].tobytes().hex(), likeness(mark, other), likeness(mark, following),
+                row[0], cls, mark[1], len(row[1]), hashlib.sha256(text.encode()).hexdigest(), mark[0].tobytes(),
+                other[0].tobytes(), likeness(mark, other), likeness(mark, following),
             ))
-        kinds = [pa.int64()] * 3 + [pa.string()] * 3 + [pa.float64()] * 2
-        columns = list(zip(*out)) or [[]] * 8
+        kinds = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * 2 + [pa.float64()] * 2
+        columns = list(zip(*out)) or [[]] * 9
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], [c.split()[0] for c in _EDITED.split(", ")])
 
 
 def compared_with_edits(docs: DataFrame, k: int = K) -> DataFrame:
-    """Each document's fingerprint, that of its edited text, and how like they and the following
-    document's are. Documents follow each other by descending doc_id, the first after the last.
+    """Each document's set (its id and size n), fingerprint, that of its edited text, and how like
+    they and the following document's are. Documents follow each other by descending doc_id, the
+    first after the last.
 
     The documents are dealt out in stretches of doc_id; the first document of each also goes, as
     a guard, to the end of the stretch before it. So texts are shuffled once.
@@ -111,18 +112,19 @@ def compared_with_edits(docs: DataFrame, k: int = K) -> DataFrame:
     docs = docs.select("doc_id", text_of().alias("text"), order_key().alias("key"))
     bounds = id_stretches(docs)
     stretch = stretch_of(bounds)
-    firsts = sorted(
-        (r.key, r.stretch) for r in docs.groupBy(stretch("key").alias("stretch")).agg(F.max("key").alias("key")).collect()
-    )
     # in descending order a stretch's first document guards the next larger stretch; the largest
-    # document guards the smallest stretch
-    guards = F.create_map(*[F.lit(x) for (key, _), (_, before) in zip(firsts, firsts[1:] + firsts[:1]) for x in (key, before)]) if firsts else F.create_map(F.lit(0).cast("long"), F.lit(0))
+    # document guards the smallest stretch. One row a stretch
+    firsts = docs.groupBy(stretch("key").alias("stretch")).agg(F.max("key").alias("key"))
+    by_stretch = Window.orderBy("stretch")
+    least = F.min("stretch").over(by_stretch.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    guards = stored(firsts.select("key", F.coalesce(F.lead("stretch").over(by_stretch), least).alias("before")), "guards")
     both = F.array_compact(
         F.array(
             F.struct(stretch("key").alias("stretch"), F.lit(False).alias("guard")),
-            F.when(guards[F.col("key")].isNotNull(), F.struct(guards[F.col("key")].alias("stretch"), F.lit(True).alias("guard"))),
+            F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("stretch"), F.lit(True).alias("guard"))),
         )
     )
+    docs = docs.join(small(guards), "key", "left")
     dealt = docs.select("doc_id", "text", "key", F.explode(both).alias("to")).select("doc_id", "text", "key", "to.stretch", "to.guard")
     ordered = dealt.repartition("stretch").sortWithinPartitions("stretch", "guard", F.desc("key"), "text")
     return ordered.select("doc_id", "text", "stretch", "guard").mapInArrow(lambda it: _compare(it, k), _EDITED)
@@ -130,32 +132,36 @@ def compared_with_edits(docs: DataFrame, k: int = K) -> DataFrame:
 
 # Near duplicates -------------------------------------------------------------
 
-_SIGNED = "doc_id long, cls long, n long, bands array<long>"
+_MARKED = "doc_id long, cls long, n long, fingerprint binary"
 
 
-def _signed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    bands = PERMUTATIONS // BAND
+def _marked(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = shingle_sets(batch.column("text").to_pylist(), k)
-        keys = np.zeros((len(sets), bands), dtype=np.int64)
-        for i, s in enumerate(sets):
-            least = signature(s)[: bands * BAND].reshape(bands, BAND)
-            mixed = np.zeros(bands, dtype=np.uint64)
-            for j in range(BAND):
-                mixed = (mixed ^ least[:, j]) * np.uint64(0xD6E8FEB86659FD93)
-                mixed ^= mixed >> np.uint64(29)
-            keys[i] = (mixed + np.arange(bands, dtype=np.uint64)).view(np.int64)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands), pa.int32()), pa.array(keys.ravel()))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(set_ids(sets)), pa.array([len(s) for s in sets], pa.int64()), lists], ["doc_id", "cls", "n", "bands"]
-        )
+        marks = [places(signature(s), len(s)).tobytes() for s in sets]
+        columns = [batch.column("doc_id"), pa.array(set_ids(sets)), pa.array([len(s) for s in sets], pa.int64()), pa.array(marks, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _MARKED.split(", ")])
+
+
+def fingerprinted(docs: DataFrame, k: int = K) -> DataFrame:
+    """(doc_id, cls, n, fingerprint): each document's set by its id and size, and its fingerprint."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return docs.mapInArrow(lambda it: _marked(it, k), _MARKED)
+
+
+def bands(fingerprint: str) -> Column:
+    """A key for each band of the fingerprint's places."""
+    width = 2 * BAND
+    return F.array(*[F.xxhash64(F.substring(fingerprint, width * b + 1, width), F.lit(b)) for b in range(PERMUTATIONS // BAND)])
 
 
-def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT, marked: DataFrame | None = None) -> DataFrame:
     """(cls, cluster_id, members): for each shingle set that several documents have, or that is
-    linked with others, the least doc_id of its cluster, and how many documents the set has."""
+    linked with others, the least doc_id of its cluster, and how many documents the set has.
+    ``marked`` are the documents' fingerprints, if they have been made and stored before."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = stored(docs.mapInArrow(lambda it: _signed(it, k), _SIGNED).filter("n > 0"), "signed")
+    marked = stored(fingerprinted(docs, k), "marked") if marked is None else marked
+    signed = marked.filter("n > 0").select("doc_id", "cls", "n", bands("fingerprint").alias("bands"))
     classes = stored(signed.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("members")), "classes")
     one = signed.groupBy("cls").agg(F.first("bands").alias("bands"), F.first("n").alias("n"))
     keyed = one.select("cls", "n", F.explode("bands").alias("key"))

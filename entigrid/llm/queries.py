@@ -10,7 +10,7 @@ from entigrid.llm import (
     circulant, decontaminate, jaccard_join, minhash, packing, prefix_trie, secret_scan, sharding, spelling, substring_dedup, toxicity,
     warc, wavelet,
 )
-from entigrid.llm.common import table
+from entigrid.llm.common import stored, table
 from entigrid.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +30,9 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return minhash.with_clusters(minhash.compared_with_edits(docs), minhash.near_duplicates(docs))
+    compared = stored(minhash.compared_with_edits(docs), "compared")
+    hexed = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return minhash.with_clusters(compared.withColumns(hexed).drop("n"), minhash.near_duplicates(docs, marked=compared))
 
 
 @query
