@@ -3,7 +3,7 @@
 A text is cut into sentences (up to and with its end marks, line ends and the white space after).
 Runs of two or more consecutive sentences, however many, that have ``RUN_WORDS`` words or more
 count, and so do single sentences of ``LONG_WORDS`` or more; they are told by their lower-cased
-words. Equal runs are found by a global join; the first one, by doc_id and position, stays. The
+words. Equal runs are ranked globally; the first one, by doc_id and position, stays. The
 sentences under any other are removed, the rest of the text is kept as it is. A repeated stretch
 with ends inside sentences is only removed for its whole sentences, if they make up such a run.
 
@@ -27,11 +27,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from entigrid.llm.common import small, stored, text_of
+from entigrid.llm.common import stored, text_of
 
 RUN_WORDS, LONG_WORDS = 8, 25
+#: One of so many documents is looked at for frequent runs; a frequent run is more than such a
+#: part of all runs, and dealt out in so many parts; bits of the places of documents with spans.
+SAMPLE, FREQUENT, SALTS, PLACE_BITS = 64, 1024, 64, 1 << 25
 
 _PIECE = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+")
 _WORDS = re.compile(r"\w+")
@@ -105,25 +108,70 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("mark"), text.alias("text"))
 
 
+def _frequent(keyed: DataFrame) -> DataFrame:
+    """(h, g): runs that more than a ``FREQUENT``-th of the runs in one of ``SAMPLE`` parts of the
+    documents are. They decide how runs are dealt out, not what is found."""
+    part = keyed.filter(F.pmod(F.xxhash64("doc_id", "mark"), F.lit(SAMPLE)) == 0)
+    counts = stored(part.mapInArrow(_runs, _RUNS).groupBy("h", "g").agg(F.count("*").alias("n")), "run-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return stored(counts.filter(F.col("n") > max(1, total // FREQUENT)).select("h", "g"), "frequent-runs")
+
+
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, spans): of each document with non-first repeated runs, their first sentence
-    and size. A hash is 96 bits; the mark tells texts of one doc_id apart."""
-    found = _keyed(docs).mapInArrow(_runs, _RUNS)
-    place = F.struct("doc_id", "mark", "first")
-    firsts = found.groupBy("h", "g").agg(F.min(place).alias("f"), F.max(place).alias("l")).filter("f != l")
-    firsts = firsts.select("h", "g", F.col("f.doc_id").alias("d"), F.col("f.mark").alias("m"), F.col("f.first").alias("s"))
-    firsts = small(stored(firsts, "first-runs"), 50_000)  # about 10 MB
-    others = found.join(firsts, ["h", "g"]).filter(~(F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")) & (F.col("first") == F.col("s"))))
+    and size. A hash is 96 bits; the mark tells texts of one doc_id apart.
+
+    Runs are hashed and dealt out once, and all but the first of each are found by their rank. A
+    frequent one is dealt out in ``SALTS`` parts, whose first ones are ranked once more.
+    """
+    keyed = _keyed(docs)
+    found = keyed.mapInArrow(_runs, _RUNS)
+    place = ["doc_id", "mark", "first"]  # the first run's rows, if rows repeat, all have rank 1
+    frequent = _frequent(keyed)
+    if frequent.isEmpty():
+        others = found.withColumn("nth", F.rank().over(Window.partitionBy("h", "g").orderBy(*place))).filter("nth > 1")
+    else:
+        own = F.pmod(F.xxhash64("doc_id", "mark"), F.lit(SALTS))
+        found = found.join(F.broadcast(frequent.withColumn("often", F.lit(True))), ["h", "g"], "left")
+        found = found.withColumn("salt", F.when(F.col("often"), own).otherwise(F.lit(0)))
+        found = found.withColumn("nth", F.rank().over(Window.partitionBy("h", "g", "salt").orderBy(*place))).filter("nth > 1 OR often")
+        # those past the first of their part are settled, and spread by their places
+        settled = F.when(F.col("nth") > 1, F.xxhash64("doc_id", "mark", "first"))
+        again = Window.partitionBy("h", "g", "settled").orderBy(*place)
+        others = found.withColumn("settled", settled).withColumn("again", F.rank().over(again)).filter("settled IS NOT NULL OR again > 1")
     # one row of a document for each stretch, then one per document: bounded by its sentences
     return others.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("first", "size")).alias("spans"))
 
 
+def _bit(doc_id: str, mark: str) -> Column:
+    return F.pmod(F.xxhash64(doc_id, mark), F.lit(PLACE_BITS))
+
+
+def _perhaps(keyed: DataFrame, spans: DataFrame) -> DataFrame:
+    """``keyed`` with a column perhaps: false only for documents that have no spans.
+
+    The places of those with spans are bits of ``PLACE_BITS``, broadcast in rows of 4 KB; the more
+    documents share a bit, the more have perhaps without spans.
+    """
+    bit = _bit("d", "m")
+    bits = spans.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    at = keyed.withColumn("bit", _bit("doc_id", "mark")).withColumns(
+        {"bucket": F.bitmap_bucket_number("bit"), "at": F.bitmap_bit_position("bit").cast("int")}
+    )
+    byte = "CAST(conv(hex(substring(bits, at DIV 8 + 1, 1)), 16, 10) AS INT)"
+    perhaps = F.expr(f"coalesce(shiftright({byte}, at % 8) & 1 = 1, false)")
+    return at.join(F.broadcast(bits), "bucket", "left").select("doc_id", "mark", "text", perhaps.alias("perhaps"))
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
     """(doc_id, n_sentences, n_removed, text): each document without the sentences under repeated
-    runs other than their first."""
-    keyed = _keyed(docs)
+    runs other than their first. Only documents that perhaps have such runs are dealt out."""
     spans = stored(repeated_runs(docs), "run-spans").select(F.col("doc_id").alias("d"), F.col("mark").alias("m"), "spans")
-    joined = keyed.join(small(spans, 50_000), keyed["doc_id"].eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")), "left")
+    keyed = _perhaps(_keyed(docs), spans)
+    own = keyed["doc_id"].eqNullSafe(F.col("d")) & (keyed["mark"] == F.col("m"))
+    dealt = keyed.filter("perhaps").join(spans.hint("merge"), own, "left").select("doc_id", "text", "spans")
+    whole = keyed.filter("NOT perhaps").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    joined = dealt.unionByName(whole)
 
     @F.pandas_udf("n_sentences long, n_removed long, text string")
     def keep(texts: pd.Series, firsts: pd.Series, sizes: pd.Series) -> pd.DataFrame:

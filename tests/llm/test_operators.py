@@ -52,6 +52,23 @@ def plain_words(text):
     return (text or "").encode().lower().split()
 
 
+def test_runs_are_hashed_and_dealt_out_once(spark):
+    rnd = np.random.default_rng(6)
+    line = "One very common line of many words stands here.\nAnd a second one of many words follows it.\n"
+    rows = [(i, " ".join(f"w{n}" for n in rnd.integers(0, 500, 9)) + ".\n" + (line if i % 3 else "")) for i in range(900)]
+    rows += [(5, rows[5][1]), (None, line), (950, line + line), (951, None)]
+    docs = table(spark, rows).repartition(4)
+    assert not substring_dedup._frequent(substring_dedup._keyed(docs)).isEmpty()
+    assert sorted(map(tuple, substring_dedup.deduplicated(docs).collect()), key=str) == plain_dedup(rows)
+    plain = table(spark, [r for r in rows if not (r[1] or "").endswith(line)] + [(2, "x. " + line), (1, line)])
+    got = sorted(map(tuple, substring_dedup.deduplicated(plain).collect()), key=str)
+    assert got == plain_dedup([tuple(r) for r in plain.collect()])
+    found = substring_dedup.repeated_runs(plain)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1  # it was hashed for each side of a join
+    perhaps = substring_dedup._perhaps(substring_dedup._keyed(plain), found.select(F.col("doc_id").alias("d"), F.col("mark").alias("m")))
+    assert [r.doc_id for r in perhaps.filter("perhaps").collect()] == [2]  # texts of no others are shuffled
+
+
 # Tokens ----------------------------------------------------------------------
 
 
