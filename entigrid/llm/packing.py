@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from entigrid.llm.common import free_name, stored
-from entigrid.llm.tokens import END_ID, VOCABULARY, worker_encoder
+from entigrid.llm.tokens import END_ID, VOCABULARY, encoded, worker_encoder
 
 CAPACITY = 1024
 GAP = 0.005
@@ -40,9 +40,9 @@ def _cut(batches: Iterator[pa.RecordBatch], vocabulary: str, capacity: int, with
     names = [c.split()[0] for c in _PIECES.split(", ")]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     encoder = worker_encoder(vocabulary)
-    for batch in batches:
+    for batch, texts in encoded(batches, encoder):
         rows = []
-        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), texts):
             ids += _END
             n = len(ids) // 4
             first = n % capacity or capacity

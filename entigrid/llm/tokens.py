@@ -1,8 +1,9 @@
 """Token ids of whole texts, by a public byte-level BPE vocabulary and the tokenizers library.
 
-A byte-level BPE never merges over a space that is followed by a visible character, so a text
-is cut there and the ids of a piece are remembered. The pieces that a batch brings for the
-first time go through the library in one call; all others are looked up.
+A byte-level BPE never merges over a space that is followed by a visible character, nor over a
+line end between two of them, so a text is cut there and the ids of a piece are remembered. Texts
+are cut, and their different pieces told, in Arrow; each is looked up once for a batch. The words
+that a batch brings for the first time go through the library in one call.
 """
 
 from __future__ import annotations
@@ -10,22 +11,28 @@ from __future__ import annotations
 import gc
 import os
 import re
-from collections.abc import Iterable
+import string
+from collections.abc import Iterable, Iterator
 from functools import partial
-from itertools import compress
+from itertools import compress, islice
 from operator import is_
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from entigrid.llm.common import kept_by_worker
 
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 MEMORY_PIECES = 200_000
+ENCODED_BYTES = 6 << 20
 
-_BLANK_RUN = re.compile(r" (?=\s|$)")
+# Blanks that the library may take together (RE2): such texts are only cut where it surely doesn't.
+_BLANK = r"\s\pZ\x0b\x1c-\x1f\x{85}"
+_BLANK_RUN = rf"[ \n][{_BLANK}]| $|[{_BLANK}]\n"
 _CUT = re.compile(r" (?=\S)")
-_PUNCTUATION = ".,;:!?"
+_MARKS, _MARKS_KEPT = string.punctuation, 10_000
 _IS_NONE = partial(is_, None)
 
 
@@ -51,80 +58,150 @@ class TextEncoder:
         self._opens = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self._opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._single = {c: self._direct(c) for c in _PUNCTUATION}
+        self._marks = {"": b""}
+        self._line_end = self._direct("\n")
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         collecting = gc.isenabled()
         gc.disable()  # nothing below makes cycles, and millions of small objects are alive
         try:
-            return self._encode([self._pieces(text or "") for text in texts])
+            return self._encode([text or "" for text in texts])
         finally:
             if collecting:
                 gc.enable()
 
-    def _encode(self, cut: list[list[str]]) -> list[bytes]:
-        known, older = self._known, self._older
-        found = [list(map(known.get, pieces)) for pieces in cut]
-        new, open_texts = [], []
-        for i, (pieces, ids) in enumerate(zip(cut, found)):
-            if None in ids:
-                open_texts.append(i)
-                for piece in compress(pieces, map(_IS_NONE, ids)):
-                    if piece not in known:
-                        known[piece] = own = older.get(piece)  # what is met again stays with the young ones
-                        if own is None:
-                            new.append(piece)
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        column = pa.array(texts, pa.large_string())
+        blanks = pc.match_substring_regex(column, _BLANK_RUN)
+        odd = [run or self._is_whole(text) for run, text in zip(blanks.to_pylist(), texts)]
+        plain = iter(self._encode_plain(column.filter(pc.invert(pa.array(odd, pa.bool_())))))
+        cut = [self._pieces(text) for text in compress(texts, odd)]
+        pieces = list(dict.fromkeys(piece for own in cut for piece in own))
+        ids = dict(zip(pieces, self._ids(pieces)))
+        others = iter(cut)
+        return [b"".join(map(ids.__getitem__, next(others))) if apart else next(plain) for apart in odd]
+
+    def _encode_plain(self, column: pa.LargeStringArray) -> list[bytes]:
+        if not len(column):
+            return []
+        cut = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
+        starts = cut.offsets.to_numpy()
+        coded = cut.values.dictionary_encode()
+        place, words = coded.indices.to_numpy().copy(), coded.dictionary
+        # a text's first piece has no space before it, nor has one after a line end
+        lined = pc.starts_with(words, "\n")
+        rest = pa.concat_arrays([pc.if_else(lined, pc.utf8_slice_codeunits(words, 1), words), cut.values.take(pa.array(starts[:-1]))])
+        place[starts[:-1]] = np.arange(len(words), len(rest))
+        bare = np.concatenate([lined.to_numpy(zero_copy_only=False), np.ones(len(rest) - len(words), dtype=bool)])
+        # letters and the marks after them are never merged
+        stem = pc.utf8_rtrim(rest, characters=_MARKS)
+        stem = pc.if_else(pc.utf8_is_alpha(stem), stem, rest)
+        lead = pc.if_else(pa.array(bare), "\0", "").cast(pa.large_string())
+        keys = pc.binary_join_element_wise(lead, stem, pa.scalar("", pa.large_string())).dictionary_encode()
+        ids = pa.array(self._ids(_strings(keys.dictionary)), pa.large_binary()).take(keys.indices)
+        marked = np.flatnonzero(pc.not_equal(pc.binary_length(rest), pc.binary_length(stem)).to_numpy(zero_copy_only=False))
+        which = np.zeros(len(rest), dtype=np.int64)
+        ends = [a[len(b) :] for a, b in zip(_strings(rest.take(pa.array(marked))), _strings(stem.take(pa.array(marked))))]
+        marks = {end: i for i, end in enumerate(dict.fromkeys(["", *ends]))}
+        which[marked] = list(map(marks.__getitem__, ends))
+        before = pa.array([b"", self._line_end], pa.large_binary()).take(lined.cast(pa.int8()))
+        before = pa.concat_arrays([before, pa.array([b""] * (len(rest) - len(words)), pa.large_binary())])
+        after = pa.array(list(map(self._marked, marks)), pa.large_binary()).take(pa.array(which))
+        flat = pc.binary_join_element_wise(before, ids, after, pa.scalar(b"", pa.large_binary())).take(pa.array(place))
+        bounds = np.frombuffer(flat.buffers()[1], dtype=np.int64)[starts + flat.offset].tolist()
+        raw = memoryview(flat.buffers()[2] or b"")
+        return [raw[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+
+    def _ids(self, keys: list[str]) -> list[bytes]:
+        """The ids of different keys: pieces with a space before them, or after a NUL without it."""
+        known, older, new = self._known, self._older, []
+        found = list(map(known.get, keys))
+        holes = list(compress(range(len(keys)), map(_IS_NONE, found)))
+        for i in holes:
+            if own := older.get(keys[i]):
+                known[keys[i]] = own  # what is met again stays with the young ones
+            else:
+                new.append(keys[i])
         self._learn(new)
-        for i in open_texts:
-            found[i] = list(map(known.__getitem__, cut[i]))
+        for i in holes:
+            found[i] = known[keys[i]]
         if len(known) > self._memory_pieces:
             self._known, self._older = {}, known
-        return [b"".join(ids) for ids in found]
+        return found
 
     def _direct(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _pieces(self, text: str) -> list[str]:
-        """The text's pieces; every piece but the first stands for itself with a space before it.
+    def _is_whole(self, text: str) -> bool:
+        return "\0" in text or any(s in text for s in self._special)
 
-        The first piece is marked by a leading NUL, so that it differs from a later one.
-        """
-        if "\0" in text or any(s in text for s in self._special):
+    def _pieces(self, text: str) -> list[str]:
+        """The keys of an odd text's pieces, the first of which has no space before it."""
+        if self._is_whole(text):
             return ["\0" + text]
-        if _BLANK_RUN.search(text):
-            pieces = _CUT.split(text)
-        else:
-            pieces = text.split(" ")
+        pieces = _CUT.split(text)
         pieces[0] = "\0" + pieces[0]
         return pieces
 
-    def _learn(self, pieces: list[str]) -> None:
-        known, tails, plain = self._known, [], {}  # the pieces stand in ``known`` without ids
-        for piece in pieces:
-            if piece[0] == "\0":
-                known[piece] = self._direct(piece[1:])
-            elif piece.isalpha():
-                plain[piece] = None
-            elif piece[-1] in _PUNCTUATION and piece[:-1].isalpha():
-                # letters and the mark after them are never merged
-                tails.append(piece)
-                if known.get(piece[:-1]) is None:
-                    plain[piece[:-1]] = None
-            elif " " in piece or piece[0].isspace():
-                known[piece] = self._direct(" " + piece)
+    def _learn(self, keys: list[str]) -> None:
+        spaced, others, bare = list(filter(str.isalpha, keys)), [], []
+        for key in keys:
+            if key.isalpha():
+                continue
+            if key[:1] == "\0" and key[1:].isalpha():
+                bare.append(key)
+            elif key[:1] == "\0" or not key:
+                self._known[key] = self._direct(key[1:])
+            elif " " in key or key[0].isspace():
+                self._known[key] = self._direct(" " + key)
             else:
-                plain[piece] = None
-        if plain:
-            words = list(plain)
-            line = self._tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)
-            ids = np.array(line[0].ids, dtype="<u4")
-            starts = np.flatnonzero(self._opens[ids]) * 4
-            raw, ends = ids.tobytes(), [*starts[1:].tolist(), 4 * len(ids)]
-            for word, a, b in zip(words, starts.tolist(), ends, strict=True):
-                known[word] = raw[a:b]
-        for piece in tails:
-            known[piece] = known[piece[:-1]] + self._single[piece[-1]]
+                others.append(key)
+        for words in (spaced, others):
+            ids = self._line(" ".join(["", *words]))
+            self._keep(words, ids, np.flatnonzero(self._opens[ids]), 0)
+        if bare:
+            ids = self._line("\n".join(key[1:] for key in bare))
+            self._keep(bare, ids, np.concatenate([[0], np.flatnonzero(ids == np.frombuffer(self._line_end, "<u4")[0]) + 1]), 1)
+
+    def _line(self, line: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _keep(self, keys: list[str], ids: np.ndarray, starts: np.ndarray, between: int) -> None:
+        """Remember the keys' ids, which start so in a line's, with so many ids between them."""
+        raw, ends = ids.tobytes(), [*((starts[1:] - between) * 4).tolist(), 4 * len(ids)]
+        if keys:
+            self._known.update(zip(keys, [raw[a:b] for a, b in zip((starts * 4).tolist(), ends, strict=True)], strict=True))
+
+    def _marked(self, marks: str) -> bytes:
+        if marks not in self._marks:
+            if len(self._marks) >= _MARKS_KEPT:
+                self._marks = {"": b""}
+            self._marks[marks] = self._direct(marks)
+        return self._marks[marks]
+
+
+def _strings(column: pa.LargeStringArray) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def encoded(batches: Iterable[pa.RecordBatch], encoder: TextEncoder) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Each batch with the ids of its texts. Batches of some megabytes are encoded together, as
+    a piece that they share is then looked up once."""
+    held: list[pa.RecordBatch] = []
+
+    def done() -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+        ids = iter(encoder.encode([text for batch in held for text in batch.column("text").to_pylist()]))
+        for batch in held:
+            yield batch, list(islice(ids, batch.num_rows))
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= ENCODED_BYTES:
+            yield from done()
+            held = []
+    if held:
+        yield from done()
 
 
 def worker_encoder(vocabulary: str = VOCABULARY) -> TextEncoder:

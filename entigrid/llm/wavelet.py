@@ -26,10 +26,12 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from entigrid.llm.common import stored, text_of
 from entigrid.llm.id_order import id_stretches, order_key, stretch_of
-from entigrid.llm.tokens import END_ID, VOCABULARY, worker_encoder
+from entigrid.llm.tokens import END_ID, VOCABULARY, encoded, worker_encoder
 
 SHARD_TOKENS = 1 << 21
 BLOCK = 2048
+# Ids are dealt out so many at once: what that takes stays in the processor's cache and off the system.
+_AT_ONCE = 16_384
 _MAGIC = b"WVLT\x01"
 # ids, levels, documents, stretch of the doc_id order, shard within it, ids before it there
 _HEADER = struct.Struct("<QBQqqQ")
@@ -52,26 +54,45 @@ class WaveletMatrix:
     @classmethod
     def of(cls, ids: np.ndarray, levels: int) -> WaveletMatrix:
         planes, zeros, ones = [], [], []
-        now = ids
+        now, then, high = ids, np.empty_like(ids), np.empty_like(ids)
         for level in range(levels - 1, -1, -1):
-            bits = (now >> now.dtype.type(level)) & now.dtype.type(1) != 0
-            planes.append(np.packbits(bits, bitorder="little"))
-            ones.append(_ones(planes[-1]))
-            low = now[~bits]
-            zeros.append(len(low))
-            now = np.concatenate([low, now[bits]])
+            mask, plane = ids.dtype.type(1 << level), np.empty(-(-len(ids) // 8), dtype=np.uint8)
+            n_low = n_high = 0
+            for at in range(0, len(ids), _AT_ONCE):
+                part = now[at : at + _AT_ONCE]
+                bits = (part & mask) != 0
+                packed = np.packbits(bits, bitorder="little")
+                plane[at // 8 : at // 8 + len(packed)] = packed
+                own = np.flatnonzero(bits)
+                high[n_high : n_high + len(own)] = part.take(own)
+                n_high += len(own)
+                own = np.flatnonzero(~bits)
+                then[n_low : n_low + len(own)] = part.take(own)
+                n_low += len(own)
+            then[n_low:] = high[:n_high]
+            planes.append(plane)
+            ones.append(_ones(plane))
+            zeros.append(n_low)
+            now, then = then, (np.empty_like(ids) if now is ids else now)
         return cls(len(ids), planes, zeros, ones)
 
     def all(self) -> np.ndarray:
         """All ids, from the lowest plane up."""
-        values = np.zeros(self.n, dtype=np.uint32)
+        values = np.zeros(self.n, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
+        above = np.empty_like(values)
         for level, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
-            bits = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
-            above = np.empty_like(values)
-            above[~bits] = values[:zeros]
-            above[bits] = values[zeros:] | np.uint32(1 << level)
-            values = above
-        return values
+            mask, low, high = values.dtype.type(1 << level), 0, zeros
+            for at in range(0, self.n, _AT_ONCE):
+                part = above[at : at + _AT_ONCE]
+                bits = np.unpackbits(plane[at // 8 : (at + _AT_ONCE) // 8], count=len(part), bitorder="little").view(bool)
+                own = np.flatnonzero(bits)
+                part[own] = values[high : high + len(own)] | mask
+                high += len(own)
+                own = np.flatnonzero(~bits)
+                part[own] = values[low : low + len(own)]
+                low += len(own)
+            values, above = above, values
+        return values.astype(np.uint32, copy=False)
 
     def _bit(self, level: int, i: int) -> int:
         return int(self.planes[level][i >> 3] >> (i & 7)) & 1
@@ -185,8 +206,8 @@ def _shards(batches: Iterator[pa.RecordBatch], vocabulary: str, shard_tokens: in
     def file() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([to_bytes(held, stretch, shard, before, levels)], pa.binary())], ["value"])
 
-    for batch in batches:
-        for doc_id, own, ids in zip(batch.column("doc_id").to_pylist(), batch.column("stretch").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
+    for batch, texts in encoded(batches, encoder):
+        for doc_id, own, ids in zip(batch.column("doc_id").to_pylist(), batch.column("stretch").to_pylist(), texts):
             if held and (own != stretch or size >= shard_tokens):
                 yield file()
                 shard, before, held, size = shard + 1, before + size, [], 0

@@ -3,10 +3,12 @@
 import gzip
 import hashlib
 import io
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -85,6 +87,50 @@ def test_encoder_equals_the_library():
             assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_encoder_equals_the_library_on_mixed_texts():
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rnd = np.random.default_rng(5)
+    parts = ["a", "the", "Word", "é", "ß", " ", " ", "\n", "\n", ".", ",", "'", "'s", "&&&", "12", "²", "\t", "\u00a0", "\u3000", "\x85", "🎉", "\u0301", "中文", "_"]
+    small = tokens.TextEncoder(memory_pieces=20)
+    for encoder in (tokens.TextEncoder(), small):
+        for n in (0, 1, 300, 300):
+            texts = ["".join(rnd.choice(parts, rnd.integers(0, 12))) for _ in range(n)]
+            got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+            assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_at_line_ends_and_marks_are_learned_once():
+    class Counted:
+        def __init__(self, library):
+            self.library, self.sent = library, 0
+
+        def encode(self, text, **options):
+            self.sent += len(text)
+            return self.library.encode(text, **options)
+
+        def encode_batch_fast(self, texts, **options):
+            self.sent += sum(map(len, texts))
+            return self.library.encode_batch_fast(texts, **options)
+
+    encoder = tokens.TextEncoder()
+    encoder._tokenizer = counted = Counted(encoder._tokenizer)
+    words = [f"{a}{b}ing" for a in ("st", "br", "cl", "dr", "fl") for b in ("am", "eb", "il", "or")]
+    for a in words:  # any two words meet at the end of a line
+        encoder.encode([f"The {a}{mark}\n{b} is." for b in words for mark in (".", "!!", ",")])
+    assert counted.sent < 2 * sum(len(w) + 1 for w in words) + 100  # with and without a space before
+
+
+def test_batches_are_encoded_together_in_their_order():
+    texts = [f"text {i} of some\nwords" for i in range(50)]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[a : a + 7]}) for a in range(0, 50, 7)]
+    encoder, got = tokens.TextEncoder(), []
+    for batch, ids in tokens.encoded(iter(batches), encoder):
+        assert len(ids) == batch.num_rows
+        got += ids
+    assert got == tokens.TextEncoder().encode(texts)
+    assert list(tokens.encoded(iter([]), encoder)) == []
+
+
 # 1 WARC ----------------------------------------------------------------------
 
 
@@ -494,6 +540,23 @@ def test_wavelet_matrix():
     assert wavelet.WaveletMatrix.of(ids[:0], 16).all().tolist() == []
 
 
+def test_wavelet_matrix_takes_little_memory():
+    rnd, step = np.random.default_rng(2), wavelet._AT_ONCE
+    for n in (1, 7, step - 1, step, step + 1, 3 * step + 9):
+        for levels, kind in ((16, np.uint16), (18, np.uint32)):
+            ids = rnd.integers(0, 1 << levels, n).astype(kind)
+            kept = ids.copy()
+            matrix = wavelet.WaveletMatrix.of(ids, levels)
+            assert (matrix.all() == kept).all() and (ids == kept).all() and matrix.access(n - 1) == kept[-1]
+    ids = rnd.integers(0, 1 << 16, 1 << 20).astype(np.uint16)
+    matrix = wavelet.WaveletMatrix.of(ids, 16)
+    tracemalloc.start()
+    matrix.all()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 9 * len(ids)  # the ids read, and two rows of 16 bits
+
+
 def test_shard_files_round_trip(spark, docs, nothing):
     path = wavelet.write_shards(docs, scratch_path(spark, "wavelet"), shard_tokens=300)
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
