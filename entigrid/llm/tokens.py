@@ -15,18 +15,20 @@ import string
 from collections.abc import Iterable, Iterator
 from functools import partial
 from itertools import compress, islice
-from operator import is_
+from operator import is_, not_
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from entigrid.llm.common import kept_by_worker
+from entigrid.llm.common import give_back, kept_by_worker
 
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 MEMORY_PIECES = 200_000
 ENCODED_BYTES = 6 << 20
+# Words in one call of the library, which takes some hundred bytes for each while it works.
+LEARNED_AT_ONCE = 8_192
 
 # Blanks that the library may take together (RE2): such texts are only cut where it surely doesn't.
 _BLANK = r"\s\pZ\x0b\x1c-\x1f\x{85}"
@@ -69,6 +71,7 @@ class TextEncoder:
         finally:
             if collecting:
                 gc.enable()
+            give_back()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         column = pa.array(texts, pa.large_string())
@@ -114,17 +117,12 @@ class TextEncoder:
 
     def _ids(self, keys: list[str]) -> list[bytes]:
         """The ids of different keys: pieces with a space before them, or after a NUL without it."""
-        known, older, new = self._known, self._older, []
-        found = list(map(known.get, keys))
-        holes = list(compress(range(len(keys)), map(_IS_NONE, found)))
-        for i in holes:
-            if own := older.get(keys[i]):
-                known[keys[i]] = own  # what is met again stays with the young ones
-            else:
-                new.append(keys[i])
-        self._learn(new)
-        for i in holes:
-            found[i] = known[keys[i]]
+        known, older = self._known, self._older
+        missed = list(compress(keys, map(_IS_NONE, map(known.get, keys))))
+        met = list(map(older.get, missed))
+        known.update(zip(missed, met))  # what is met again stays with the young ones; None: to be learned
+        self._learn(list(compress(missed, map(_IS_NONE, met))))
+        found = list(map(known.__getitem__, keys))
         if len(known) > self._memory_pieces:
             self._known, self._older = {}, known
         return found
@@ -145,10 +143,9 @@ class TextEncoder:
         return pieces
 
     def _learn(self, keys: list[str]) -> None:
-        spaced, others, bare = list(filter(str.isalpha, keys)), [], []
-        for key in keys:
-            if key.isalpha():
-                continue
+        letters = list(map(str.isalpha, keys))
+        spaced, others, bare = list(compress(keys, letters)), [], []
+        for key in compress(keys, map(not_, letters)):
             if key[:1] == "\0" and key[1:].isalpha():
                 bare.append(key)
             elif key[:1] == "\0" or not key:
@@ -157,12 +154,14 @@ class TextEncoder:
                 self._known[key] = self._direct(" " + key)
             else:
                 others.append(key)
-        for words in (spaced, others):
-            ids = self._line(" ".join(["", *words]))
-            self._keep(words, ids, np.flatnonzero(self._opens[ids]), 0)
-        if bare:
-            ids = self._line("\n".join(key[1:] for key in bare))
-            self._keep(bare, ids, np.concatenate([[0], np.flatnonzero(ids == np.frombuffer(self._line_end, "<u4")[0]) + 1]), 1)
+        for words in (spaced, others, bare):
+            for own in (words[i : i + LEARNED_AT_ONCE] for i in range(0, len(words), LEARNED_AT_ONCE)):
+                if words is bare:
+                    ids = self._line("\n".join(key[1:] for key in own))
+                    self._keep(own, ids, np.concatenate([[0], np.flatnonzero(ids == np.frombuffer(self._line_end, "<u4")[0]) + 1]), 1)
+                else:
+                    ids = self._line(" ".join(["", *own]))
+                    self._keep(own, ids, np.flatnonzero(self._opens[ids]), 0)
 
     def _line(self, line: str) -> np.ndarray:
         return np.array(self._tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -204,6 +203,6 @@ def encoded(batches: Iterable[pa.RecordBatch], encoder: TextEncoder) -> Iterator
         yield from done()
 
 
-def worker_encoder(vocabulary: str = VOCABULARY) -> TextEncoder:
+def worker_encoder(vocabulary: str = VOCABULARY, memory_pieces: int = MEMORY_PIECES) -> TextEncoder:
     """The encoder of this worker process, kept between batches and tasks."""
-    return kept_by_worker("tokens", vocabulary, lambda: TextEncoder(vocabulary))
+    return kept_by_worker("tokens", (vocabulary, memory_pieces), lambda: TextEncoder(vocabulary, memory_pieces))

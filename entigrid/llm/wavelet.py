@@ -30,6 +30,8 @@ from entigrid.llm.tokens import END_ID, VOCABULARY, encoded, worker_encoder
 
 SHARD_TOKENS = 1 << 21
 BLOCK = 2048
+# Pieces that a worker remembers here, where no other operator's memory stands beside it.
+MEMORY_PIECES = 400_000
 # Ids are dealt out so many at once: what that takes stays in the processor's cache and off the system.
 _AT_ONCE = 16_384
 _MAGIC = b"WVLT\x01"
@@ -199,7 +201,7 @@ class Shard:
 
 
 def _shards(batches: Iterator[pa.RecordBatch], vocabulary: str, shard_tokens: int, levels: int) -> Iterator[pa.RecordBatch]:
-    encoder = worker_encoder(vocabulary)
+    encoder = worker_encoder(vocabulary, MEMORY_PIECES)
     held: list[tuple[int | None, bytes]] = []
     stretch, shard, before, size = None, 0, 0, 0
 

@@ -3,8 +3,12 @@
 import gzip
 import hashlib
 import io
+import os
+import subprocess
+import sys
 import tracemalloc
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -644,3 +648,38 @@ def test_parts_of_equal_documents_fit_their_limit(spark):
     found = sharding.assigned(spark.read.parquet(path), limit=3000)
     sizes = found.groupBy("shard", "part").agg(F.sum("bytes").alias("bytes")).collect()
     assert max(r.bytes for r in sizes) <= 3000 and sum(r.bytes for r in sizes) == 50_010
+
+
+def test_new_words_go_to_the_library_some_at_a_time(monkeypatch):
+    monkeypatch.setattr(tokens, "LEARNED_AT_ONCE", 7, raising=False)
+    letters = [f"{a}{b}" for a in "abcdefgh" for b in "klmnop"]
+    texts = [" ".join(letters), " ".join(f"{w}{i}" for i, w in enumerate(letters)), "\n".join(w.upper() for w in letters), "", "a", "\n"]
+    encoder, lines = tokens.TextEncoder(memory_pieces=20), []
+    plain = encoder._line
+    encoder._line = lambda line: lines.append(line) or plain(line)
+    assert encoder.encode(texts) == [encoder._direct(t) for t in texts]
+    assert encoder.encode(texts) == [encoder._direct(t) for t in texts]
+    assert max(len(line.split()) for line in lines) <= 7
+
+
+_DROPPED = """
+import re
+from entigrid.llm.common import kept_by_worker
+
+def anonymous():
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"Anonymous:\\s+(\\d+)", f.read())[1]) // 1024
+
+blocks = [bytes([i % 256]) * 1000 for i in range(60_000)]
+last = blocks[-1]  # above the others, so they aren't at the end of the heap when they are freed
+kept_by_worker("one", 1, lambda: blocks)
+del blocks
+held = anonymous()
+kept_by_worker("two", 1, list)
+print(held - anonymous())
+"""
+
+
+def test_what_a_worker_drops_goes_back_to_the_system():
+    run = subprocess.run([sys.executable, "-c", _DROPPED], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2], env=os.environ | common.WORKER_MEMORY)
+    assert int(run.stdout) >= 40
