@@ -29,6 +29,9 @@ from entigrid.llm.tokens import END_ID, VOCABULARY, encoded, worker_encoder
 
 CAPACITY = 1024
 GAP = 0.005
+# As the last of the pipeline's stages it runs in executors whose heaps have grown to their limit:
+# what a worker remembers and encodes at once is half of the encoder's own settings.
+MEMORY_PIECES, ENCODED_BYTES = 100_000, 3 << 20
 #: The power of the prices at first, and up to which it grows fast; steps between knapsacks; the
 #: part of the pieces that new configurations start with.
 SHARP, STEPS, NEW_SHARE = (8.0, 60.0), 100, 0.05
@@ -39,8 +42,8 @@ _END = END_ID.to_bytes(4, "little")
 def _cut(batches: Iterator[pa.RecordBatch], vocabulary: str, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in _PIECES.split(", ")]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    encoder = worker_encoder(vocabulary)
-    for batch, texts in encoded(batches, encoder):
+    encoder = worker_encoder(vocabulary, MEMORY_PIECES)
+    for batch, texts in encoded(batches, encoder, ENCODED_BYTES):
         rows = []
         for doc_id, ids in zip(batch.column("doc_id").to_pylist(), texts):
             ids += _END

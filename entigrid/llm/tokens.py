@@ -184,7 +184,7 @@ def _strings(column: pa.LargeStringArray) -> list[str]:
     return column.to_numpy(zero_copy_only=False).tolist()
 
 
-def encoded(batches: Iterable[pa.RecordBatch], encoder: TextEncoder) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def encoded(batches: Iterable[pa.RecordBatch], encoder: TextEncoder, at_once: int = ENCODED_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Each batch with the ids of its texts. Batches of some megabytes are encoded together, as
     a piece that they share is then looked up once."""
     held: list[pa.RecordBatch] = []
@@ -196,7 +196,7 @@ def encoded(batches: Iterable[pa.RecordBatch], encoder: TextEncoder) -> Iterator
 
     for batch in batches:
         held.append(batch)
-        if sum(b.nbytes for b in held) >= ENCODED_BYTES:
+        if sum(b.nbytes for b in held) >= at_once:
             yield from done()
             held = []
     if held:
