@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from entigrid.llm.common import small, stored, text_of
+from entigrid.llm.common import packed, small, stored, text_of, unpacked
 from entigrid.llm.id_order import id_stretches, order_key, stretch_of
 from entigrid.llm.overlaps import class_components
 from entigrid.llm.shingles import set_ids, shingle_sets
@@ -107,9 +107,10 @@ def compared_with_edits(docs: DataFrame, k: int = K) -> DataFrame:
     first after the last.
 
     The documents are dealt out in stretches of doc_id; the first document of each also goes, as
-    a guard, to the end of the stretch before it. So texts are shuffled once.
+    a guard, to the end of the stretch before it. So texts are shuffled once, and compressed; they
+    are sorted as plain texts.
     """
-    docs = docs.select("doc_id", text_of().alias("text"), order_key().alias("key"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), order_key().alias("key"))
     bounds = id_stretches(docs)
     stretch = stretch_of(bounds)
     # in descending order a stretch's first document guards the next larger stretch; the largest
@@ -124,9 +125,9 @@ def compared_with_edits(docs: DataFrame, k: int = K) -> DataFrame:
             F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("stretch"), F.lit(True).alias("guard"))),
         )
     )
-    docs = docs.join(small(guards), "key", "left")
-    dealt = docs.select("doc_id", "text", "key", F.explode(both).alias("to")).select("doc_id", "text", "key", "to.stretch", "to.guard")
-    ordered = dealt.repartition("stretch").sortWithinPartitions("stretch", "guard", F.desc("key"), "text")
+    docs = packed(docs, "text").join(small(guards), "key", "left")
+    dealt = docs.withColumn("to", F.explode(both)).select("doc_id", "text", "size", "key", "to.stretch", "to.guard")
+    ordered = unpacked(dealt.repartition("stretch"), "text").sortWithinPartitions("stretch", "guard", F.desc("key"), "text")
     return ordered.select("doc_id", "text", "stretch", "guard").mapInArrow(lambda it: _compare(it, k), _EDITED)
 
 

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from entigrid.llm.common import small, stored
+from entigrid.llm.common import few, packed, stored, text_of, unpacked
 from entigrid.llm.components import connected_components
 from entigrid.llm.shingles import set_ids, shingle_sets
 
@@ -58,10 +58,15 @@ def _segments(batches: Iterator[pa.RecordBatch], k: int, fragments: int) -> Iter
 
 
 def segments(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int, fragments: int) -> DataFrame:
-    """(cls, frag, items) of the wanted classes; their sets are made again from one text of each."""
+    """(cls, frag, items) of the wanted classes; their sets are made again from one text of each.
+    Texts that have to be shuffled for that, as the classes are many, are shuffled compressed."""
     chosen = classes.join(wanted, "cls", "left_semi").select("rep", "cls")
     same = F.col("doc_id").eqNullSafe(F.col("rep"))
-    texts = docs.select("doc_id", "text").join(small(chosen), same).select("cls", "text")
+    if few(chosen):
+        texts = docs.select("doc_id", "text").join(F.broadcast(chosen), same).select("cls", "text")
+    else:
+        texts = packed(docs.select("doc_id", text_of().alias("text")), "text").join(chosen, same).select("cls", "text", "size")
+        texts = unpacked(texts, "text")
     return stored(texts.mapInArrow(lambda it: _segments(it, k, fragments), SEGMENT_TYPE), "segments")
 
 
@@ -154,7 +159,9 @@ def class_components(
         "pairs",
     )
     ends = lambda p: p.select(F.col("a").alias("cls")).union(p.select(F.col("b").alias("cls"))).distinct()
-    links = _verified(first, segments(docs, classes, ends(first), k, fragments), percent, fragments)
+    # without an order the remaining classes need theirs too, so all classes' are made, once
+    parts = segments(docs, classes, ends(first) if ordered else postings.select("cls").distinct(), k, fragments)
+    links = _verified(first, parts, percent, fragments)
     found = connected_components(links)
 
     def mixed(postings: DataFrame) -> DataFrame:
@@ -173,10 +180,9 @@ def class_components(
         )
         return placed.join(main, "key")
 
-    inside, parts = mixed(postings), None
+    inside = mixed(postings)
     if not ordered:
-        parts = segments(docs, classes, inside.select("cls").distinct(), k, fragments)
-        inside = mixed(_rarest(parts, classes, percent))
+        inside = mixed(_rarest(parts.join(inside.select("cls").distinct(), "cls", "left_semi"), classes, percent))
     rest = (
         inside.filter("component != main").alias("x")
         .join(inside.alias("y"), "key")
@@ -191,6 +197,6 @@ def class_components(
     rest = stored(rest.join(first, ["a", "b"], "left_anti"), "pairs")
     if rest.isEmpty():
         return found
-    parts = parts if parts is not None else segments(docs, classes, ends(rest), k, fragments)
+    parts = segments(docs, classes, ends(rest), k, fragments) if ordered else parts
     more = _verified(rest, parts, percent, fragments)
     return connected_components(links.union(more))

@@ -6,6 +6,8 @@ import io
 import os
 import subprocess
 import sys
+import tempfile
+import time
 import tracemalloc
 import zlib
 from pathlib import Path
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from entigrid.llm import (
-    common, components, decontaminate, jaccard_join, minhash, packing, secret_scan, sharding, substring_dedup, tokens, toxicity, warc, wavelet,
+    common, components, decontaminate, jaccard_join, minhash, overlaps, packing, secret_scan, sharding, substring_dedup, tokens, toxicity, warc, wavelet,
 )
 from entigrid.llm.common import prepare
 from entigrid.llm.shingles import shingle_sets
@@ -232,6 +234,78 @@ def test_near_duplicates_by_bands(docs):
     assert 0 in ids and 5 in ids
 
 
+# What op2_minhash keeps on disk ------------------------------------------------
+
+
+def _shuffle_files():
+    top = Path(os.environ.get("SPARK_LOCAL_DIRS", tempfile.gettempdir()))
+    return {str(f) for f in top.glob("blockmgr-*/*/shuffle_*.data")}
+
+
+def test_stored_rows_leave_no_shuffle_files(spark):
+    prepare(spark)
+    counted = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).agg(F.count("*").alias("n"))
+    before = spark.conf.get(common._SHUFFLES_END_WITH_JOB)
+    old = _shuffle_files()
+    kept = common.stored(counted, "counted")
+    left = _shuffle_files() - old
+    for _ in range(50):
+        if not (left := _shuffle_files() - old):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(common._SHUFFLES_END_WITH_JOB) == before
+    # the plan that was stored, and the stored rows, can be read again
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, counted.collect())) == [(i, 100) for i in range(10)]
+    counted.collect()
+    assert _shuffle_files() - old  # files of other jobs are where this test looks
+
+
+def test_packed_texts(spark):
+    texts = ["", "é🎉 nul \0", "plain words " * 50, *["a" * (3 << 20)] * 5, "b" * (12 << 20), "end"]
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": [t.encode() for t in texts]})
+    (small,) = common._packed(iter([rows]), "text")
+    assert small.nbytes < 100_000 and small.column("size").to_pylist() == [len(t.encode()) for t in texts]
+    parts = list(common._unpacked(iter([small]), "text"))
+    assert [v.decode() for b in parts for v in b.column("text").to_pylist()] == texts
+    assert all(b.num_rows == 1 or b.column("text").nbytes <= common.BATCH_BYTES + 1000 for b in parts)
+    assert pa.Table.from_batches(parts).column("doc_id").to_pylist() == rows.column("doc_id").to_pylist()
+    df = table(spark, [(i, t) for i, t in enumerate(texts[:3])] + [(None, "x")])
+    there = common.packed(df, "text")
+    assert dict(there.dtypes) == {"doc_id": "bigint", "text": "binary", "size": "bigint"}
+    back = common.unpacked(there, "text")
+    assert back.schema.simpleString() == df.schema.simpleString() and sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_edited_neighbours_shuffle_packed_texts(spark):
+    """Rows of one doc_id follow each other by text, not by what their compressed texts are like."""
+    rng = np.random.default_rng(3)
+    texts = ["".join(chr(97 + c) for c in rng.integers(0, 4, n)) * 3 for n in rng.integers(1, 60, 40)]
+    rows = [(i % 3 if i % 4 else None, t) for i, t in enumerate(texts)]
+    ordered = sorted(rows, key=lambda r: (-(r[0] if r[0] is not None else -(1 << 63)), r[1]))
+    want = [(i, hashlib.sha256(minhash.edited(t, after).encode()).hexdigest()) for (i, t), (_, after) in zip(ordered, ordered[1:] + ordered[:1])]
+    found = minhash.compared_with_edits(table(spark, rows))
+    assert sorted(map(tuple, found.select("doc_id", "edited_sha256").collect()), key=str) == sorted(want, key=str)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    dealt = plan[plan.index("RepartitionByExpression") :]
+    assert dealt.count("MapInArrow") == 1  # below the shuffle texts are packed
+
+
+@pytest.mark.parametrize("rows", [0, 200_000])
+def test_texts_of_the_classes_are_read_once(spark, monkeypatch, rows):
+    """One set of segments serves both searches, whether texts are shuffled for it or not."""
+    words = [f"u{i}" for i in range(300)]
+    texts = [" ".join(words[:i] + [f"x{i}"] + words[i + 1 :]) for i in range(0, 200, 20)] + [" ".join(words), None, "", "other words"]
+    path = scratch_path(spark, "near")
+    table(spark, [(i, t) for i, t in enumerate(texts)]).write.parquet(path)
+    names = []
+    monkeypatch.setattr(overlaps, "stored", lambda df, name: names.append(name) or common.stored(df, name))
+    monkeypatch.setattr(common, "BROADCAST_ROWS", rows)
+    found = minhash.near_duplicates(spark.read.parquet(path)).collect()
+    assert {r.cluster_id for r in found} == {0} and len(found) == 11
+    assert names.count("segments") == 1
+
+
 # 3 Secrets -------------------------------------------------------------------
 
 
