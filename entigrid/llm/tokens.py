@@ -3,19 +3,21 @@
 A byte-level BPE never merges over a space that is followed by a visible character, nor over a
 line end between two of them, so a text is cut there and the ids of a piece are remembered. Texts
 are cut, and their different pieces told, in Arrow; each is looked up once for a batch. The words
-that a batch brings for the first time go through the library in one call.
+that a batch brings for the first time go through the library in few calls: words of letters, which
+its own cutting leaves whole, straight to its model, some in a line, the others through all of it.
 """
 
 from __future__ import annotations
 
+import codecs
 import gc
 import os
 import re
 import string
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial
-from itertools import compress, islice
-from operator import is_, not_
+from itertools import chain, compress, islice
+from operator import attrgetter, is_, not_
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ MEMORY_PIECES = 200_000
 ENCODED_BYTES = 6 << 20
 # Words in one call of the library, which takes some hundred bytes for each while it works.
 LEARNED_AT_ONCE = 8_192
+# Words in one line for the model: a call for each costs more, and so does finding merges in a long one.
+WORDS_A_LINE = 32
 
 # Blanks that the library may take together (RE2): such texts are only cut where it surely doesn't.
 _BLANK = r"\s\pZ\x0b\x1c-\x1f\x{85}"
@@ -36,6 +40,21 @@ _BLANK_RUN = rf"[ \n][{_BLANK}]| $|[{_BLANK}]\n"
 _CUT = re.compile(r" (?=\S)")
 _MARKS, _MARKS_KEPT = string.punctuation, 10_000
 _IS_NONE = partial(is_, None)
+_ID = attrgetter("id")
+
+
+def _byte_letters() -> str:
+    """What a byte-level BPE writes for each byte: printable ones stay, the others go from U+0100 on."""
+    kept = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    moved = iter(range(0x100, 0x200))
+    return "".join(chr(b if b in kept else next(moved)) for b in range(0x100))
+
+
+_BYTES = _byte_letters()
+
+
+def _byte_level(text: str) -> str:
+    return codecs.charmap_decode(text.encode(), "strict", _BYTES)[0]
 
 
 class TextEncoder:
@@ -50,9 +69,18 @@ class TextEncoder:
         # one core per task: Spark runs as many tasks as there are cores
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models
 
         self._tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+        self._model = model = self._tokenizer.model
+        self._cutting = self._tokenizer.pre_tokenizer
+        # whether a word's ids hang on its own merges alone
+        self._merges = isinstance(model, models.BPE) and self._cutting is not None and self._tokenizer.normalizer is None and not (
+            model.ignore_merges or model.dropout or model.continuing_subword_prefix or model.end_of_word_suffix
+        )
+        # characters that the library takes for letters, and others that Python does
+        self._letters: set[str] = set()
+        self._strange: set[str] = set()
         self._memory_pieces = memory_pieces
         self._known: dict[str, bytes | None] = {}
         self._older: dict[str, bytes] = {}
@@ -154,14 +182,43 @@ class TextEncoder:
                 self._known[key] = self._direct(" " + key)
             else:
                 others.append(key)
-        for words in (spaced, others, bare):
-            for own in (words[i : i + LEARNED_AT_ONCE] for i in range(0, len(words), LEARNED_AT_ONCE)):
-                if words is bare:
-                    ids = self._line("\n".join(key[1:] for key in own))
-                    self._keep(own, ids, np.concatenate([[0], np.flatnonzero(ids == np.frombuffer(self._line_end, "<u4")[0]) + 1]), 1)
-                else:
-                    ids = self._line(" ".join(["", *own]))
-                    self._keep(own, ids, np.flatnonzero(self._opens[ids]), 0)
+        for words, before, rest in ((spaced, " ", others), (bare, "\n", [])):
+            whole, cut = self._whole_words(words)
+            self._learn_words(whole, before, self._merged)
+            self._learn_words(cut + rest, before, self._joined)
+
+    def _whole_words(self, words: list[str]) -> tuple[list[str], list[str]]:
+        """Words of what the library takes for letters too, which it leaves whole, and the rest."""
+        if not self._merges:
+            return [], words
+        for c in set("".join(words)) - self._letters - self._strange - {"\0"}:
+            cut = self._cutting.pre_tokenize_str(f" a{c}a")
+            (self._letters if [piece for piece, _ in cut] == [_byte_level(f" a{c}a")] else self._strange).add(c)
+        whole = list(map(self._strange.isdisjoint, words))
+        return list(compress(words, whole)), list(compress(words, map(not_, whole)))
+
+    def _learn_words(self, keys: list[str], before: str, ids_of: Callable[[list[str], str], np.ndarray]) -> None:
+        """Learn words with a space before them, which is theirs, or a line end, which isn't."""
+        apart = int(before == "\n")
+        for own in (keys[i : i + LEARNED_AT_ONCE] for i in range(0, len(keys), LEARNED_AT_ONCE)):
+            words = [key[1:] for key in own] if apart else own
+            ids = ids_of(words, before)
+            if len(starts := self._starts(ids, apart)) != len(own):  # a merge took something of two words
+                ids = self._joined(words, before)
+                starts = self._starts(ids, apart)
+            self._keep(own, ids, starts, apart)
+
+    def _starts(self, ids: np.ndarray, apart: int) -> np.ndarray:
+        return np.flatnonzero(ids == np.frombuffer(self._line_end, "<u4")[0]) + 1 if apart else np.flatnonzero(self._opens[ids])
+
+    def _joined(self, words: list[str], before: str) -> np.ndarray:
+        return self._line("".join([before + word for word in words]))
+
+    def _merged(self, words: list[str], before: str) -> np.ndarray:
+        """The words' ids by the library's model alone. No merge reaches over a space or line end before letters."""
+        lines = (words[i : i + WORDS_A_LINE] for i in range(0, len(words), WORDS_A_LINE))
+        found = map(self._model.tokenize, (_byte_level(before + before.join(line)) for line in lines))
+        return np.fromiter(map(_ID, chain.from_iterable(found)), dtype="<u4")
 
     def _line(self, line: str) -> np.ndarray:
         return np.array(self._tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, dtype="<u4")

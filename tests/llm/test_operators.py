@@ -126,6 +126,56 @@ def test_words_at_line_ends_and_marks_are_learned_once():
     assert counted.sent < 2 * sum(len(w) + 1 for w in words) + 100  # with and without a space before
 
 
+def test_words_of_letters_go_straight_to_the_model():
+    class Counted:
+        def __init__(self, library):
+            self.library, self.sent = library, []
+
+        def encode(self, text, **options):
+            self.sent.append(text)
+            return self.library.encode(text, **options)
+
+        def encode_batch_fast(self, texts, **options):
+            self.sent += texts
+            return self.library.encode_batch_fast(texts, **options)
+
+    words = [f"{a}{b}{c}" for a in "stéßж中" for b in ("am", "ñi", "ö") for c in ("ing", "Ž", "ж")]
+    encoder = tokens.TextEncoder()
+    encoder._tokenizer = counted = Counted(library := encoder._tokenizer)
+    texts = [" ".join(words), "\n".join(words), "a1 b2 don't"]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counted.sent and not [t for t in counted.sent if any(w in t for w in words)]
+
+
+def test_words_that_the_model_may_not_get_go_through_the_library():
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["some words of letters", "other\nwords\nof letters", "żółw and żaba", "ż ż\nż"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+    class Merging:  # takes two tokens of each line together
+        def __init__(self, model):
+            self.model = model
+
+        def tokenize(self, line):
+            return self.model.tokenize(line)[1:]
+
+    merging, cutting, other = tokens.TextEncoder(), tokens.TextEncoder(), tokens.TextEncoder()
+    merging._model = Merging(merging._model)
+    cutting._strange = {"ż"}  # as a letter that only Python knows
+    cutting._model = None
+    other._merges, other._model = False, None
+    for encoder, own in ((merging, texts), (cutting, ["ż ż\nż"]), (other, texts)):
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(own)] == [w for t, w in zip(texts, want) if t in own]
+
+
+def test_every_letter_is_encoded_as_by_the_library():
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    texts = [f"a{c}a b{c} {c}\n{c}x" for c in letters[:1_000] + letters[1_000::37]]
+    got = [np.frombuffer(b, "<u4").tolist() for b in tokens.TextEncoder().encode(texts)]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_batches_are_encoded_together_in_their_order():
     texts = [f"text {i} of some\nwords" for i in range(50)]
     batches = [pa.RecordBatch.from_pydict({"text": texts[a : a + 7]}) for a in range(0, 50, 7)]
