@@ -15,9 +15,8 @@ import os
 import re
 import string
 from collections.abc import Callable, Iterable, Iterator
-from functools import partial
 from itertools import chain, compress, islice
-from operator import attrgetter, is_, not_
+from operator import attrgetter, not_
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,6 @@ _BLANK = r"\s\pZ\x0b\x1c-\x1f\x{85}"
 _BLANK_RUN = rf"[ \n][{_BLANK}]| $|[{_BLANK}]\n"
 _CUT = re.compile(r" (?=\S)")
 _MARKS, _MARKS_KEPT = string.punctuation, 10_000
-_IS_NONE = partial(is_, None)
 _ID = attrgetter("id")
 
 
@@ -60,9 +58,8 @@ def _byte_level(text: str) -> str:
 class TextEncoder:
     """Ids without special tokens, as little-endian unsigned 32-bit bytes.
 
-    A worker remembers pieces in two generations: those it meets are young; when there are more
-    than ``memory_pieces`` of them, they become the old ones, and the old ones that weren't met
-    since are forgotten. Null counts as the empty text.
+    A worker remembers the ``memory_pieces`` pieces that it met last, in Arrow: those of the last
+    call first, then those of the calls before. Null counts as the empty text.
     """
 
     def __init__(self, vocabulary: str = VOCABULARY, memory_pieces: int = MEMORY_PIECES):
@@ -82,8 +79,7 @@ class TextEncoder:
         self._letters: set[str] = set()
         self._strange: set[str] = set()
         self._memory_pieces = memory_pieces
-        self._known: dict[str, bytes | None] = {}
-        self._older: dict[str, bytes] = {}
+        self._known, self._known_ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
         vocab = self._tokenizer.get_vocab()
         self._opens = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self._opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
@@ -108,7 +104,7 @@ class TextEncoder:
         plain = iter(self._encode_plain(column.filter(pc.invert(pa.array(odd, pa.bool_())))))
         cut = [self._pieces(text) for text in compress(texts, odd)]
         pieces = list(dict.fromkeys(piece for own in cut for piece in own))
-        ids = dict(zip(pieces, self._ids(pieces)))
+        ids = dict(zip(pieces, self._ids(pa.array(pieces, pa.large_string())).to_pylist()))
         others = iter(cut)
         return [b"".join(map(ids.__getitem__, next(others))) if apart else next(plain) for apart in odd]
 
@@ -129,7 +125,7 @@ class TextEncoder:
         stem = pc.if_else(pc.utf8_is_alpha(stem), stem, rest)
         lead = pc.if_else(pa.array(bare), "\0", "").cast(pa.large_string())
         keys = pc.binary_join_element_wise(lead, stem, pa.scalar("", pa.large_string())).dictionary_encode()
-        ids = pa.array(self._ids(_strings(keys.dictionary)), pa.large_binary()).take(keys.indices)
+        ids = self._ids(keys.dictionary).take(keys.indices)
         marked = np.flatnonzero(pc.not_equal(pc.binary_length(rest), pc.binary_length(stem)).to_numpy(zero_copy_only=False))
         which = np.zeros(len(rest), dtype=np.int64)
         ends = [a[len(b) :] for a, b in zip(_strings(rest.take(pa.array(marked))), _strings(stem.take(pa.array(marked))))]
@@ -143,16 +139,20 @@ class TextEncoder:
         raw = memoryview(flat.buffers()[2] or b"")
         return [raw[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
 
-    def _ids(self, keys: list[str]) -> list[bytes]:
+    def _ids(self, keys: pa.LargeStringArray) -> pa.LargeBinaryArray:
         """The ids of different keys: pieces with a space before them, or after a NUL without it."""
-        known, older = self._known, self._older
-        missed = list(compress(keys, map(_IS_NONE, map(known.get, keys))))
-        met = list(map(older.get, missed))
-        known.update(zip(missed, met))  # what is met again stays with the young ones; None: to be learned
-        self._learn(list(compress(missed, map(_IS_NONE, met))))
-        found = list(map(known.__getitem__, keys))
-        if len(known) > self._memory_pieces:
-            self._known, self._older = {}, known
+        place = pc.index_in(keys, value_set=self._known)
+        new = pc.is_null(place)
+        learned = self._learn(_strings(keys.filter(new)))
+        place, new = place.fill_null(0).to_numpy().astype(np.int64), new.to_numpy(zero_copy_only=False)
+        unmet = np.ones(len(self._known), dtype=bool)
+        unmet[place[~new]] = False
+        place[new] = len(self._known) + np.arange(len(learned))
+        found = pa.concat_arrays([self._known_ids, learned]).take(pa.array(place))
+        kept = pa.array(np.flatnonzero(unmet)[: max(0, self._memory_pieces - len(keys))])
+        now = slice(0, self._memory_pieces)
+        self._known = pa.concat_arrays([keys[now], self._known.take(kept)])
+        self._known_ids = pa.concat_arrays([found[now], self._known_ids.take(kept)])
         return found
 
     def _direct(self, text: str) -> bytes:
@@ -170,35 +170,41 @@ class TextEncoder:
         pieces[0] = "\0" + pieces[0]
         return pieces
 
-    def _learn(self, keys: list[str]) -> None:
-        letters = list(map(str.isalpha, keys))
-        spaced, others, bare = list(compress(keys, letters)), [], []
-        for key in compress(keys, map(not_, letters)):
-            if key[:1] == "\0" and key[1:].isalpha():
-                bare.append(key)
-            elif key[:1] == "\0" or not key:
-                self._known[key] = self._direct(key[1:])
-            elif " " in key or key[0].isspace():
-                self._known[key] = self._direct(" " + key)
+    def _learn(self, keys: list[str]) -> pa.LargeBinaryArray:
+        letters, others, bare, direct = [], [], [], []
+        for i, (key, alone) in enumerate(zip(keys, map(str.isalpha, keys))):
+            if alone:
+                letters.append(i)
+            elif key[:1] == "\0" and key[1:].isalpha():
+                bare.append(i)
+            elif key[:1] == "\0" or not key or " " in key or key[0].isspace():
+                direct.append(i)
             else:
-                others.append(key)
-        for words, before, rest in ((spaced, " ", others), (bare, "\n", [])):
-            whole, cut = self._whole_words(words)
-            self._learn_words(whole, before, self._merged)
-            self._learn_words(cut + rest, before, self._joined)
-
-    def _whole_words(self, words: list[str]) -> tuple[list[str], list[str]]:
-        """Words of what the library takes for letters too, which it leaves whole, and the rest."""
+                others.append(i)
+        ids = [self._direct(key[1:] if key[:1] == "\0" or not key else " " + key) for key in map(keys.__getitem__, direct)]
+        places, found = direct, [pa.array(ids, pa.large_binary())]
+        for own, before, rest in ((letters, " ", others), (bare, "\n", [])):
+            whole, cut = self._whole_words(keys, own)
+            for at, ids_of in ((whole, self._merged), (cut + rest, self._joined)):
+                places = places + at
+                found += self._learned([keys[i] for i in at], before, ids_of)
+        order = np.empty(len(keys), dtype=np.int64)
+        order[places] = np.arange(len(keys))
+        return pa.concat_arrays(found).take(pa.array(order))
+
+    def _whole_words(self, keys: list[str], own: list[int]) -> tuple[list[int], list[int]]:
+        """Places of words of what the library takes for letters too, which it leaves whole, and of the rest."""
         if not self._merges:
-            return [], words
+            return [], own
+        words = list(map(keys.__getitem__, own))
         for c in set("".join(words)) - self._letters - self._strange - {"\0"}:
             cut = self._cutting.pre_tokenize_str(f" a{c}a")
             (self._letters if [piece for piece, _ in cut] == [_byte_level(f" a{c}a")] else self._strange).add(c)
         whole = list(map(self._strange.isdisjoint, words))
-        return list(compress(words, whole)), list(compress(words, map(not_, whole)))
+        return list(compress(own, whole)), list(compress(own, map(not_, whole)))
 
-    def _learn_words(self, keys: list[str], before: str, ids_of: Callable[[list[str], str], np.ndarray]) -> None:
-        """Learn words with a space before them, which is theirs, or a line end, which isn't."""
+    def _learned(self, keys: list[str], before: str, ids_of: Callable[[list[str], str], np.ndarray]) -> Iterator[pa.LargeBinaryArray]:
+        """The ids of words with a space before them, which is theirs, or a line end, which isn't."""
         apart = int(before == "\n")
         for own in (keys[i : i + LEARNED_AT_ONCE] for i in range(0, len(keys), LEARNED_AT_ONCE)):
             words = [key[1:] for key in own] if apart else own
@@ -206,7 +212,12 @@ class TextEncoder:
             if len(starts := self._starts(ids, apart)) != len(own):  # a merge took something of two words
                 ids = self._joined(words, before)
                 starts = self._starts(ids, apart)
-            self._keep(own, ids, starts, apart)
+            if len(starts) != len(own):
+                raise ValueError("words that the library takes together")
+            if apart:
+                ids, starts = np.delete(ids, starts - 1), starts - np.arange(1, len(own) + 1)
+            bounds = np.append(starts, len(ids)).astype(np.int64) * 4
+            yield pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(own), [None, pa.py_buffer(bounds), pa.py_buffer(ids)])
 
     def _starts(self, ids: np.ndarray, apart: int) -> np.ndarray:
         return np.flatnonzero(ids == np.frombuffer(self._line_end, "<u4")[0]) + 1 if apart else np.flatnonzero(self._opens[ids])
@@ -223,12 +234,6 @@ class TextEncoder:
     def _line(self, line: str) -> np.ndarray:
         return np.array(self._tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _keep(self, keys: list[str], ids: np.ndarray, starts: np.ndarray, between: int) -> None:
-        """Remember the keys' ids, which start so in a line's, with so many ids between them."""
-        raw, ends = ids.tobytes(), [*((starts[1:] - between) * 4).tolist(), 4 * len(ids)]
-        if keys:
-            self._known.update(zip(keys, [raw[a:b] for a, b in zip((starts * 4).tolist(), ends, strict=True)], strict=True))
-
     def _marked(self, marks: str) -> bytes:
         if marks not in self._marks:
             if len(self._marks) >= _MARKS_KEPT:

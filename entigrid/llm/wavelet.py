@@ -30,8 +30,8 @@ from entigrid.llm.tokens import END_ID, VOCABULARY, encoded, worker_encoder
 
 SHARD_TOKENS = 1 << 21
 BLOCK = 2048
-# Pieces that a worker remembers here, where no other operator's memory stands beside it.
-MEMORY_PIECES = 400_000
+# Pieces that a worker remembers: with more of them, looking up takes longer than learning some again.
+MEMORY_PIECES = 100_000
 # Ids are dealt out so many at once: what that takes stays in the processor's cache and off the system.
 _AT_ONCE = 16_384
 _MAGIC = b"WVLT\x01"

@@ -176,6 +176,17 @@ def test_every_letter_is_encoded_as_by_the_library():
     assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_pieces_met_last_are_remembered():
+    encoder, learned = tokens.TextEncoder(memory_pieces=4), []
+    plain = encoder._learn
+    encoder._learn = lambda keys: learned.extend(keys) or plain(keys)
+    for text in (" ab cd ef", " gh ab", " cd ij", " ef", " ab kl mn op qr", " ab kl mn"):
+        assert encoder.encode([text]) == [encoder._direct(text)]
+        assert len(encoder._known) == len(encoder._known_ids) <= 4
+    # every text starts with an empty word
+    assert [key for key in learned if key.strip("\0")] == ["ab", "cd", "ef", "gh", "cd", "ij", "ef", "ab", "kl", "mn", "op", "qr"]
+
+
 def test_batches_are_encoded_together_in_their_order():
     texts = [f"text {i} of some\nwords" for i in range(50)]
     batches = [pa.RecordBatch.from_pydict({"text": texts[a : a + 7]}) for a in range(0, 50, 7)]
